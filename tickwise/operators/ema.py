@@ -8,8 +8,8 @@ Recursion: ``y_0 = x_0``, ``y_t = q·y_{t-1} + α·x_t`` with ``α = 2/(span+1)`
 * inside a block: ``local = q^k · Σ_{j<=k} c_j q^(-j)`` — a running sum
   (window over ``(ticker, b)``); exponents stay below ``B`` so nothing
   overflows;
-* every earlier block ``b-j`` contributes its end value
-  ``E_(b-j) = Σ c_i q^(B-1-k_i)`` scaled by ``q^(k+1+(j-1)B)``.  ``E_(b-j)`` is
+* every earlier block ``b-j`` contributes its end value (the in-block value
+  at ``k = B-1``, ``E_(b-j) = Σ c_i q^(B-1-k_i)``) scaled by ``q^(k+1+(j-1)B)``.  ``E_(b-j)`` is
   a RANGE frame ``[-j, -j]`` over the block number, so no join and no extra
   shuffle is needed.  Only ``J`` blocks are visited, with ``q^(J·B) < 1e-20``.
 
@@ -39,44 +39,59 @@ def add_row_number(df: DataFrame, part: str = "ticker", order: str = "date",
 
 
 def ema(df: DataFrame, specs: dict[str, tuple[str, float]], part: str = "ticker",
-        order: str = "date", rn: str = "_rn", block: int = BLOCK) -> DataFrame:
+        order: str = "date", rn: str = "_rn", block: int = BLOCK,
+        keep_blocks: bool = False) -> DataFrame:
     """Add one EMA column per ``out -> (input column, span)``.
 
     Inputs must be non-null (the bar builder guarantees a close per row).
-    ``rn`` (0-based row number per ``part``) is computed when absent.
+    ``rn`` (0-based row number per ``part``) is computed when absent.  With
+    ``keep_blocks`` the block columns stay, so a following EMA pass (e.g. the
+    MACD signal) reuses them and the data's existing sort order.
     """
     if rn not in df.columns:
         df = add_row_number(df, part, order, rn)
     r = F.col(rn)
-    b = F.floor(r / block)
-    k = (r - b * block).cast("int")
-    df = df.withColumn("_b", b).withColumn("_k", k)
+    if "_b" not in df.columns:
+        b = F.floor(r / block)
+        df = df.withColumn("_b", b).withColumn("_k", (r - b * block).cast("int"))
     kk = F.col("_k")
     w_in = (Window.partitionBy(part, "_b").orderBy(rn)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_blk = Window.partitionBy(part).orderBy("_b")
 
-    stage1, stage2 = [], []
+    stage1, stage2, stage3 = [], [], []
+    last = kk == F.lit(block - 1)
     for out, (x, span) in specs.items():
         if span <= 1:
-            stage1.append(F.col(x).alias(f"{out}__s"))
             continue
         alpha = 2.0 / (span + 1.0)
         q = 1.0 - alpha
         c = F.when(r == 0, F.col(x)).otherwise(F.lit(alpha) * F.col(x))
         stage1.append(F.sum(c * F.pow(F.lit(q), -kk)).over(w_in).alias(f"{out}__s"))
-        stage1.append((c * F.pow(F.lit(q), F.lit(block - 1) - kk)).alias(f"{out}__e"))
     df = df.select("*", *stage1)
+    # The block end value is the in-block value at k = B-1.  Deriving it from
+    # the running sum keeps the (ticker, b, rn) sort of the previous window
+    # for the range frames below (no second sort).
     for out, (x, span) in specs.items():
         if span <= 1:
-            stage2.append(F.col(f"{out}__s").alias(out))
             continue
         q = 1.0 - 2.0 / (span + 1.0)
-        y = F.pow(F.lit(q), kk) * F.col(f"{out}__s")
+        loc = F.pow(F.lit(q), kk) * F.col(f"{out}__s")
+        stage2.append(loc.alias(f"{out}__l"))
+        stage2.append(F.when(last, loc).alias(f"{out}__e"))
+    df = df.select("*", *stage2)
+    for out, (x, span) in specs.items():
+        if span <= 1:
+            stage3.append(F.col(x).alias(out))
+            continue
+        q = 1.0 - 2.0 / (span + 1.0)
+        y = F.col(f"{out}__l")
         for j in range(1, blocks_needed(span, block) + 1):
             ej = F.sum(f"{out}__e").over(w_blk.rangeBetween(-j, -j))
             y = y + F.pow(F.lit(q), kk + F.lit(1 + (j - 1) * block)) * F.coalesce(ej, F.lit(0.0))
-        stage2.append(y.alias(out))
-    df = df.select("*", *stage2)
-    drop = [c for c in df.columns if c.endswith("__s") or c.endswith("__e")] + ["_b", "_k"]
+        stage3.append(y.alias(out))
+    df = df.select("*", *stage3)
+    drop = [c for c in df.columns if c[-3:] in ("__s", "__e", "__l")]
+    if not keep_blocks:
+        drop += ["_b", "_k"]
     return df.drop(*drop)

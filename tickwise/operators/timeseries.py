@@ -89,7 +89,8 @@ def feature_matrix(bars: DataFrame, drop_incomplete: bool = True,
         *[F.lag(r, k).over(w).alias(f"lag_return_{k}") for k in LAGS],
     )
     s3 = ema(s2, {"ema_5": ("Close", 5), "ema_10": ("Close", 10), "ema_20": ("Close", 20),
-                  "_ema_12": ("Close", 12), "_ema_26": ("Close", 26)}, part=part)
+                  "_ema_12": ("Close", 12), "_ema_26": ("Close", 26)}, part=part,
+             keep_blocks=True)
     s3 = s3.withColumn("macd", F.col("_ema_12") - F.col("_ema_26"))
     s4 = ema(s3, {"macd_signal": ("macd", 9)}, part=part)
     out = s4.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
@@ -135,27 +136,34 @@ def densify_ffill(series: DataFrame, value_cols: list[str], part: str = "ticker"
 
 
 def infer_frequency(series: DataFrame, part: str = "ticker") -> DataFrame:
-    """TS-17: D / B / W from the set of gaps between consecutive dates
-    (fewer than 3 dates → D).  Month or quarter codes are not inferred."""
+    """TS-17: D / B / W from the gaps between consecutive dates (fewer than
+    3 dates → D).  One window (lag) + one aggregate; month or quarter codes
+    are not inferred (documented limit)."""
     w = by_date(part)
     g = series.select(part, "date",
                       F.datediff("date", F.lag("date", 1).over(w)).alias("gap"),
                       F.dayofweek("date").alias("dow"))
+    gap, dow = F.col("gap"), F.col("dow")
+
+    def never(cond):
+        return F.coalesce(F.max(F.when(cond, 1).otherwise(0)), F.lit(0)) == 0
+
     agg = g.groupBy(part).agg(
-        F.count("*").alias("n_dates"),
-        F.collect_set("gap").alias("gaps"),
-        F.max(F.when(F.col("dow").isin(1, 7), 1).otherwise(0)).alias("weekend"),
-        F.max(F.when((F.col("gap") == 3) & (F.col("dow") != 2), 1).otherwise(0)).alias("bad3"),
-        F.max(F.when((F.col("gap") == 1) & (F.col("dow") == 2), 1).otherwise(0)).alias("bad1"),
+        F.count(F.lit(1)).alias("n_dates"),
+        never(gap != 1).alias("all1"),
+        never(dow.isin(1, 7)).alias("no_weekend"),
+        never(~gap.isin(1, 3)).alias("only13"),
+        never((gap == 3) & (dow != 2)).alias("ok3"),
+        never((gap == 1) & (dow == 2)).alias("ok1"),
+        never(gap != 7).alias("all7"),
     )
-    gaps = F.array_sort(F.array_compact(F.col("gaps")))
-    freq = (F.when(F.col("n_dates") < 3, "D")
-            .when(gaps == F.array(F.lit(1)), "D")
-            .when((F.col("weekend") == 0) & (F.col("bad3") == 0) & (F.col("bad1") == 0)
-                  & (F.array_except(gaps, F.array(F.lit(1), F.lit(3))) == F.array().cast("array<int>")), "B")
-            .when(gaps == F.array(F.lit(7)), "W")
+    c = F.col
+    freq = (F.when(c("n_dates") < 3, "D")
+            .when(c("all1"), "D")
+            .when(c("no_weekend") & c("only13") & c("ok3") & c("ok1"), "B")
+            .when(c("all7"), "W")
             .otherwise("D"))
-    return agg.select(part, F.col("n_dates").cast("bigint").alias("n_dates"), freq.alias("freq"))
+    return agg.select(part, c("n_dates").cast("bigint").alias("n_dates"), freq.alias("freq"))
 
 
 def roll_to_friday(d: Column) -> Column:

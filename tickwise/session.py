@@ -33,7 +33,7 @@ def get_session(master: str | None = None, app: str = "tickwise",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("TICKWISE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

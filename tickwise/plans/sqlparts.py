@@ -71,7 +71,7 @@ def features_sql(key: str = "l_returnflag", keep_incomplete: bool = False) -> st
     SELECT ticker, date, Open, High, Low, Close, Adj_Close, Volume, "return", log_return,
            sma_5, ema_5, sma_10, ema_10, sma_20, ema_20, vol_10, rsi_14, macd, macd_signal,
            macd - macd_signal AS macd_hist, lag_close_1, lag_return_1, lag_close_2, lag_return_2,
-           lag_close_3, lag_return_3, lag_close_5, lag_return_5, rn
+           lag_close_3, lag_return_3, lag_close_5, lag_return_5
     FROM t2 {where}"""
 
 

@@ -21,7 +21,9 @@ def rounded(c: Column, digits: int = 6) -> Column:
     produce identical doubles from identical inputs (no decimal tie rules).
     """
     s = float(10 ** digits)
-    return (F.floor(c * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double")
+    r = (F.floor(c * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double")
+    # non-finite and huge values pass through unchanged (both engines)
+    return F.when(F.abs(c) < F.lit(1e15), r).otherwise(c.cast("double"))
 
 
 def present(df: DataFrame, digits: int = 6, per_column: dict | None = None) -> DataFrame:
@@ -41,4 +43,5 @@ def present(df: DataFrame, digits: int = 6, per_column: dict | None = None) -> D
 def sql_round(expr: str, alias: str, digits: int = 6) -> str:
     """The DuckDB twin of ``rounded``."""
     s = repr(float(10 ** digits))
-    return f"floor(({expr}) * {s} + 0.5) / {s} AS {alias}"
+    return (f"CASE WHEN abs({expr}) < 1e15 THEN floor(({expr}) * {s} + 0.5) / {s} "
+            f"ELSE CAST({expr} AS DOUBLE) END AS {alias}")

@@ -16,6 +16,11 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Feature plans are wide (27+ columns, NULL filters on all of them, the
+    # same lineage joined with its own aggregates).  Constraint propagation
+    # enumerates alias/constraint combinations on such plans and can stall
+    # the optimizer for minutes; the filters it would infer are not needed.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

@@ -17,7 +17,6 @@ KMeans runs for every ticker at once as DataFrame iterations:
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.operators.joins import bounded_broadcast, scalar_array
@@ -65,7 +64,9 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
     ok = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
     n_groups = ok.count()
     pts = pts.join(bounded_broadcast(ok.select(*g), known_rows=n_groups), g)
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    # Written once to the shared checkpoint folder: every iteration then
+    # starts from a plain scan (short lineage, survives executor loss).
+    pts = pts.checkpoint()
 
     def bc(df):
         return bounded_broadcast(df, known_rows=n_groups)

@@ -27,4 +27,4 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def load_all() -> None:
     # Import for side effects: each module registers its queries.
-    from tickwise.plans import q_sources, q_timeseries, q_projections, q_metrics, q_checks, q_rules, q_ml, q_forecast, q_scalars, q_models  # noqa: F401
+    from tickwise.plans import q_sources, q_timeseries, q_projections, q_metrics, q_checks, q_rules, q_ml, q_forecast, q_scalars, q_models, q_registry  # noqa: F401

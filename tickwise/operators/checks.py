@@ -244,3 +244,21 @@ def overall_status(checks: DataFrame, group=("ticker",)) -> DataFrame:
 
 def union_checks(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def drift_profile(baseline: DataFrame, current: DataFrame, cols: list[str], group=("ticker",),
+                  **kw) -> DataFrame:
+    """AG-20: per feature the reference mean, current mean, KS D, p-value
+    and severe flag, plus per group ``severe_count``."""
+    g = _g(group)
+
+    def means(df, name):
+        kv = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), finite(F.col(c).cast("double")).alias("v"))
+                                 for c in cols]))
+        return (df.select(*g, kv.alias("kv")).select(*g, "kv.*").groupBy(*g, "feature")
+                .agg(F.avg("v").alias(name)))
+    d = drift_columns(baseline, current, cols, g, **kw)
+    out = d.join(means(baseline, "reference_mean"), [*g, "feature"]).join(means(current, "current_mean"),
+                                                                          [*g, "feature"])
+    sev = F.sum(F.col("is_severe").cast("int")).over(Window.partitionBy(*g))
+    return out.withColumn("severe_count", sev.cast("bigint"))

@@ -171,3 +171,29 @@ def q_gates(spark, sf):
     FROM checks GROUP BY ticker""")
 def q_overall(spark, sf):
     return C.overall_status(_gates(spark, sf))
+
+
+_MEANS = ", ".join(f"avg(CASE WHEN isnan(CAST(\"{c}\" AS DOUBLE)) OR isinf(CAST(\"{c}\" AS DOUBLE)) THEN NULL "
+                   f"ELSE CAST(\"{c}\" AS DOUBLE) END) AS \"{c}\"" for c in DRIFT_COLS)
+
+
+def _side_means(side_pred: str) -> str:
+    items = ", ".join(f"struct_pack(feature := '{c}', m := \"{c}\")" for c in DRIFT_COLS)
+    return f"""(SELECT ticker, x.feature AS feature, x.m AS m FROM (
+        SELECT ticker, unnest([{items}]) AS x FROM (
+          SELECT ticker, {_MEANS} FROM f WHERE {side_pred} GROUP BY ticker)))"""
+
+
+@register("drift_profile", "AG-20, DQ-03, DQ-04", f"""{KS_SQL},
+    rm AS {_side_means('r <= floor(n / 2)')}, cm AS {_side_means('r > floor(n / 2)')}
+    SELECT p.ticker, p.feature, {R('ks_d', 'ks_d')}, {R('p_value', 'p_value')},
+           (p_value < 0.001 AND ks_d > 0.15) AS is_severe, {R('rm.m', 'reference_mean')}, {R('cm.m', 'current_mean')},
+           CAST(sum(CASE WHEN p_value < 0.001 AND ks_d > 0.15 THEN 1 ELSE 0 END) OVER (PARTITION BY p.ticker) AS BIGINT)
+             AS severe_count
+    FROM p JOIN rm ON rm.ticker = p.ticker AND rm.feature = p.feature
+           JOIN cm ON cm.ticker = p.ticker AND cm.feature = p.feature""")
+def q_drift_profile(spark, sf):
+    base, cur = _halves(spark, sf)
+    d = C.drift_profile(base, cur, DRIFT_COLS)
+    return present(d.select("ticker", "feature", "ks_d", "p_value", "is_severe", "reference_mean", "current_mean",
+                            "severe_count"))

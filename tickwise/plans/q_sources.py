@@ -21,3 +21,31 @@ def bars_daily(spark, sf_dir):
           f"SELECT ticker, date, {rounded_select(BAR_NUM)}, Volume FROM ({bars_sql('l_suppkey')})")
 def bars_by_supplier(spark, sf_dir):
     return present(bars_from_lineitem(spark, sf_dir, "l_suppkey"))
+
+
+from tickwise.plans.q_timeseries import features  # noqa: E402
+from tickwise.plans.sqlparts import R, features_sql  # noqa: E402
+from tickwise.sources.tables import read_table, resolve_ticker_rows, ticker_from_path  # noqa: E402
+
+
+def _resolve_sql(t: str) -> str:
+    return f"""
+    WITH f AS ({features_sql()}),
+    k AS (SELECT coalesce((SELECT max(ticker) FROM f WHERE ticker = '{t}'), (SELECT max(ticker) FROM f)) AS t)
+    SELECT ticker, date, {R('Close', 'Close')} FROM f, k WHERE f.ticker = k.t"""
+
+
+@register("resolve_feature_set_exact", "SRC-09", _resolve_sql("N"))
+def q_resolve_exact(spark, sf):
+    return present(resolve_ticker_rows(features(spark, sf), "N").select("ticker", "date", "Close"))
+
+
+@register("resolve_feature_set_fallback", "SRC-09", _resolve_sql("ZZZ"))
+def q_resolve_fallback(spark, sf):
+    return present(resolve_ticker_rows(features(spark, sf), "ZZZ").select("ticker", "date", "Close"))
+
+
+@register("ticker_from_file_name", "SRC-01, SRC-04, SRC-06")
+def q_ticker_from_file(spark, sf):
+    li = read_table(spark, sf, "lineitem").where(F.col("_metadata.file_size") > 0)
+    return li.groupBy(ticker_from_path().alias("ticker")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -66,3 +66,14 @@ def normalise_columns(df: DataFrame, ticker: str | None = None) -> DataFrame:
     if ticker is not None:
         out = out.withColumn("ticker", F.lit(ticker))
     return out
+
+
+def resolve_ticker_rows(df: DataFrame, ticker: str, part: str = "ticker") -> DataFrame:
+    """SRC-09: rows of ``ticker`` when it exists, else of the last ticker in
+    sort order.  The choice is a scalar subquery (one value), so the filter
+    is a plain equality that prunes partitions."""
+    keys = df.select(part).distinct()
+    exact = keys.where(F.col(part) == F.lit(ticker)).agg(F.max(part).alias("t"))
+    fallback = keys.agg(F.max(part).alias("t"))
+    target = F.coalesce(exact.scalar(), fallback.scalar())
+    return df.where(F.col(part) == target)

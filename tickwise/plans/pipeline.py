@@ -98,6 +98,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
                              F.transform("f", lambda s: F.date_format(s["date"], "yyyy-MM-dd")).alias("dates"),
                              F.transform("f", lambda s: F.array(s["lower"], s["upper"])).alias("confidence_interval"))
         REG.write_artifact(meta, root, "forecast", run_ts)
+        fc.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("ticker", "run_ts").parquet(
+            os.path.join(root, "predictions"))
     if "checks" in steps:
         num = [c for c in FEATURE_COLUMNS if c != "date"]
         integ = C.integrity_checks(feats, num)

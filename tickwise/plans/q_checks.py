@@ -197,3 +197,11 @@ def q_drift_profile(spark, sf):
     d = C.drift_profile(base, cur, DRIFT_COLS)
     return present(d.select("ticker", "feature", "ks_d", "p_value", "is_severe", "reference_mean", "current_mean",
                             "severe_count"))
+
+
+@register("drift_unsupported", "DQ-06")
+def q_drift_unsupported(spark, sf):
+    base, cur = _halves(spark, sf)
+    unknown = C.drift_checks(base, cur, metric="psi")
+    no_shared = C.drift_checks(base.select("ticker", "date"), cur.select("ticker", "date"))
+    return C.union_checks(unknown, no_shared).drop("details")

@@ -29,7 +29,7 @@ def _reg(spark, sf):
     return REG.read_registry(spark, registry_root(spark, sf))
 
 
-@register("registry_latest_run", "REG-01, SRC-18")
+@register("registry_latest_run", "REG-01, SRC-18, ML-29")
 def q_latest_run(spark, sf):
     return REG.latest_run(_reg(spark, sf))
 
@@ -81,3 +81,57 @@ def q_forecast_doc(spark, sf):
     r = REG.latest_with_kind(_reg(spark, sf), "forecast")
     schema = "horizon int, aic double, bic double, predictions array<double>, dates array<string>"
     return r.select("ticker", "run_ts", F.from_json("payload", schema).alias("f")).select("ticker", "run_ts", "f.*")
+
+
+@register("registry_latest_prediction", "REG-04")
+def q_latest_prediction(spark, sf):
+    import os
+    p = spark.read.parquet(os.path.join(registry_root(spark, sf), "predictions")).withColumn(
+        "run_ts", F.col("run_ts").cast("string"))
+    first = p.where(F.col("step") == 1)
+    return REG.latest_prediction(first).select("ticker", "run_ts", "date", "prediction")
+
+
+@register("pipeline_bars_table", "SRC-07, ML-29")
+def q_bars_table(spark, sf):
+    import os
+    return spark.read.parquet(os.path.join(registry_root(spark, sf), "bars")).groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@register("pipeline_features_table", "SRC-08, SRC-02")
+def q_features_table(spark, sf):
+    import os
+    f = spark.read.parquet(os.path.join(registry_root(spark, sf), "features"))
+    return f.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(f.columns)).alias("n_cols"))
+
+
+@register("check_report_docs", "SRC-17, DQ-10")
+def q_check_report(spark, sf):
+    import glob
+    import os
+    d = sorted(glob.glob(os.path.join(registry_root(spark, sf), "reports", "*")))[-1]
+    r = spark.read.json(d)
+    return r.select("ticker", "overall_status", F.length("markdown").alias("markdown_chars"),
+                    F.length("json").alias("json_chars"))
+
+
+@register("labelled_dataset_csv", "SRC-12, SRC-13, JN-01")
+def q_labelled_csv(spark, sf):
+    import os
+    from tickwise.sources.sinks import run_stamp, write_csv
+    root = registry_root(spark, sf)
+    lab = spark.read.parquet(os.path.join(root, "features")).select("ticker", "date", "Close", "rsi_14")
+    path = os.path.join(root, "labelled", run_stamp())
+    write_csv(lab, path)
+    back = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return back.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("feature_count_check", "DQ-09, REG-10")
+def q_feature_count(spark, sf):
+    from tickwise.operators import checks as C
+    reg = _reg(spark, sf)
+    exp = REG.latest_with_kind(reg, "pca").select(
+        "ticker", F.json_array_length(F.get_json_object("payload", "$.feature_order")).alias("n_expected"))
+    return C.feature_count_check(exp, 27)

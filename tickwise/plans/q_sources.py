@@ -49,3 +49,17 @@ def q_resolve_fallback(spark, sf):
 def q_ticker_from_file(spark, sf):
     li = read_table(spark, sf, "lineitem").where(F.col("_metadata.file_size") > 0)
     return li.groupBy(ticker_from_path().alias("ticker")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("normalised_vendor_columns", "SRC-05",
+          f"SELECT ticker, date, {rounded_select(BAR_NUM)}, Volume FROM ({bars_sql('l_returnflag')})")
+def q_normalise(spark, sf):
+    from tickwise.sources.tables import normalise_columns
+    vendor = bars_from_lineitem(spark, sf).withColumnsRenamed({"date": "Date", "Adj_Close": "Adj Close"})
+    return present(normalise_columns(vendor).select("ticker", "date", *BAR_NUM, "Volume"))
+
+
+@register("bars_sorted", "TK-01",
+          f"SELECT ticker, date, {rounded_select(['Close'])} FROM ({bars_sql('l_returnflag')}) ORDER BY ticker, date")
+def q_sorted(spark, sf):
+    return present(bars_from_lineitem(spark, sf).select("ticker", "date", "Close").orderBy("ticker", "date"))

@@ -83,17 +83,23 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
                          .alias("centers")).checkpoint()
 
     n_iter = 0
+    p = len(cols)
     for it in range(max_iter):
         n_iter = it + 1
         lab, _ = nearest(F.col("x"), F.col("centers"))
-        a = pts.join(bc(cen), g).select(*g, lab.alias("_cid"), "x")
-        p = len(cols)
-        means = a.groupBy(*g, "_cid").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(p)]).alias("_m"))
-        upd = means.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_cid", "_m"))).alias("_mp"))
-        new = cen.join(upd, g, "left").select(
-            *g, F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                            lambda i: F.coalesce(F.element_at("_mp", i), F.element_at("centers", i + 1))
-                            ).alias("centers"), F.col("centers").alias("_prev"))
+        a = pts.join(bc(cen), g).select(*g, lab.alias("_cid"), "x", "centers")
+        # one grouped aggregate per ticker: per-cluster coordinate sums and
+        # counts (k·p + k partial sums), so an iteration is a single shuffle
+        aggs = [F.first("centers").alias("_prev")]
+        for c in range(k):
+            hit = F.col("_cid") == c
+            aggs.append(F.sum(F.when(hit, 1).otherwise(0)).alias(f"_n{c}"))
+            aggs += [F.sum(F.when(hit, F.col("x")[i])).alias(f"_s{c}_{i}") for i in range(p)]
+        upd = a.groupBy(*g).agg(*aggs)
+        centers = F.array(*[
+            F.when(F.col(f"_n{c}") > 0, F.array(*[F.col(f"_s{c}_{i}") / F.col(f"_n{c}") for i in range(p)]))
+            .otherwise(F.element_at("_prev", c + 1)) for c in range(k)])
+        new = upd.select(*g, centers.alias("centers"), "_prev")
         new = new.withColumn("_shift", F.aggregate(F.zip_with("centers", "_prev", lambda c, o: dist2(c, o)),
                                                    F.lit(0.0), lambda s, v: s + v)).checkpoint()
         shift = new.agg(F.max("_shift")).first()[0] or 0.0

@@ -116,7 +116,19 @@ def _next_returns(spark, sf, key="l_returnflag"):
 KM_COLS = PCA_COLS
 
 
+_KM: dict = {}
+
+
 def _kmeans(spark, sf, key="l_returnflag", k=5):
+    """One KMeans fit per (session, folder, key, k), shared by the cluster
+    queries (the fit's iterations run eagerly; results are checkpointed)."""
+    ck = (id(spark), sf, key, k)
+    if ck not in _KM:
+        _KM[ck] = _kmeans_fit(spark, sf, key, k)
+    return _KM[ck]
+
+
+def _kmeans_fit(spark, sf, key, k):
     f = features(spark, sf, key)
     x = PC.pca_inputs(f, KM_COLS, log_cols=())          # KMeans does not log Volume
     stats = PC.scaler_stats(x, KM_COLS)

@@ -113,14 +113,15 @@ def q_date_window(spark, sf):
 
 @register("parse_dates", "PRJ-09", """
     SELECT o_orderkey, CAST(TRY_CAST(txt AS TIMESTAMP) AS DATE) AS date
-    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a ' || CAST(o_orderkey AS VARCHAR)
+    FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority
                                   ELSE CAST(o_orderdate AS VARCHAR) END AS txt FROM orders)
     WHERE TRY_CAST(txt AS TIMESTAMP) IS NOT NULL""")
 def q_parse_dates(spark, sf):
     from tickwise.sources.tables import read_table
     o = read_table(spark, sf, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("n/a "), F.col("o_orderkey").cast("string")))
+        # pending orders carry their priority text instead of a date (unparsable)
+        F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))
         .otherwise(F.col("o_orderdate").cast("string")).alias("txt"))
     return P.parse_dates(o, "txt").select("o_orderkey", "date")
 

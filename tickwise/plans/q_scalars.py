@@ -65,11 +65,12 @@ def q_sizes(spark, sf):
 
 
 @register("safe_tickers", "SCL-05", """
-    SELECT c_custkey, upper(coalesce(nullif(CASE WHEN c_custkey % 9 = 0 THEN '' ELSE c_mktsegment END, ''), 'AAPL')) AS ticker
+    SELECT c_custkey, upper(coalesce(nullif(CASE WHEN c_acctbal < 0 THEN '' ELSE lower(c_mktsegment) END, ''), 'AAPL')) AS ticker
     FROM customer""")
 def q_safe(spark, sf):
     c = read_table(spark, sf, "customer")
-    raw = F.when(F.col("c_custkey") % 9 == 0, F.lit("")).otherwise(F.col("c_mktsegment"))
+    # customers in debt have an empty symbol; the rest a lower-case one
+    raw = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.lower(F.col("c_mktsegment")))
     return c.select("c_custkey", S.safe_ticker(raw).alias("ticker"))
 
 

@@ -24,6 +24,32 @@ SQL_CONF = {
 }
 
 
+# Settings for a large cluster (≈100 TB input, ~1000 executors).  Scans are
+# split into 512 MB input partitions; shuffles start wide and AQE coalesces
+# them towards 256 MB and splits skewed partitions (a hot ticker or day).
+# Per-ticker tables after the bar builder are small, so the broadcast
+# threshold stays moderate and the library adds its own row-count checks.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+def configure_for_cluster(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply ``SQL_CONF`` plus the cluster sizing above (SQL confs only)."""
+    configure(spark)
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in SQL_CONF.items():
         spark.conf.set(k, v)

@@ -60,6 +60,24 @@ def standardize(df: DataFrame, stats: DataFrame, cols: list[str], group=("ticker
                                  for i, c in enumerate(cols)])
 
 
+def standardize_by_window(x: DataFrame, cols: list[str], part: str = "ticker",
+                          keep=("date",)) -> DataFrame:
+    """ML-09 without a join: per-ticker mean / population std as whole-
+    partition window aggregates.  Rows coming out of the feature windows are
+    already hash-partitioned and sorted by ticker, so this adds neither an
+    exchange nor a sort, and the input is evaluated once.  The mean, scale
+    and constant flags ride along as per-ticker constant array columns."""
+    w = Window.partitionBy(part)
+    means = [F.avg(c).over(w) for c in cols]
+    stds = [F.stddev_pop(c).over(w) for c in cols]
+    scales = [F.when(F.coalesce(sd, F.lit(0.0)) == 0, F.lit(1.0)).otherwise(sd) for sd in stds]
+    consts = [F.coalesce(F.min(c).over(w) == F.max(c).over(w), F.lit(True)) for c in cols]
+    t = x.select(part, *keep, *cols, F.array(*means).alias("mean"), F.array(*scales).alias("scale"),
+                 F.array(*consts).alias("const"))
+    return t.select(part, *keep, *[((F.col(c) - F.col("mean")[i]) / F.col("scale")[i]).alias(c)
+                                   for i, c in enumerate(cols)], "mean", "scale", "const")
+
+
 def covariance(z: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
     """Population covariance of standardised columns (upper triangle, long
     format): ``Σ z_a z_b / n`` per group, one aggregate."""
@@ -98,10 +116,19 @@ def fit_pca(features: DataFrame, cols: list[str], n_components: int = 5,
     """
     g = _g(group)
     x = pca_inputs(features, cols, g[0])
-    stats = scaler_stats(x, cols, g)
-    z = standardize(x, stats, cols, g)
-    mom = _cov_matrix_row(z, cols, g).join(stats.select(*g, "mean", "scale", "const"), g)
+    zx = standardize_by_window(x, cols, g[0])
     p = len(cols)
+    mom = zx.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("n"), F.first("mean").alias("mean"), F.first("scale").alias("scale"),
+        F.first("const").alias("const"),
+        *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_c{i}_{j}") for i in range(p) for j in range(i, p)])
+    flat = []
+    for i in range(p):
+        for j in range(p):
+            a_, b_ = (i, j) if i <= j else (j, i)
+            flat.append(F.col(f"_c{a_}_{b_}") / F.col("n"))
+    mom = mom.select(*g, "n", F.array(*flat).alias("cov"), "mean", "scale", "const")
+    z = zx.drop("mean", "scale", "const")
     names = list(cols)
     schema = (", ".join(f"{c} string" for c in g) +
               ", n_rows long, n_components int, explained_variance_ratio array<double>, "

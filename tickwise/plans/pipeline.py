@@ -71,8 +71,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
                                        "n_rules", "rules"), root, "association", run_ts)
     if "clusters" in steps:
         x = PC.pca_inputs(feats, PCA_COLS, log_cols=())
-        stats = PC.scaler_stats(x, PCA_COLS)
-        z = PC.standardize(x, stats, PCA_COLS)
+        zx = PC.standardize_by_window(x, PCA_COLS)
+        stats = zx.groupBy("ticker").agg(F.first("mean").alias("mean"), F.first("scale").alias("scale"))
+        z = zx.drop("mean", "scale", "const")
         labels, centers, summary = CL.kmeans(z, PCA_COLS, k=5, seed=42)
         meta = summary.join(centers, "ticker").join(stats.select("ticker", "mean", "scale"), "ticker").select(
             "ticker", F.lit(5).alias("n_clusters"), "inertia", "centers",

@@ -40,7 +40,7 @@ def _pca_parts(spark, sf, key="l_returnflag"):
           f"SELECT ticker, date, {', '.join(R(chr(34) + c + chr(34), chr(34) + c + chr(34)) for c in PCA_COLS)} FROM {Z_SQL}")
 def q_standardized(spark, sf):
     x = PC.pca_inputs(features(spark, sf), PCA_COLS)
-    return present(PC.standardize(x, PC.scaler_stats(x, PCA_COLS), PCA_COLS))
+    return present(PC.standardize_by_window(x, PCA_COLS).drop("mean", "scale", "const"))
 
 
 def _cov_sql() -> str:
@@ -54,7 +54,7 @@ def _cov_sql() -> str:
 @register("pca_covariance", "ML-10 (moments), ML-09", _cov_sql())
 def q_cov(spark, sf):
     x = PC.pca_inputs(features(spark, sf), PCA_COLS)
-    z = PC.standardize(x, PC.scaler_stats(x, PCA_COLS), PCA_COLS)
+    z = PC.standardize_by_window(x, PCA_COLS).drop("mean", "scale", "const")
     return present(PC.covariance(z, PCA_COLS))
 
 
@@ -131,8 +131,9 @@ def _kmeans(spark, sf, key="l_returnflag", k=5):
 def _kmeans_fit(spark, sf, key, k):
     f = features(spark, sf, key)
     x = PC.pca_inputs(f, KM_COLS, log_cols=())          # KMeans does not log Volume
-    stats = PC.scaler_stats(x, KM_COLS)
-    z = PC.standardize(x, stats, KM_COLS)
+    zx = PC.standardize_by_window(x, KM_COLS)
+    stats = zx.groupBy("ticker").agg(F.first("mean").alias("mean"), F.first("scale").alias("scale"))
+    z = zx.drop("mean", "scale", "const")
     labels, centers, summary = CL.kmeans(z, KM_COLS, k=k, seed=42, max_iter=60)
     return f, stats, labels, centers, summary
 

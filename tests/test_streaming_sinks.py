@@ -58,3 +58,28 @@ def test_registry_resolution(spark):
     assert f == {"A": "flat", "B": "pB"}                     # newest run lacks pca → flat
     s = {(r["ticker"], r["run_ts"]): r["has_pca"] for r in REG.run_summary(reg).collect()}
     assert s[("A", "20240101000000")] and not s[("A", "20240201000000")]
+
+
+def test_baseline_initialised_once_per_ticker(spark):
+    from tickwise.sources.registry import init_or_read_baseline
+    base = scratch_path(spark, "baseline-test")
+    bars = bars_from_lineitem(spark, SF)
+    first = bars.where(F.col("ticker").isin("A", "N"))
+    _, fresh = init_or_read_baseline(first, base)
+    assert sorted(r[0] for r in fresh.collect()) == ["A", "N"]
+    stored, fresh2 = init_or_read_baseline(bars, base)
+    assert [r[0] for r in fresh2.collect()] == ["R"]           # only the new ticker is added
+    assert stored.count() == bars.count()
+
+
+def test_ticker_files_loader(spark, tmp_path):
+    from tickwise.sources.tables import load_ticker_files
+    pdf = bars_from_lineitem(spark, SF).toPandas()
+    d = tmp_path / "tickers"
+    d.mkdir()
+    for t, g in pdf.groupby("ticker"):
+        g.drop(columns=["ticker"]).to_parquet(d / f"{t.lower()}.parquet")
+    (d / "empty.parquet").write_bytes(b"")                      # zero-byte file is skipped
+    got = load_ticker_files(spark, str(d)).groupBy("ticker").count().collect()
+    want = pdf.groupby("ticker").size().to_dict()
+    assert {r["ticker"]: r["count"] for r in got} == want

@@ -115,3 +115,20 @@ def test_kmeans_invariants(spark):
         assert r["cluster_label"] == int(np.argmin(d))
     inertia = lab.groupby("ticker")["d2"].sum()
     assert abs(inertia["a"] - s["a"]["inertia"]) < 1e-9
+
+
+def test_arima_regrids_business_day_series(spark):
+    days = pd.bdate_range("2024-01-01", periods=60)
+    rng = np.random.default_rng(2)
+    closes = np.cumsum(rng.normal(0, 1, len(days))) + 50
+    keep = np.ones(len(days), bool)
+    keep[[10, 11, 30]] = False                                 # gaps are forward filled on the B grid
+    pdf = pd.DataFrame({"ticker": "b", "date": days.date, "Close": closes})
+    full = FC.regrid(spark.createDataFrame(pdf), "Close").toPandas()
+    assert (full["freq"] == "B").all() and len(full) == 60
+    gappy = FC.regrid(spark.createDataFrame(pdf[keep]), "Close").toPandas()
+    # a gappy weekday series is not regular B any more → daily grid incl. weekends
+    assert (gappy["freq"] == "D").all()
+    fc = FC.forecast(FC.fit_arima(spark.createDataFrame(pdf)), 5).orderBy("step").toPandas()
+    from pandas.tseries.offsets import BDay
+    assert list(fc["date"]) == [(days[-1] + BDay(i)).date() for i in range(1, 6)]

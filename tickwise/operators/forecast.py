@@ -16,18 +16,34 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickwise.operators.timeseries import densify_ffill
+from tickwise.operators.timeseries import forecast_dates, infer_frequency
 
 MAX_SERIES = 2_000_000
 
 
+def regrid(series: DataFrame, value: str = "Close", part: str = "ticker") -> DataFrame:
+    """TS-16 + TS-17: re-grid each ticker at its inferred frequency (D: every
+    day, B: weekdays, W: every 7 days from the first date) and forward fill;
+    rows off the grid are dropped, as ``asfreq`` does."""
+    s = series.select(part, "date", value)
+    span = (s.groupBy(part).agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
+            .join(infer_frequency(s, part).select(part, "freq"), part))
+    step = F.when(F.col("freq") == "W", 7).otherwise(1)
+    offs = F.sequence(F.lit(0), F.datediff("d1", "d0"), step)
+    grid = span.select(part, "freq", F.explode(F.transform(offs, lambda o: F.date_add("d0", o))).alias("date"))
+    grid = grid.where((F.col("freq") != "B") | ~F.dayofweek("date").isin(1, 7))
+    j = grid.join(s, [part, "date"], "left")
+    w = Window.partitionBy(part).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return j.select(part, "date", "freq", F.last(F.col(value), ignorenulls=True).over(w).alias(value))
+
+
 def diff_series(series: DataFrame, value: str = "Close", part: str = "ticker") -> DataFrame:
-    """One row per ticker: ordered first differences of the densified close,
-    first/last date, last level and number of levels."""
-    dense = densify_ffill(series.select(part, "date", value), [value], part)
-    agg = dense.groupBy(part).agg(
+    """One row per ticker: ordered first differences of the re-gridded close,
+    frequency, last date, last level and number of levels."""
+    dense = regrid(series, value, part)
+    agg = dense.groupBy(part, "freq").agg(
         F.sort_array(F.collect_list(F.struct("date", F.col(value).alias("v")))).alias("_s"),
         F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_levels"))
     agg = agg.where(F.col("n_levels") >= 3)
@@ -36,7 +52,7 @@ def diff_series(series: DataFrame, value: str = "Close", part: str = "ticker") -
                         lambda x, i: x - F.element_at(levels, i + 1))
     guard = F.when(F.col("n_levels") <= MAX_SERIES, F.lit(True)).otherwise(
         F.raise_error(F.lit(f"series longer than {MAX_SERIES} days")))
-    return agg.where(guard).select(part, "last_date", "n_levels",
+    return agg.where(guard).select(part, "freq", "last_date", "n_levels",
                                    F.element_at(levels, -1).alias("last_obs"), diffs.alias("d"))
 
 
@@ -94,7 +110,7 @@ def fit_arima(series: DataFrame, value: str = "Close", part: str = "ticker") ->
     return fit.select(
         part, "phi", "theta", sigma2.alias("sigma2"), sse.alias("sse"), F.col("n_resid").cast("bigint"),
         ll.alias("log_likelihood"), (-2.0 * ll + 6.0).alias("aic"), (-2.0 * ll + 3.0 * F.log(n)).alias("bic"),
-        F.sqrt(sigma2).alias("rmse"), (F.col("_st.a") / n).alias("mae"), "last_obs", "last_date",
+        F.sqrt(sigma2).alias("rmse"), (F.col("_st.a") / n).alias("mae"), "last_obs", "last_date", "freq",
         F.element_at("d", -1).alias("last_diff"), F.col("_st.pe").alias("last_resid"))
 
 
@@ -116,6 +132,8 @@ def forecast(fit: DataFrame, horizon: int = 7, z: float = 1.96, part: str = "tic
     level = F.col("last_obs") + d1 * (F.lit(1.0) - F.pow(phi, h)) / (F.lit(1.0) - phi)
     var = F.aggregate(F.sequence(F.lit(0), h - 1), F.lit(0.0), lambda s, j: s + psi(j) * psi(j))
     half = F.lit(z) * F.sqrt(F.col("sigma2")) * F.sqrt(var)
+    freq = F.col("freq") if "freq" in fit.columns else F.lit("D")
+    dates = forecast_dates(F.col("last_date"), horizon, freq)
     return steps.select(part, h.cast("bigint").alias("step"),
-                        F.date_add("last_date", h.cast("int")).alias("date"),
+                        F.element_at(dates, h.cast("int")).alias("date"),
                         level.alias("prediction"), (level - half).alias("lower"), (level + half).alias("upper"))

@@ -50,10 +50,11 @@ def q_monotonic(spark, sf):
 
 
 def _halves(spark, sf, key="l_returnflag"):
+    from tickwise.session import materialize
     f = features(spark, sf, key)
     w = Window.partitionBy("ticker").orderBy("date")
-    f = f.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy("ticker")))
+    f = materialize(f.withColumn("_rn", F.row_number().over(w)).withColumn(
+        "_n", F.count(F.lit(1)).over(Window.partitionBy("ticker"))))
     base = f.where(F.col("_rn") <= F.floor(F.col("_n") / 2)).drop("_rn", "_n")
     cur = f.where(F.col("_rn") > F.floor(F.col("_n") / 2)).drop("_rn", "_n")
     return base, cur
@@ -147,7 +148,8 @@ GATES_SQL = f"""
 
 
 def _gates(spark, sf):
-    s = scored(spark, sf, "l_suppkey")
+    from tickwise.session import materialize
+    s = materialize(scored(spark, sf, "l_suppkey"))
     reg_rows = s.where(F.col("target_return").isNotNull() & F.col("return").isNotNull())
     w = Window.partitionBy("ticker").orderBy("date")
     tr = (reg_rows.withColumn("_rn", F.row_number().over(w))

@@ -20,8 +20,20 @@ def _css(d: str, phi: str, theta: str) -> str:
 def arima_sql() -> str:
     return f"""
     WITH b AS ({bars_sql()}),
+    fq AS (SELECT ticker, CASE WHEN count(*) < 3 THEN 'D'
+           WHEN coalesce(max(CASE WHEN gap <> 1 THEN 1 ELSE 0 END), 0) = 0 THEN 'D'
+           WHEN coalesce(max(CASE WHEN dow IN (0, 6) THEN 1 ELSE 0 END), 0) = 0
+            AND coalesce(max(CASE WHEN gap NOT IN (1, 3) THEN 1 ELSE 0 END), 0) = 0
+            AND coalesce(max(CASE WHEN gap = 3 AND dow <> 1 THEN 1 ELSE 0 END), 0) = 0
+            AND coalesce(max(CASE WHEN gap = 1 AND dow = 1 THEN 1 ELSE 0 END), 0) = 0 THEN 'B'
+           WHEN coalesce(max(CASE WHEN gap <> 7 THEN 1 ELSE 0 END), 0) = 0 THEN 'W' ELSE 'D' END AS freq
+         FROM (SELECT ticker, date, dayofweek(date) AS dow,
+                      date - lag(date) OVER (PARTITION BY ticker ORDER BY date) AS gap FROM b) GROUP BY ticker),
     span AS (SELECT ticker, min(date) AS d0, max(date) AS d1 FROM b GROUP BY ticker),
-    grid AS (SELECT ticker, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM span),
+    grid0 AS (SELECT ticker, freq, CAST(d0 + CAST(unnest(range(0, (d1 - d0) + 1,
+                       CASE WHEN freq = 'W' THEN 7 ELSE 1 END)) AS INTEGER) AS DATE) AS date
+              FROM span JOIN fq USING (ticker)),
+    grid AS (SELECT ticker, date FROM grid0 WHERE freq <> 'B' OR dayofweek(date) NOT IN (0, 6)),
     dense AS (SELECT ticker, date, last_value(b.Close IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM grid LEFT JOIN b USING (ticker, date)),
     s AS (SELECT ticker, max(date) AS last_date, count(*) AS n_levels, list(v ORDER BY date) AS lv
@@ -48,10 +60,10 @@ def arima_sql() -> str:
     st AS (SELECT d.*, b3.best.phi AS phi, b3.best.theta AS theta, len(d.d) - 1 AS n_resid,
                   {_css('d.d', 'b3.best.phi', 'b3.best.theta')} AS fs
            FROM d JOIN b3 USING (ticker)),
-    fit AS (SELECT ticker, phi, theta, fs.s / n_resid AS sigma2, fs.s AS sse, n_resid,
+    fit AS (SELECT st.ticker, fq.freq, phi, theta, fs.s / n_resid AS sigma2, fs.s AS sse, n_resid,
                    -n_resid / 2.0 * (ln({2 * math.pi!r} * (fs.s / n_resid)) + 1.0) AS ll,
                    sqrt(fs.s / n_resid) AS rmse, fs.a / n_resid AS mae, last_obs, last_date,
-                   d[len(d)] AS last_diff, fs.pe AS last_resid FROM st)"""
+                   d[len(d)] AS last_diff, fs.pe AS last_resid FROM st JOIN fq USING (ticker))"""
 
 
 ARIMA_SQL = arima_sql()
@@ -73,6 +85,9 @@ def q_arima_fit(spark, sf):
                             "rmse", "mae", "last_obs"))
 
 
+_BDAY = ("(CASE dayofweek(last_date) WHEN 6 THEN last_date - 1 WHEN 0 THEN last_date - 2 ELSE last_date END"
+         " + CAST(step + 2 * floor(((dayofweek(CASE dayofweek(last_date) WHEN 6 THEN last_date - 1 WHEN 0 "
+         "THEN last_date - 2 ELSE last_date END) + 6) % 7 + step) / 5) AS INTEGER))")
 _PSI = "(CASE WHEN j = 0 THEN 1.0 ELSE 1.0 + (phi + theta) * (1.0 - pow(phi, j)) / (1.0 - phi) END)"
 
 
@@ -81,7 +96,10 @@ _PSI = "(CASE WHEN j = 0 THEN 1.0 ELSE 1.0 + (phi + theta) * (1.0 - pow(phi, j))
     lv AS (SELECT *, last_obs + d1 * (1.0 - pow(phi, step)) / (1.0 - phi) AS lvl,
                   1.96 * sqrt(sigma2) * sqrt(list_sum(list_transform(range(0, step), lambda j: {_PSI} * {_PSI}))) AS half
            FROM steps)
-    SELECT ticker, CAST(step AS BIGINT) AS step, CAST(last_date + CAST(step AS INTEGER) AS DATE) AS date,
+    SELECT ticker, CAST(step AS BIGINT) AS step,
+           CASE WHEN freq = 'B' THEN {_BDAY}
+                WHEN freq = 'W' THEN CAST(last_date + CAST(7 * step AS INTEGER) AS DATE)
+                ELSE CAST(last_date + CAST(step AS INTEGER) AS DATE) END AS date,
            {R('lvl', 'prediction')}, {R('lvl - half', 'lower')}, {R('lvl + half', 'upper')} FROM lv""")
 def q_arima_forecast(spark, sf):
     return present(FC.forecast(_fit(spark, sf), 7))

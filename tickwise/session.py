@@ -93,3 +93,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark).rstrip("/"), name)
+
+
+def materialize(df):
+    """Write an intermediate that several branches of a plan consume once
+    to the shared checkpoint folder (lineage cut; re-read, not recomputed,
+    also after an executor loss).  Never ``localCheckpoint``."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -132,3 +132,15 @@ def test_arima_regrids_business_day_series(spark):
     fc = FC.forecast(FC.fit_arima(spark.createDataFrame(pdf)), 5).orderBy("step").toPandas()
     from pandas.tseries.offsets import BDay
     assert list(fc["date"]) == [(days[-1] + BDay(i)).date() for i in range(1, 6)]
+
+
+def test_split_stratified_and_contiguous_fallback(spark):
+    from tickwise.operators.models import stratified_split
+    rows = [("s", d, 1 if i % 3 else 0) for i, d in enumerate(pd.date_range("2024-01-01", periods=50).date)]
+    rows += [("f", d, 1 if i else 0) for i, d in enumerate(pd.date_range("2024-01-01", periods=20).date)]
+    out = stratified_split(spark.createDataFrame(rows, "ticker string, date date, label int")).toPandas()
+    s = out[out.ticker == "s"]
+    for lab, g in s.groupby("label"):
+        assert g["is_val"].sum() == math.ceil(len(g) * 0.2)      # stratified per class
+    f = out[out.ticker == "f"].sort_values("date")
+    assert list(f["is_val"]) == [False] * 16 + [True] * 4          # one-member class → contiguous

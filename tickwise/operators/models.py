@@ -66,11 +66,22 @@ def stratified_split(df: DataFrame, label: str = "label", frac: float = 0.2, see
                      part: str = "ticker", flag: str = "is_val") -> DataFrame:
     """ML-02: deterministic stratified split — inside each (ticker, label)
     the rows ranked first by ``md5(ticker|date|seed)`` (``ceil(frac·n)`` of
-    them) are validation rows.  Same rows in any engine with md5."""
+    them) are validation rows.  Same rows in any engine with md5.  When a
+    ticker has two classes and one of them has a single row (stratification
+    impossible) the ticker falls back to a contiguous split: the first
+    ``max(int((1-frac)·n), 1)`` rows by date train, the rest validate."""
     key = F.md5(F.concat_ws("|", F.col(part).cast("string"), F.col("date").cast("string"), F.lit(str(seed))))
     w = Window.partitionBy(part, label).orderBy(key, "date")
-    n = F.count(F.lit(1)).over(Window.partitionBy(part, label))
-    return df.withColumn(flag, F.row_number().over(w) <= F.ceil(n * frac))
+    n_cls = F.count(F.lit(1)).over(Window.partitionBy(part, label))
+    d = df.withColumn("_ncls", n_cls)
+    wt = Window.partitionBy(part)
+    d = d.withColumn("_min", F.min("_ncls").over(wt)).withColumn("_n", F.count(F.lit(1)).over(wt)) \
+         .withColumn("_k", F.size(F.collect_set(label).over(wt)))
+    strat = F.row_number().over(w) <= F.ceil(F.col("_ncls") * frac)
+    cut = F.greatest(F.floor(F.col("_n") * (1.0 - frac)), F.lit(1))
+    contiguous = F.row_number().over(Window.partitionBy(part).orderBy("date")) > cut
+    fallback = (F.col("_k") > 1) & (F.col("_min") < 2)
+    return d.withColumn(flag, F.when(fallback, contiguous).otherwise(strat)).drop("_ncls", "_min", "_n", "_k")
 
 
 def train_classifier(features: DataFrame, params: dict | None = None, part: str = "ticker",

@@ -46,10 +46,17 @@ def q_labels(spark, sf):
 
 
 @register("stratified_split", "ML-02", f"""
-    SELECT ticker, date, label, row_number() OVER (PARTITION BY ticker, label
-             ORDER BY md5(concat_ws('|', ticker, CAST(date AS VARCHAR), '42')), date)
-           <= ceil(count(*) OVER (PARTITION BY ticker, label) * 0.2) AS is_val
-    FROM {LABEL_SQL} WHERE nx IS NOT NULL""")
+    WITH l AS (SELECT * FROM {LABEL_SQL} WHERE nx IS NOT NULL),
+    c AS (SELECT *, count(*) OVER (PARTITION BY ticker, label) AS ncls FROM l),
+    t AS (SELECT *, min(ncls) OVER (PARTITION BY ticker) AS mn, count(*) OVER (PARTITION BY ticker) AS n,
+                 count(DISTINCT label) OVER (PARTITION BY ticker) AS k FROM c)
+    SELECT ticker, date, label,
+           CASE WHEN k > 1 AND mn < 2
+                THEN row_number() OVER (PARTITION BY ticker ORDER BY date) > greatest(floor(n * 0.8), 1)
+                ELSE row_number() OVER (PARTITION BY ticker, label
+                       ORDER BY md5(concat_ws('|', ticker, CAST(date AS VARCHAR), '42')), date)
+                     <= ceil(ncls * 0.2) END AS is_val
+    FROM t""")
 def q_split(spark, sf):
     d, _ = MD.label_direction(_feats(spark, sf))
     return MD.stratified_split(d).select("ticker", "date", "label", "is_val")

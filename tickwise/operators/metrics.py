@@ -174,12 +174,22 @@ def quantile(df: DataFrame, col: str, q: float = 0.8, group=("ticker",), exact:
     return df.groupBy(*_g(group)).agg(agg.alias(f"q{int(round(q * 100))}"))
 
 
+def pair_corr(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both values are present.
+    (Under ANSI mode the built-in ``corr`` raises on a zero-variance column;
+    this form yields NULL there instead.)"""
+    ca, cb = F.col(a).cast("double"), F.col(b).cast("double")
+    sa = F.stddev_pop(F.when(cb.isNotNull(), ca))
+    sb = F.stddev_pop(F.when(ca.isNotNull(), cb))
+    return F.try_divide(F.covar_pop(ca, cb), sa * sb)
+
+
 def correlation_long(df: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
     """AG-14: Pearson correlation of every column pair (pairwise complete),
     NULL → 0, one aggregate job; long output (group, a, b, corr)."""
     g = _g(group)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.groupBy(*g).agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    agg = df.groupBy(*g).agg(*[pair_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     items = []
     for a, b in pairs:
         v = F.coalesce(F.col(f"{a}__{b}"), F.lit(0.0))
@@ -236,3 +246,24 @@ def first_seen_values(df: DataFrame, col: str, order: list[str], n: int = 50) ->
     firsts = df.groupBy(col).agg(F.min(key).alias("_first"))
     return (firsts.orderBy("_first", col).limit(n)
             .select(col, F.col("_first").alias("first_seen")))
+
+
+def correlation_complete_case(df: DataFrame, cols: list[str], part: str = "ticker") -> DataFrame:
+    """AG-14, complete-case variant: rows with any NULL dropped, then
+    ``corr_ab = Σ z_a z_b / n`` on per-ticker standardised columns (one
+    moment aggregate, standardisation by windows on the existing ticker
+    partitioning).  Constant columns give 0, as NULL → 0 in the pairwise form."""
+    from tickwise.operators.pca import standardize_by_window
+    x = df.select(part, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop(subset=cols)
+    z = standardize_by_window(x, cols, part, keep=())
+    p = len(cols)
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    a = z.groupBy(part).agg(F.count(F.lit(1)).alias("_n"), F.first("const").alias("_const"),
+                            *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_m{i}_{j}") for i, j in pairs])
+    items = []
+    for i, j in pairs:
+        v = F.when(F.col("_const")[i] | F.col("_const")[j], F.lit(0.0)).otherwise(F.col(f"_m{i}_{j}") / F.col("_n"))
+        items.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), v.alias("corr")))
+        if i != j:
+            items.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), v.alias("corr")))
+    return a.select(part, F.explode(F.array(*items)).alias("c")).select(part, "c.a", "c.b", "c.corr")

@@ -208,3 +208,8 @@ def q_profile(spark, sf):
 def q_first_seen(spark, sf):
     r = M.first_seen_values(read_table(spark, sf, "part"), "p_type", ["p_partkey"], 50)
     return r.select("p_type", F.col("first_seen.p_partkey").alias("first_seen"))
+
+
+@register("correlation_complete_case", "AG-14", _corr_sql())
+def q_corr_complete(spark, sf):
+    return present(M.correlation_complete_case(features(spark, sf), _CORR_COLS))

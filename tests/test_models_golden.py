@@ -4,8 +4,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
-
 from tickwise.operators import cluster as CL
 from tickwise.operators import forecast as FC
 from tickwise.operators import pca as PC

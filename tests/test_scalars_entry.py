@@ -2,7 +2,6 @@
 and plan-shape tests."""
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from tickwise.functions import scalars as S

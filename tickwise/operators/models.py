@@ -13,7 +13,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickwise.functions.scalars import feature_window
 from tickwise.operators import metrics as M
 from tickwise.operators.projections import complete_cases, finite_only, impute, latest_row, numeric_columns
 from tickwise.operators.timeseries import add_business_days, by_date, chronological_split

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickwise.operators.ema import add_row_number, ema
+from tickwise.operators.ema import add_row_number, ema  # noqa: F401  (re-exported)
 
 FEATURE_COLUMNS = [
     "date", "Open", "High", "Low", "Close", "Adj_Close", "Volume",

@@ -5,8 +5,6 @@ queries reuse one fit; fits use the reference's hyper-parameters.
 """
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tickwise.functions.exprs import present
 from tickwise.operators import models as MD
 from tickwise.plans.catalog import register

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwise.functions.scalars import human_size
-from tickwise.sources.sinks import to_json_rows, write_partitioned
+from tickwise.sources.sinks import to_json_rows
 
 # The six model kinds a run can hold.
 MODEL_KINDS = ["regressor", "classifier", "clusters", "pca", "forecast", "association"]

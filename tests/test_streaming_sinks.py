@@ -83,3 +83,18 @@ def test_ticker_files_loader(spark, tmp_path):
     got = load_ticker_files(spark, str(d)).groupBy("ticker").count().collect()
     want = pdf.groupby("ticker").size().to_dict()
     assert {r["ticker"]: r["count"] for r in got} == want
+
+
+def test_check_report_json_and_markdown(spark):
+    import json
+    from tickwise.sources.sinks import check_report
+    rows = [("A", "missingness", "ok", 0.01, None), ("A", "data_drift", "severe", 0.5, "x" * 2000),
+            ("B", "duplicate_rows", "warning", 3.0, '{"duplicates":3}')]
+    checks = spark.createDataFrame(rows, "ticker string, name string, severity string, value double, details string")
+    rep = {r["ticker"]: r for r in check_report(checks).collect()}
+    assert rep["A"]["overall_status"] == "severe" and rep["B"]["overall_status"] == "warning"
+    doc = json.loads(rep["A"]["json"])
+    assert doc["overall_status"] == "severe" and len(doc["checks"]) == 2
+    md = rep["A"]["markdown"]
+    assert md.startswith("# Checks for A") and "**data_drift**: severe" in md
+    assert max(len(line) for line in md.splitlines()) < 900            # details cut at 800 characters

@@ -1,7 +1,12 @@
 """Shared pieces of the text operators: word patterns, table reading, shared-folder cuts, Arrow helpers."""
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +41,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python, whatever folder they start in; once per context."""
+    sc = spark.sparkContext
+    if any(f.endswith("/tickwise.zip") for f in sc.listFiles):
+        return
+    root = Path(__file__).resolve().parents[1]
+    own = tempfile.mkdtemp(prefix="tickwise-")  # the driver serves the file from here as long as it lives
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    with zipfile.ZipFile(f"{own}/tickwise.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(f"{own}/tickwise.zip")
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[list[list]], list[list]]) -> DataFrame:
     """``fn`` gets the columns of an Arrow batch as Python lists and returns the columns of ``schema``.
 
@@ -44,6 +63,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[list[list]], list[list]])
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

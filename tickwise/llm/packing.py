@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import cut, map_rows, table, whole_text
+from tickwise.llm.common import cut, map_rows, ship, table, whole_text
 
 SEQUENCE_TOKENS = 4096
 #: No piece set of 4096 tokens can exceed either, so tokens decide; smaller values bind.
@@ -157,6 +157,7 @@ def pack(rows: DataFrame, max_tokens: int = SEQUENCE_TOKENS, max_documents: int
     if rule not in ("dot", "norm"):
         raise ValueError(f"rule is dot or norm, not {rule!r}")
     caps = (max_tokens, max_documents, max_attention)
+    ship(rows.sparkSession)
     rows = cut(rows)
     alone = F.col("length") == max_tokens
     total = rows.filter(~alone).count()

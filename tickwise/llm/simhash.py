@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import NULL_ID, cut, map_rows, table, whole_text
+from tickwise.llm.common import NULL_ID, cut, map_rows, ship, table, whole_text
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -101,6 +101,7 @@ def _bucket_edges(buckets: DataFrame, keys: list[str]) -> DataFrame:
     def edges(fps: pd.Series, nodes: pd.Series) -> pd.Series:
         return pd.Series([forest(np.asarray(f, np.int64).view(np.uint64), np.asarray(n, np.int64)) for f, n in zip(fps, nodes)])
 
+    ship(buckets.sparkSession)
     lists = buckets.groupBy(*keys).agg(F.collect_list("fp").alias("fps"), F.collect_list("node").alias("nodes"))
     return lists.filter(F.size("fps") > 1).select(F.explode(edges("fps", "nodes")).alias("e")).select("e.a", "e.b").distinct()
 

@@ -41,6 +41,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """Partitions by the number of narrow rows, and a task per core at least: a small table isn't dealt over thousands."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task)))
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """The same rows, passed through a generator: a filter above stays above.
+
+    Pushed below, a filter on a computed array would compute it again, and
+    once for each use inside a lambda.
+    """
+    return df.select(F.explode_outer(F.array(F.struct("*"))).alias("__row")).select("__row.*")
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python, whatever folder they start in; once per context."""
     sc = spark.sparkContext

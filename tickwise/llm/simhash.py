@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import NULL_ID, cut, map_rows, ship, table, whole_text
+from tickwise.llm.common import NULL_ID, cut, map_rows, settle, ship, table, whole_text
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -103,7 +103,7 @@ def _bucket_edges(buckets: DataFrame, keys: list[str]) -> DataFrame:
 
     ship(buckets.sparkSession)
     lists = buckets.groupBy(*keys).agg(F.collect_list("fp").alias("fps"), F.collect_list("node").alias("nodes"))
-    return lists.filter(F.size("fps") > 1).select(F.explode(edges("fps", "nodes")).alias("e")).select("e.a", "e.b").distinct()
+    return lists.filter(F.size("fps") > 1).select(F.explode(edges("fps", "nodes")).alias("e")).select("e.a", "e.b")
 
 
 def _keyed(df: DataFrame, masks) -> DataFrame:
@@ -116,21 +116,21 @@ def links(classes: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """Edges ``(a, b)`` that connect all fingerprints ``(fp, node)`` linked within the radius; fps are distinct."""
     rows = _keyed(classes, MASKS)
     sizes = rows.groupBy("v", "key").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = cut(rows.join(sizes, ["v", "key"]))
+    shared = rows.join(sizes, ["v", "key"])  # read twice below; both readings reuse its two exchanges
     small = _bucket_edges(shared.filter(F.col("members") <= max_group), ["v", "key"])
     subs = F.lit(None)
     for v, masks in enumerate(SUB_MASKS):
         subs = F.when(F.col("v") == v, F.array(*[F.struct(F.lit(s).alias("s"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("sub")) for s, m in enumerate(masks)])).otherwise(subs)
     spread = shared.filter(F.col("members") > max_group).select("fp", "node", "v", F.explode(subs).alias("t")).select("fp", "node", "v", "t.s", "t.sub")
-    return small.unionByName(_bucket_edges(spread, ["v", "s", "sub"])).distinct()
+    return small.unionByName(_bucket_edges(spread, ["v", "s", "sub"]))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(node, root)`` for every node of the edges: root is the smallest node reachable.
+def components(edges: DataFrame, rows: int = 0) -> DataFrame:
+    """``(node, root)`` for every node of the edges: root is the smallest node reachable; ``rows`` is their expected number.
 
     Alternating large-star and small-star rounds; each is a partial minimum per
     node and a join on it, so a node with very many edges never gathers in one
-    task.  Rounds end when the edge set no longer changes.
+    task.  Rounds end when every edge leads to a root that is no edge's start.
     """
     def star(pairs: DataFrame, up: bool) -> DataFrame:
         best = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -139,16 +139,19 @@ def components(edges: DataFrame) -> DataFrame:
             return joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         return joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(best.select(F.col("u").alias("a"), F.col("m").alias("b")))
 
-    def mark(df: DataFrame):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while (now := mark(edges)) != seen:
-        seen = now
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = star(both, True).filter("a <> b").distinct()
-        edges = cut(star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), False).filter("a <> b").distinct())
+    def state(pairs: DataFrame) -> tuple[int, int]:
+        """Number of edges, and of nodes that keep the edge set from being final."""
+        ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.lit(1).alias("out"), F.lit(0).alias("in")), F.struct(F.col("b").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("in")))).alias("e"))
+        degrees = ends.groupBy("e.u").agg(F.sum("e.out").alias("out"), F.max("e.in").alias("in"))
+        row = degrees.agg(F.coalesce(F.sum("out"), F.lit(0)).alias("n"), F.count_if(F.expr("out > 1 or out > 0 and `in` > 0")).alias("open")).first()
+        return row["n"], row["open"]
+
+    # only what an aggregate leaves is settled: many sorts of a join in one task would each hold memory to its end
+    edges = cut(settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), rows))
+    while (now := state(edges))[1]:
+        both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.u", "e.v")
+        large = star(both, True).filter("a <> b")
+        edges = cut(settle(star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), False).filter("a <> b").distinct(), now[0]))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
@@ -161,9 +164,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated result rows.  An empty table gives an empty result.
     """
     fps = cut(fingerprints(docs, id_col, text_col))
-    classes = cut(fps.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NULL_ID))).alias("node")))
+    classes = fps.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NULL_ID))).alias("node"))
+    classes = cut(settle(classes, fps.count()))
+    count = classes.count()
     # two classes may share a smallest id when ids repeat: such rows are one node already
-    roots = components(links(classes, max_group))
+    roots = components(links(classes, max_group), count)
     named = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     out = fps.join(named, "fp")
     return out.select(

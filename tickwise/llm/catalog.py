@@ -3,13 +3,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from tickwise.llm.fingerprints import op9_fingerprints
+from tickwise.llm.licenses import op10_licenses
 from tickwise.llm.mixing import op8_mixing
 from tickwise.llm.packing import op5_packing
+from tickwise.llm.pii import op6_pii
 from tickwise.llm.quality_rules import op3_quality_rules
+from tickwise.llm.secrets import op1_secrets
 from tickwise.llm.simhash import op7_simhash
+from tickwise.llm.url_filter import op2_url_filter
+from tickwise.llm.weak_quality import op4_quality_classifier
 
 QUERIES: dict[str, Callable] = {
-    f.__name__: f for f in (op3_quality_rules, op5_packing, op7_simhash, op8_mixing)
+    f.__name__: f for f in (
+        op1_secrets, op2_url_filter, op3_quality_rules, op4_quality_classifier, op5_packing,
+        op6_pii, op7_simhash, op8_mixing, op9_fingerprints, op10_licenses,
+    )
 }
 
 ORACLES: dict[str, str] = {}

@@ -53,6 +53,20 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Words(dict):
+    """The ids of each word met so far; a new word is encoded when it is first looked up."""
+
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= CACHE_CHARS:
+            self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     """Token ids of a text as little-endian 32-bit words.
 
@@ -66,35 +80,28 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole, self.letters = Tokenizer.from_file(path), _byte_letters()
-        self.model, self.cache, self.marks = self.whole.model, {"": b""}, {"": b""}
+        self.model, self.words, self.marks = self.whole.model, _Words(self._new), _Words(self._all)
+
+    def _all(self, text: str) -> bytes:
+        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _new(self, word: str) -> bytes:
         latin = _WORD_AND_MARKS.fullmatch(word)
         if not latin:
-            return np.asarray(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._all(word)
         core, marks = latin.groups()
         core = core.lower()
         if not core.isascii():
             core = core.encode().decode("latin-1").translate(self.letters)
         ids = [t.id for t in self.model.tokenize(core)]
-        if (tail := self.marks.get(marks)) is None:
-            tail = np.asarray(self.whole.encode(marks, add_special_tokens=False).ids, "<u4").tobytes()
-            if len(marks) <= 8:  # few enough to keep
-                self.marks[marks] = tail
-        return struct.pack(f"<{len(ids)}I", *ids) + tail
+        return struct.pack(f"<{len(ids)}I", *ids) + self.marks[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache = self.cache = {"": b""}
-            self.marks = {"": b""}
-        found = {w: self._new(w) for w in set().union(*split).difference(cache)}
-        long = {w: found.pop(w) for w in [w for w in found if len(w) > CACHE_CHARS]}
-        cache.update(found)
-        if long:
-            return [b"".join([long[w] if w in long else cache[w] for w in words]) for words in split]
-        return [b"".join(map(cache.__getitem__, words)) for words in split]
+        if len(self.words) + len(self.marks) > CACHE_WORDS:
+            self.words.clear()
+            self.marks.clear()
+        look = self.words.__getitem__
+        return [b"".join(map(look, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import WORD, table, whole_text, words_of
+from tickwise.llm.common import WORD, hold, table, whole_text, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -117,7 +117,10 @@ def clean(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -
 
     A text without a failing line stays as it is, blank lines included.
     """
-    step = rule_columns(docs, text_col, max_lost).filter("__kept")
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    wanted = [*names.values(), "__kept", "__good_lines", "__good_chars", "__word_chars"]
+    step = hold(rule_columns(docs.withColumnsRenamed(names), names[text_col], max_lost).select(*wanted)).filter("__kept")
+    step = step.withColumnsRenamed({v: k for k, v in names.items()})
     lines = F.array_join("__good_lines", "\n")
     text = F.when(F.col("__good_chars") == F.col("__word_chars"), F.col(text_col)).otherwise(lines)
     out = step.withColumn(text_col, text)

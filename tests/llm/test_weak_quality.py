@@ -5,17 +5,15 @@ from tickwise.llm import weak_quality as W
 
 def test_estimation_recovers_accuracies():
     r = np.random.default_rng(2)
-    n, m = 20_000, len(W.LABELLERS)
-    label = r.random(n) < 0.8
-    right = np.linspace(0.95, 0.65, m)
-    votes = np.where(r.random((n, m)) < right, np.where(label, 1, -1)[:, None], np.where(label, -1, 1)[:, None])
-    votes[r.random((n, m)) < 0.3] = 0
-    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    n, m = 40_000, len(W.LABELLERS)
+    bad = r.random(n) < 0.15
+    catch, alarm = np.linspace(0.7, 0.2, m), np.full(m, 0.004)
+    calls = (r.random((n, m)) < np.where(bad[:, None], catch, alarm)).astype(int)
+    patterns, counts = np.unique(calls, axis=0, return_counts=True)
     model = W.Accuracies(patterns, counts.astype(float))
-    assert abs(model.prior[1] - 0.8) < 0.03
-    found = model.table[1, :, 2] / (model.table[1, :, 2] + model.table[1, :, 0])
-    assert np.abs(found - right).max() < 0.05
-    assert ((model.good(votes) > 0.5) == label).mean() > 0.97
+    assert abs(model.bad - 0.15) < 0.02
+    assert np.abs(model.calls[0] - catch).max() < 0.05 and np.abs(model.calls[1] - alarm).max() < 0.004
+    assert ((model.good(calls) > 0.5) != bad).mean() > 0.97
 
 
 def test_held_out_labels(spark):

@@ -86,13 +86,11 @@ def placed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
     The sizes are cut to a table once; texts are not shuffled.
     """
-    order = F.xxhash64(F.col(id_col), F.lit("mix"))
+    order = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("mix")), 1)  # 63 bits, never negative: buckets follow the order
     rows = sizes(docs, source_col, text_col).select(F.col(id_col).alias("__id"), F.col("__size"), F.col("__source"), F.xxhash64(whole_text(text_col)).alias("__tie"), order.alias("__h"), *keep)
     rows = cut(rows)
     buckets = 1 << max(0, (rows.count() // bucket_rows).bit_length())
-    shift = 64 - (buckets.bit_length() - 1)
-    bucket = F.lit(0).cast("bigint") if buckets == 1 else F.shiftrightunsigned("__h", shift)
-    rows = rows.withColumn("__b", bucket)
+    rows = rows.withColumn("__b", F.shiftright("__h", 63 - (buckets.bit_length() - 1)) if buckets > 1 else F.lit(0).cast("bigint"))
     sums = cut(rows.groupBy("__source", "__b").agg(F.sum("__size").alias("__sum")))
     goals = targets(sums.groupBy("__source").agg(F.sum("__sum").alias("source_size")), weights, budget, max_copies)
     before = F.sum("__sum").over(Window.partitionBy("__source").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))

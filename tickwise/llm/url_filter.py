@@ -28,16 +28,16 @@ from tickwise.llm.secrets import ranked_words, vocabulary_path
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Words of blocked topics, the seeds of the blocked class.
 SEEDS = (
-    "adult", "bet", "betting", "bonus", "casino", "cheap", "cialis", "crack", "cracked", "dating", "escort", "farm", "gambling", "hacked", "hentai",
+    "ads", "adserver", "adult", "bet", "betting", "bonus", "casino", "cheap", "cialis", "crack", "cracked", "dating", "escort", "farm", "gambling", "hacked", "hentai",
     "jackpot", "keygen", "loan", "loans", "lottery", "malware", "nude", "payday", "phishing", "pills", "piracy", "poker", "porn", "replica", "sex",
-    "sexy", "slots", "spam", "torrent", "viagra", "warez", "webcam", "xxx",
+    "sexy", "slots", "spam", "torrent", "track", "tracker", "tracking", "viagra", "warez", "webcam", "xxx",
 )
 #: Two seeds that alone are ordinary words count only beside another seed.
-WEAK_SEEDS = ("cheap", "farm", "bonus", "bet", "adult", "dating", "loan", "loans", "crack", "cracked", "slots", "webcam", "replica")
+WEAK_SEEDS = ("cheap", "farm", "bonus", "bet", "track", "tracker", "tracking", "dating", "loan", "loans", "crack", "cracked", "slots", "webcam", "replica")
 #: Host parts without meaning.
 PLAIN = ("www", "m", "com", "net", "org", "co", "example", "html", "htm", "php")
 BUCKETS = 4096
-SMOOTHING = 1.0
+SMOOTHING = 10.0
 #: Log-odds from which a url is blocked.
 THRESHOLD = 0.0
 LONGEST_WORD = 20
@@ -130,9 +130,11 @@ def train(pages: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING
         rows.select("bad", F.explode("words").alias("w")).select("bad", F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int").alias("b"))
         .groupBy("b").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect())  # a row per bucket at most
     bad_all, good_all = (sum(r[k] for r in counts) for k in ("bad", "good"))
-    weights = [math.log(smoothing / (bad_all + smoothing * buckets)) - math.log(smoothing / (good_all + smoothing * buckets))] * buckets
+    weights = [0.0] * buckets
     for r in counts:
-        weights[r["b"]] = math.log((r["bad"] + smoothing) / (bad_all + smoothing * buckets)) - math.log((r["good"] + smoothing) / (good_all + smoothing * buckets))
+        # smoothed towards the bucket's share of all words, so that a rare word of the larger class doesn't speak for the smaller
+        share = smoothing * (r["bad"] + r["good"] + 1) / (bad_all + good_all + buckets)
+        weights[r["b"]] = math.log((r["bad"] + share) / (bad_all + smoothing)) - math.log((r["good"] + share) / (good_all + smoothing))
     n, bad = prior["n"], prior["bad"] or 0
     return math.log((bad + 1) / (n - bad + 1)), weights
 

@@ -1,13 +1,13 @@
 """Quality classifier from weak labels.
 
-Heuristic labellers vote good, bad or nothing on every document.  Expectation-
+Heuristic labellers, each for one kind of junk, call a document bad or say nothing.  Expectation-
 maximisation estimates how often each is right from the votes alone, without a
 labelled document; the posterior of a document's votes is its soft label.  A
 linear scorer over hashed word shapes learns the soft labels and judges every
-document, also those on which the labellers say nothing.
+document by its own words, whatever the labellers said.
 
 Scale: the vote patterns are counted with a partial aggregate, at most
-3^labellers rows, and the estimation runs on the counts, so it sees all
+2^labellers rows, and the estimation runs on the counts, so it sees all
 documents.  The scorer is fitted on a bounded sample (``SAMPLE`` documents,
 chosen by a hash of the id) and is an array of ``BUCKETS`` numbers inside one
 expression: scoring needs no shuffle.
@@ -23,7 +23,9 @@ from tickwise.llm.common import WORD, table, whole_text, words_of
 #: Documents the linear scorer is fitted on, and the hash buckets of its features.
 SAMPLE, BUCKETS = 3000, 1024
 #: Passes of the estimation and of the fit, and the fit's step and penalty.
-EM_ROUNDS, FIT_ROUNDS, STEP, PENALTY = 60, 400, 8.0, 1e-4
+EM_ROUNDS, FIT_ROUNDS, STEP, PENALTY = 60, 1500, 10.0, 1e-5
+#: Words added to a text's number of words, so that a few words say little.
+PAD = 10
 #: Probability of being good from which a document is kept.
 KEEP = 0.5
 
@@ -39,26 +41,29 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 def votes(s: Column) -> dict[str, Column]:
-    """The labellers: 1 for good, -1 for bad, 0 for no opinion; ``s`` is the struct of statistics."""
+    """The labellers, each true where it calls a document bad; ``s`` is the struct of statistics.
+
+    A labeller knows one kind of junk, so its silence says little and only its
+    calls are modelled.
+    """
     n = F.greatest(s["n_words"], F.lit(1))
     rate = lambda c: s[c] / n
-    vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
-    # the share of different words falls with length, so it is judged against the square root
+    long = n >= 30  # of fewer words, most of these say nothing
+    # the number of different words grows more slowly than the text, so it is judged against the square root
     distinct = F.size(F.array_distinct(s["words"]))
     return {
-        "length": vote(s["n_words"] < 20, s["n_words"] >= 100),
-        "symbols": vote(rate("symbols") > 0.2, rate("symbols") < 0.02),
-        "shouts": vote(rate("shouts") > 0.3, rate("shouts") < 0.05),
-        "capitals": vote(s["upper"] > 0.4 * s["letters"], s["upper"] < 0.15 * s["letters"]),
-        "variety": vote(distinct < 0.3 * F.least(n, 4 * F.sqrt(n.cast("double"))), distinct > 0.9 * F.least(n, 4 * F.sqrt(n.cast("double")))),
-        "sentences": vote((s["ends"] * 60 < n) | (s["ends"] * 3 > n * 2), (s["ends"] * 30 >= n) & (s["ends"] * 3 <= n)),
-        "digits": vote(s["digits"] > 0.2 * s["chars"], F.lit(False)),
-        "lines": vote((F.size(s["lines"]) > 4) & (F.size(F.array_distinct(s["lines"])) < 0.7 * F.size(s["lines"])), F.lit(False)),
-        "word_length": vote((s["chars"] > 14 * n) | (s["chars"] < 3 * n), (s["chars"] >= 4 * n) & (s["chars"] <= 9 * n)),
+        "symbols": rate("symbols") > 0.2,
+        "shouts": rate("shouts") > 0.3,
+        "capitals": long & (s["upper"] > 0.4 * s["letters"]),
+        "variety": long & (distinct < 0.5 * F.least(n, 4 * F.sqrt(n.cast("double")))),
+        "sentences": long & ((s["ends"] * 60 < n) | (s["ends"] * 3 > n * 2)),
+        "digits": s["digits"] > 0.2 * s["chars"],
+        "lines": (F.size(s["lines"]) > 4) & (F.size(F.array_distinct(s["lines"])) < 0.7 * F.size(s["lines"])),
+        "word_length": long & ((s["chars"] > 14 * n) | (s["chars"] < 3 * n)),
     }
 
 
-LABELLERS = ("length", "symbols", "shouts", "capitals", "variety", "sentences", "digits", "lines", "word_length")
+LABELLERS = ("symbols", "shouts", "capitals", "variety", "sentences", "digits", "lines", "word_length")
 
 
 def shapes(text: Column) -> Column:
@@ -68,38 +73,43 @@ def shapes(text: Column) -> Column:
     return words_of(text)
 
 
+#: Where estimation starts: the share of bad documents, and of bad and good documents that a labeller calls bad.
+START_BAD, START_CALLS = 0.2, (0.3, 0.01)
+#: A labeller may call this share of the good documents bad.  Without the bound, estimation would take the one
+#: commonest kind of junk for the whole bad class, and each other kind for good documents that some labeller mistakes.
+FALSE_ALARMS = 0.01
+
+
 class Accuracies:
-    """Naive-Bayes model of the votes given the hidden label, by expectation-maximisation over counted patterns."""
+    """Naive-Bayes model of the calls given the hidden label, by expectation-maximisation over counted patterns."""
 
-    def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS):
+    def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS, false_alarms: float = FALSE_ALARMS):
         m = patterns.shape[1]
-        hot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)  # pattern, labeller, vote
-        # start: labellers are right more often than not
-        self.table = np.tile(np.array([[[0.35, 0.5, 0.15]], [[0.1, 0.5, 0.4]]]), (1, m, 1))  # label, labeller, vote
-        self.prior = np.array([0.3, 0.7])
+        self.bad = START_BAD
+        #: By labeller, the share of bad documents and of good documents that it calls bad.
+        self.calls = np.tile(np.array(START_CALLS)[:, None], (1, m))
         for _ in range(rounds if counts.sum() else 0):
-            q = self._posterior(hot) * counts[:, None]
-            self.prior = (q.sum(axis=0) + 1) / (q.sum() + 2)
-            table = np.einsum("pl,pmv->lmv", q, hot) + 0.5
-            self.table = table / table.sum(axis=2, keepdims=True)
-        self.hot = hot
-
-    def _posterior(self, hot: np.ndarray) -> np.ndarray:
-        log = np.log(self.prior)[None] + np.einsum("pmv,lmv->pl", hot, np.log(self.table))
-        log -= log.max(axis=1, keepdims=True)
-        p = np.exp(log)
-        return p / p.sum(axis=1, keepdims=True)
+            good = self.good(patterns)
+            q = np.stack([(1 - good) * counts, good * counts])
+            self.bad = float((q[0].sum() + 1) / (counts.sum() + 2))
+            self.calls = (q @ patterns + 0.5) / (q.sum(axis=1, keepdims=True) + 1)
+            self.calls[1] = np.minimum(self.calls[1], false_alarms)
+
+    def weights(self) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log-odds of good: before any call, for a labeller's call, and for its silence."""
+        c = self.calls
+        return float(np.log((1 - self.bad) / self.bad)), np.log(c[1] / c[0]), np.log((1 - c[1]) / (1 - c[0]))
 
     def good(self, patterns: np.ndarray) -> np.ndarray:
-        hot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
-        return self._posterior(hot)[:, 1]
+        prior, call, silence = self.weights()
+        return 1 / (1 + np.exp(-(prior + patterns @ call + (1 - patterns) @ silence)))
 
     def column(self, v: Column) -> Column:
-        """The posterior as an expression over the struct of votes."""
-        log = F.lit(float(np.log(self.prior[1] / self.prior[0])))
+        """The posterior of good as an expression over the struct of votes."""
+        prior, call, silence = self.weights()
+        log = F.lit(prior)
         for k, name in enumerate(LABELLERS):
-            weights = np.log(self.table[1, k] / self.table[0, k]).tolist()
-            log = log + F.when(v[name] < 0, weights[0]).when(v[name] > 0, weights[2]).otherwise(weights[1])
+            log = log + F.when(v[name], float(call[k])).otherwise(float(silence[k]))
         return 1 / (1 + F.exp(-log))
 
 
@@ -107,20 +117,26 @@ def voted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``doc_id``, ``text`` and the struct ``votes``."""
     step = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     step = step.withColumn("s", F.struct(*[v.alias(k) for k, v in statistics(F.col("text")).items()]))
-    held = F.get(F.transform(F.array("s"), lambda s: F.struct(*[v.cast("int").alias(k) for k, v in votes(s).items()])), 0)
+    held = F.get(F.transform(F.array("s"), lambda s: F.struct(*[F.coalesce(v, F.lit(False)).alias(k) for k, v in votes(s).items()])), 0)
     return step.select("doc_id", "text", held.alias("votes"))
 
 
 def estimate(rows: DataFrame, rounds: int = EM_ROUNDS) -> Accuracies:
     """The labellers' accuracies from the counted patterns of all documents."""
-    counted = rows.groupBy("votes").count().select("votes.*", "count").collect()  # 3^labellers rows at most
+    counted = rows.groupBy("votes").count().select("votes.*", "count").collect()  # 2^labellers rows at most
     patterns = np.array([[r[k] for k in LABELLERS] for r in counted], int).reshape(-1, len(LABELLERS))
     order = np.lexsort(patterns.T) if len(patterns) else []
     return Accuracies(patterns[order], np.array([r["count"] for r in counted], float)[order], rounds)
 
 
-def bucketed(text: Column, buckets: int = BUCKETS) -> Column:
-    return F.transform(shapes(text), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+def with_buckets(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with ``b``, the bucket of each word: its shape, and whether it repeats the word before."""
+    step = df.withColumns({"__w": words_of(F.col("text")), "__s": shapes(F.col("text"))})
+    w = F.col("__w")
+    again = lambda i: F.coalesce(F.get(w, i) == F.get(w, i - 1), F.lit(False))
+    b = F.transform("__s", lambda s, i: F.pmod(F.xxhash64(s, again(i)), F.lit(buckets)).cast("int"))
+    # both arrays are used twice, so that neither is inlined into the lambda
+    return step.withColumn("b", F.when(F.size("__s") == F.size("__w"), b)).drop("__w", "__s")
 
 
 def fit_scorer(rows: DataFrame, labels: Accuracies, sample: int = SAMPLE, buckets: int = BUCKETS) -> tuple[float, list[float]]:
@@ -129,7 +145,7 @@ def fit_scorer(rows: DataFrame, labels: Accuracies, sample: int = SAMPLE, bucket
     At most ``sample * buckets`` counts come to the driver.
     """
     chosen = rows.filter(F.length("text") > 0).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample)
-    counted = chosen.select(F.xxhash64("doc_id", "text").alias("row"), labels.column(F.col("votes")).alias("y"), F.explode(bucketed(F.col("text"), buckets)).alias("b"))
+    counted = with_buckets(chosen, buckets).select(F.xxhash64("doc_id", "text").alias("row"), labels.column(F.col("votes")).alias("y"), F.explode_outer("b").alias("b")).filter("b is not null")
     got = counted.groupBy("row", "b").agg(F.count("*").alias("n"), F.first("y").alias("y")).collect()
     names = {r: i for i, r in enumerate(sorted({g["row"] for g in got}))}
     if not names:
@@ -137,12 +153,10 @@ def fit_scorer(rows: DataFrame, labels: Accuracies, sample: int = SAMPLE, bucket
     x, y = np.zeros((len(names), buckets)), np.zeros(len(names))
     for g in got:
         x[names[g["row"]], g["b"]], y[names[g["row"]]] = g["n"], g["y"]
-    x /= x.sum(axis=1, keepdims=True)
+    x /= x.sum(axis=1, keepdims=True) + PAD
     w, b = np.zeros(buckets), 0.0
-    balance = np.where(y > 0.5, 0.5 / max((y > 0.5).mean(), 1e-3), 0.5 / max((y <= 0.5).mean(), 1e-3))
     for _ in range(FIT_ROUNDS):
-        p = 1 / (1 + np.exp(-(x @ w + b)))
-        e = (y - p) * balance
+        e = y - 1 / (1 + np.exp(-(x @ w + b)))
         w += STEP * (x.T @ e / len(y) - PENALTY * w)
         b += STEP * e.mean()
     return float(b), w.tolist()
@@ -158,9 +172,10 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     rows = voted(docs, id_col, text_col)
     labels = estimate(rows)
     bias, weights = fit_scorer(rows, labels, sample, buckets)
-    step = rows.select("doc_id", labels.column(F.col("votes")).alias("weak"), bucketed(F.col("text"), buckets).alias("b"))
+    step = rows.select("doc_id", labels.column(F.col("votes")).alias("weak"), "text")
+    step = with_buckets(step, buckets)
     total = F.aggregate("b", F.lit(0.0), lambda acc, k: acc + F.get(F.lit(weights), k))
-    raw = F.when(F.size("b") > 0, total / F.size("b") + F.lit(bias))
+    raw = F.when(F.size("b") > 0, total / (F.size("b") + PAD) + F.lit(bias))
     step = step.withColumn("score", F.coalesce(1 / (1 + F.exp(-raw)), F.col("weak")))
     return step.select("doc_id", "weak", "score", (F.col("score") >= keep).alias("kept"))
 

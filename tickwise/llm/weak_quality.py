@@ -77,7 +77,7 @@ def shapes(text: Column) -> Column:
 START_BAD, START_CALLS = 0.2, (0.3, 0.01)
 #: A labeller may call this share of the good documents bad.  Without the bound, estimation would take the one
 #: commonest kind of junk for the whole bad class, and each other kind for good documents that some labeller mistakes.
-FALSE_ALARMS = 0.01
+FALSE_ALARMS = 0.002
 
 
 class Accuracies:

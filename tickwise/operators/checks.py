@@ -28,14 +28,18 @@ def check_row(name: str, severity: Column, value: Column, details: Column | None
 
 
 def integrity_checks(df: DataFrame, numeric_cols: list[str], group=("ticker",),
-                     date_col: str | None = "date", order_col: str | None = None) -> DataFrame:
+                     date_col: str | None = "date", order_col: str | None = None,
+                     expected: DataFrame | None = None) -> DataFrame:
     """DQ-01 (+ DQ-02 when ``order_col`` gives the file order): row count,
-    mean missing rate, duplicate rows, date monotonic in file order."""
+    mean missing rate, duplicate rows, date monotonic in file order.  A group
+    of ``expected`` without any row has ``file_non_empty`` severe."""
     g = _g(group)
     shape = M.shape(df, g)
     miss = M.missing_rate(df, numeric_cols, g)
     dups = M.duplicate_rows(df, [c for c in df.columns if c not in g], g).drop("n_rows")
     t = shape.join(miss, g, "left").join(dups, g, "left")
+    if expected is not None:
+        t = expected.select(*g).distinct().join(t, g, "left").fillna(0, ["n_rows", "n_cols"])
     rows = [
         check_row("file_non_empty", F.when(F.col("n_rows") > 0, "ok").otherwise("severe"), F.col("n_rows"),
                   F.to_json(F.struct(F.col("n_rows").alias("rows"), F.col("n_cols").alias("cols")))),
@@ -178,11 +182,27 @@ def drift_checks(baseline: DataFrame, current: DataFrame, metric: str = "ks", gr
         F.to_json(F.struct("shared_columns", "severe_count", "severe_features"))))).alias("c")).select(*g, "c.*")
 
 
+def _with_expected(counts: DataFrame, expected: DataFrame | None, g: list[str]) -> DataFrame:
+    if expected is None:
+        return counts
+    return expected.select(*g).distinct().join(counts, g, "left").fillna(0, ["n_rows"])
+
+
+def missing_artifacts(kind: str, expected: DataFrame, stored: DataFrame, group=("ticker",)) -> DataFrame:
+    """DQ-09: a ``<kind>_artifacts`` warning for every expected group without stored metadata."""
+    g = _g(group)
+    lost = expected.select(*g).distinct().join(stored.select(*g).distinct(), g, "left_anti")
+    row = check_row(f"{kind}_artifacts", F.lit("warning"), F.lit(None), F.lit("no stored metadata"))
+    return lost.select(*g, row.alias("c")).select(*g, "c.*")
+
+
 def regressor_gate(scored: DataFrame, y: str, p: str, stored: DataFrame | None = None,
-                   group=("ticker",), order: str = "date", min_rows: int = 50) -> DataFrame:
+                   group=("ticker",), order: str = "date", min_rows: int = 50,
+                   expected: DataFrame | None = None) -> DataFrame:
     """DQ-07: score the last 20 % of rows; severe when RMSE exceeds 3 × the
-    stored RMSE (or 0.10 without one); fewer than ``min_rows`` → warning;
-    a ticker without stored metadata → model_artifacts warning (DQ-09)."""
+    stored RMSE (or 0.10 without one); fewer than ``min_rows`` → warning.
+    Groups of ``expected`` without a scored row have that warning too, and
+    those without stored metadata a ``regressor_artifacts`` warning (DQ-09)."""
     g = _g(group)
     d = scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     w = Window.partitionBy(*g).orderBy(order)
@@ -191,7 +211,7 @@ def regressor_gate(scored: DataFrame, y: str, p: str, stored: DataFrame | None =
     test = d.where(F.col("_rn") > F.floor(F.col("_n") * 0.8))
     m = M.regression_metrics(test, y, p, g)
     cnt = d.groupBy(*g).agg(F.max("_n").alias("n_rows"))
-    t = cnt.join(m, g, "left")
+    t = _with_expected(cnt, expected, g).join(m, g, "left")
     if stored is not None:
         t = t.join(stored.select(*g, F.col("rmse").alias("baseline_rmse")), g, "left")
     else:
@@ -201,12 +221,14 @@ def regressor_gate(scored: DataFrame, y: str, p: str, stored: DataFrame | None =
     sev = (F.when(F.col("n_rows") < min_rows, "warning").when(bad, "severe").otherwise("ok"))
     return t.select(*g, F.explode(F.array(check_row(
         "regressor_performance", sev, F.col("rmse"),
-        F.to_json(F.struct("rmse", "mae", "baseline_rmse"))))).alias("c")).select(*g, "c.*")
+        F.to_json(F.struct("rmse", "mae", "baseline_rmse"))))).alias("c")).select(*g, "c.*").transform(
+            lambda rows: rows if expected is None or stored is None else rows.unionByName(missing_artifacts("regressor", expected, stored, g)))
 
 
 def classifier_gate(scored: DataFrame, y: str, p: str, group=("ticker",), order: str = "date",
-                    min_rows: int = 50) -> DataFrame:
-    """DQ-08: last 20 % of rows; severe if log loss > 1 or AUC < .5."""
+                    min_rows: int = 50, expected: DataFrame | None = None) -> DataFrame:
+    """DQ-08: last 20 % of rows; severe if log loss > 1 or AUC < .5; groups of
+    ``expected`` without a scored row → warning."""
     g = _g(group)
     d = scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     w = Window.partitionBy(*g).orderBy(order)
@@ -216,7 +238,7 @@ def classifier_gate(scored: DataFrame, y: str, p: str, group=("ticker",), order:
     cm = M.classification_metrics(test, y, p, g).drop("n", "brier")
     auc = M.roc_auc(test, y, p, g).select(*g, "auc")
     cnt = d.groupBy(*g).agg(F.max("_n").alias("n_rows"))
-    t = cnt.join(cm, g, "left").join(auc, g, "left")
+    t = _with_expected(cnt, expected, g).join(cm, g, "left").join(auc, g, "left")
     bad = (F.col("logloss") > 1.0) | F.coalesce(F.col("auc") < 0.5, F.lit(False))
     sev = F.when(F.col("n_rows") < min_rows, "warning").when(bad, "severe").otherwise("ok")
     return t.select(*g, F.explode(F.array(check_row(

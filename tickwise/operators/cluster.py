@@ -7,7 +7,7 @@ KMeans runs for every ticker at once as DataFrame iterations:
   of the row — exact D²-weighted sampling, deterministic for a seed, and a
   plain ``min_by`` per ticker;
 * a Lloyd step joins the rows to one row of ``k`` centres per ticker
-  (broadcast behind a size check), picks the nearest centre with array
+  (AQE broadcasts it when its bytes are few), picks the nearest centre with array
   expressions, and averages coordinates per (ticker, cluster) with
   map-side partial aggregation — one ticker's rows are spread over all
   tasks;
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickwise.operators.joins import bounded_broadcast, scalar_array
+from tickwise.operators.joins import query_blocks
 from tickwise.session import checkpoint_dir
 
 
@@ -49,27 +49,26 @@ def nearest(x: Column, centers: Column) -> tuple[Column, Column]:
 
 
 def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), key=("date",),
-           seed: int = 42, max_iter: int = 100, tol: float = 1e-4):
+           seed: int = 42, max_iter: int = 300, tol: float = 1e-4):
     """ML-13: KMeans per group on the given (already scaled) columns.
 
     Returns ``(labels, centers, summary)``: labels (group, key, cluster_label,
     d2), centers (group, centers array<array<double>>), summary (group,
-    n_rows, inertia, sizes array<bigint>, n_iter).  Groups with fewer than
-    ``k`` rows are skipped.
+    n_rows, inertia, sizes array<bigint>, status, n_iter, converged).  Groups
+    with fewer than ``k`` rows have a summary row with status ``skipped`` and
+    no other values.  ``max_iter`` is the reference library's default; a group
+    that still moves then is marked ``converged = false``.
     """
     g, key = _g(group), list(key)
     spark = points.sparkSession
     checkpoint_dir(spark)
     pts = points.select(*g, *key, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    ok = pts.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
-    n_groups = ok.count()
-    pts = pts.join(bounded_broadcast(ok.select(*g), known_rows=n_groups), g)
     # Written once to the shared checkpoint folder: every iteration then
     # starts from a plain scan (short lineage, survives executor loss).
-    pts = pts.checkpoint()
-
-    def bc(df):
-        return bounded_broadcast(df, known_rows=n_groups)
+    every = pts.checkpoint()
+    counts = every.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    small = counts.where(F.col("_n") < k)
+    pts = every.join(small.select(*g), g, "left_anti")
 
     # k-means++ seeding by exponential races
     cen = pts.groupBy(*g).agg(F.min_by("x", _uniform(g + key, seed, 0)).alias("c0"))
@@ -77,32 +76,37 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
     for j in range(1, k):
         d2 = F.array_min(F.transform("centers", lambda c: dist2(c, F.col("x"))))
         score = F.when(d2 > 0, -F.ln(_uniform(g + key, seed, j)) / d2)
-        nxt = pts.join(bc(cen), g).groupBy(*g).agg(F.min_by("x", score).alias("_c"),
+        nxt = pts.join(cen, g).groupBy(*g).agg(F.min_by("x", score).alias("_c"),
                                                    F.first("centers").alias("_old"))
         cen = nxt.select(*g, F.concat("_old", F.array(F.coalesce("_c", F.element_at("_old", 1))))
                          .alias("centers")).checkpoint()
 
-    n_iter = 0
-    for it in range(max_iter):
-        n_iter = it + 1
+    # groups whose centres rest leave the loop; only the others are read again
+    rest, moving = None, cen
+    for it in range(1, max_iter + 1):
         lab, _ = nearest(F.col("x"), F.col("centers"))
-        a = pts.join(bc(cen), g).select(*g, lab.alias("_cid"), "x")
+        a = pts.join(moving, g).select(*g, lab.alias("_cid"), "x")
         p = len(cols)
         means = a.groupBy(*g, "_cid").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(p)]).alias("_m"))
         upd = means.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_cid", "_m"))).alias("_mp"))
-        new = cen.join(upd, g, "left").select(
+        new = moving.join(upd, g, "left").select(
             *g, F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                             lambda i: F.coalesce(F.element_at("_mp", i), F.element_at("centers", i + 1))
                             ).alias("centers"), F.col("centers").alias("_prev"))
         new = new.withColumn("_shift", F.aggregate(F.zip_with("centers", "_prev", lambda c, o: dist2(c, o)),
                                                    F.lit(0.0), lambda s, v: s + v)).checkpoint()
-        shift = new.agg(F.max("_shift")).first()[0] or 0.0
-        cen = new.select(*g, "centers")
-        if shift <= tol:
+        still = F.coalesce(F.col("_shift"), F.lit(0.0)) > tol
+        last = it == max_iter
+        done = new.where(F.lit(True) if last else ~still).select(*g, "centers", F.lit(it).alias("n_iter"), (~still).alias("converged"))
+        rest = done if rest is None else rest.unionByName(done)
+        moving = new.where(still).select(*g, "centers")
+        if last or moving.isEmpty():
             break
+    done = rest.checkpoint()
+    cen = done.select(*g, "centers")
 
     lab, d2 = nearest(F.col("x"), F.col("centers"))
-    labels = pts.join(bc(cen), g).select(*g, *key, lab.alias("cluster_label"), d2.alias("d2"))
+    labels = pts.join(cen, g).select(*g, *key, lab.alias("cluster_label"), d2.alias("d2"))
     summary = labels.groupBy(*g).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("d2").alias("inertia"))
     sizes = (labels.groupBy(*g, "cluster_label").agg(F.count(F.lit(1)).alias("cnt"))
              .groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("cluster_label", "cnt"))).alias("_sz")))
@@ -110,8 +114,10 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
         *g, "n_rows", "inertia",
         F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                     lambda i: F.coalesce(F.element_at("_sz", i), F.lit(0).cast("bigint"))).alias("sizes"),
-        F.lit(n_iter).alias("n_iter"))
-    return labels, cen, summary
+        F.lit("ok").alias("status"))
+    summary = summary.join(done.select(*g, "n_iter", "converged"), g)
+    skipped = small.select(*g, F.col("_n").alias("n_rows"), F.lit("skipped").alias("status"))
+    return labels, cen, summary.unionByName(skipped, allowMissingColumns=True)
 
 
 def assign_to_centers(rows: DataFrame, centers: DataFrame, vec: str, group=("ticker",),
@@ -120,9 +126,9 @@ def assign_to_centers(rows: DataFrame, centers: DataFrame, vec: str, group=("tic
     scaler table (mean, scale arrays; zero scale → 1) rows are scaled first."""
     g = _g(group)
     if g:
-        j = rows.join(bounded_broadcast(centers), g)
-    else:
-        j = rows.select("*", F.element_at(scalar_array(centers, F.col("centers")), 1).alias("centers"))
+        j = rows.join(centers, g)
+    else:  # one row of centres for all rows
+        j = query_blocks(rows, centers).withColumn("centers", F.element_at("queries", 1)["centers"])
     x = F.col(vec)
     if scale is not None:
         j = j.join(scale.select(*g, "mean", "scale"), g)

@@ -4,7 +4,7 @@
 The close is densified to a calendar grid and forward filled (TS-16), then
 differenced.  Per ticker the ordered differences form one array — a daily
 series has at most one value per calendar day (≈ 36 500 per century), so
-this row is bounded; longer inputs are rejected, not cut.  The CSS
+this row is bounded by the calendar.  The CSS
 residual recursion ``e_t = d_t − φ d_(t−1) − θ e_(t−1)`` (``e`` starts at 0
 after the first difference) is an ``aggregate`` over that array, evaluated
 for every point of a (φ, θ) grid: the grid is exploded next to the series
@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.operators.timeseries import forecast_dates, infer_frequency
 
-MAX_SERIES = 2_000_000
-
 
 def regrid(series: DataFrame, value: str = "Close", part: str = "ticker") -> DataFrame:
     """TS-16 + TS-17: re-grid each ticker at its inferred frequency (D: every
@@ -50,9 +48,7 @@ def diff_series(series: DataFrame, value: str = "Close", part: str = "ticker") -
     levels = F.transform("_s", lambda x: x["v"])
     diffs = F.transform(F.slice(levels, 2, F.size(levels) - 1),
                         lambda x, i: x - F.element_at(levels, i + 1))
-    guard = F.when(F.col("n_levels") <= MAX_SERIES, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"series longer than {MAX_SERIES} days")))
-    return agg.where(guard).select(part, "freq", "last_date", "n_levels",
+    return agg.select(part, "freq", "last_date", "n_levels",
                                    F.element_at(levels, -1).alias("last_obs"), diffs.alias("d"))
 
 

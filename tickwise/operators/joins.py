@@ -1,40 +1,27 @@
-"""Join helpers (JN-01 … JN-07) and the size-checked broadcast.
+"""Join helpers (JN-01 … JN-07).
 
-``broadcast`` is only applied behind a measured bound: the small side is
-counted (a job over an already-small table) and broadcast when it has at
-most ``max_rows`` rows; otherwise the planner's shuffle join (with AQE skew
-splitting) is used.
+Joins carry no broadcast hints: the planner and AQE choose by measured bytes
+and split skewed keys.  A stated set of query rows is joined to all rows in
+blocks (``query_blocks``), a keyed join without any row limit.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BROADCAST_MAX_ROWS = 200_000
 
+def query_blocks(rows: DataFrame, queries: DataFrame, block: int = 256) -> DataFrame:
+    """Every row beside every block of ``queries``: the column ``queries`` holds
+    up to ``block`` query rows as an array of structs.
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the row count is proven ≤ ``max_rows``."""
-    n = known_rows if known_rows is not None else small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def scalar_array(small: DataFrame, item, max_rows: int = 10_000, order=None):
-    """A small table as one array value via a scalar subquery (computed
-    once, no join).  The row count is checked first; larger inputs must use
-    a keyed join instead."""
-    n = small.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed the scalar-array bound {max_rows}; use a keyed join")
-    agg = small.agg(F.collect_list(item).alias("_a"))
-    if order is not None:
-        agg = small.agg(F.sort_array(F.collect_list(item)).alias("_a"))
-    return agg.scalar()
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys=("ticker", "date"), how: str = "inner") -> DataFrame:
-    """JN-01 / JN-04: equi-join on (ticker, date)."""
-    return left.join(right, list(keys), how)
+    Query rows are numbered by a hash into as many blocks as their count asks
+    for; ``rows`` gets one copy per block and meets it in a join on its number.
+    """
+    n = -(-queries.count() // block) or 1
+    cols = F.struct(*queries.columns)
+    blocks = (queries.select(F.pmod(F.xxhash64(*queries.columns), F.lit(n)).cast("int").alias("_block"), cols.alias("_q"))
+              .groupBy("_block").agg(F.collect_list("_q").alias("queries")))  # about ``block`` rows each
+    copies = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return copies.join(blocks, "_block").drop("_block")
 
 
 def join_on_position(left: DataFrame, right: DataFrame, row_id: str = "row_id",

@@ -143,10 +143,10 @@ def shape(df: DataFrame, group=("ticker",)) -> DataFrame:
 
 
 def missing_rate(df: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
-    """AG-11: mean over columns of each column's NULL/NaN rate."""
+    """AG-11: mean over columns of each column's NULL, NaN or ±inf rate."""
     def miss(c):
         v = F.col(c)
-        return F.avg((v.isNull() | F.isnan(v)).cast("double"))
+        return F.avg((v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))).cast("double"))
     rates = [miss(c) for c in cols]
     return df.groupBy(*_g(group)).agg((sum(rates[1:], rates[0]) / F.lit(float(len(cols)))).alias("missing_rate"))
 

@@ -1,8 +1,8 @@
 """Nearest-neighbour look-ups (ML-26, ML-27, TK-04, JN-04, AG-15 … AG-17).
 
-Targets (a handful per group) are joined to every candidate row — the
-target table is broadcast behind a size check — and the distance is a
-native array expression.  Top-k is two-level: a first cut keeps the best
+Targets (a handful per group) are joined to every candidate row of their
+group; without a group they are a stated query set and meet the rows in
+blocks.  The distance is a native array expression.  Top-k is two-level: a first cut keeps the best
 ``k`` per (group, target, hash bucket) so no window ever holds a whole
 group, then the final ``k`` are ranked over at most ``k × buckets`` rows.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickwise.operators.cluster import distance
-from tickwise.operators.joins import bounded_broadcast, scalar_array
+from tickwise.operators.joins import query_blocks
 
 
 def _g(group):
@@ -40,11 +40,10 @@ def knn(points: DataFrame, targets: DataFrame, vec: str, k: int = 10, group=("ti
     g = _g(group)
     if g:
         t = targets.select(*g, F.col(key).alias("target"), F.col(vec).alias("_t"))
-        j = points.select(*g, key, vec).join(bounded_broadcast(t), g)
+        j = points.select(*g, key, vec).join(t, g)
     else:
-        # no grouping: the bounded target set rides along as one array value
-        tarr = scalar_array(targets, F.struct(F.col(key).alias("target"), F.col(vec).alias("_t")))
-        j = points.select(key, vec, F.explode(tarr).alias("_tt")).select(key, vec, "_tt.*")
+        t = targets.select(F.col(key).alias("target"), F.col(vec).alias("_t"))
+        j = query_blocks(points.select(key, vec), t).select(key, vec, F.explode("queries").alias("_tt")).select(key, vec, "_tt.*")
     if exclude_self:
         j = j.where(F.col(key) != F.col("target"))
     j = j.select(*g, "target", key, distance(F.col(vec), F.col("_t")).alias("distance"))

@@ -64,16 +64,16 @@ def log_volume(c: Column) -> Column:
 
 
 def impute(df: DataFrame, cols: list[str], part: str = "ticker", order: str = "date") -> DataFrame:
-    """PRJ-07: forward fill, then backward fill, then per-ticker median, then 0."""
+    """PRJ-07: forward fill, then backward fill, then 0.  A value both fills
+    miss has no value in its ticker at all, so its median is missing too.  The
+    backward fill runs forward over the reversed order: one pass, not one per row."""
     w = Window.partitionBy(part).orderBy(order)
     fwd = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    allw = Window.partitionBy(part)
+    bwd = Window.partitionBy(part).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = []
     for c in cols:
         v = F.col(c)
-        out.append(F.coalesce(F.last(v, True).over(fwd), F.first(v, True).over(bwd),
-                              F.percentile(v, 0.5).over(allw), F.lit(0.0)).alias(c))
+        out.append(F.coalesce(F.last(v, True).over(fwd), F.last(v, True).over(bwd), F.lit(0.0)).alias(c))
     return df.select(*[F.col(c) for c in df.columns if c not in cols], *out)
 
 

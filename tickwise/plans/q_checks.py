@@ -16,7 +16,7 @@ from tickwise.sources.tables import read_table
 
 NUMERIC = [c for c in FEATURE_COLUMNS if c != "date"]
 FEAT_ALL = f"({features_sql(keep_incomplete=True)})"
-_MISS = " + ".join(f'avg(CASE WHEN "{c}" IS NULL OR isnan("{c}") THEN 1.0 ELSE 0.0 END)' for c in NUMERIC)
+_MISS = " + ".join(f'avg(CASE WHEN "{c}" IS NULL OR isnan("{c}") OR isinf("{c}") THEN 1.0 ELSE 0.0 END)' for c in NUMERIC)
 _ALLCOLS = ", ".join(f'"{c}"' for c in FEATURE_COLUMNS)
 
 

@@ -119,7 +119,7 @@ def q_shape(spark, sf):
     return M.shape(f)
 
 
-_MISS = " + ".join(f'avg(CASE WHEN "{c}" IS NULL OR isnan("{c}") THEN 1.0 ELSE 0.0 END)' for c in NUMERIC)
+_MISS = " + ".join(f'avg(CASE WHEN "{c}" IS NULL OR isnan("{c}") OR isinf("{c}") THEN 1.0 ELSE 0.0 END)' for c in NUMERIC)
 
 
 @register("missing_rate", "AG-11", f"""

@@ -7,7 +7,6 @@ from tickwise.functions.exprs import present
 from tickwise.operators import cluster as CL
 from tickwise.operators import neighbors as NB
 from tickwise.operators import pca as PC
-from tickwise.operators.joins import bounded_broadcast, scalar_array
 from tickwise.operators.timeseries import FEATURE_COLUMNS
 from tickwise.plans.catalog import register
 from tickwise.plans.q_timeseries import features
@@ -122,7 +121,7 @@ _KM: dict = {}
 def _kmeans(spark, sf, key="l_returnflag", k=5):
     """One KMeans fit per (session, folder, key, k), shared by the cluster
     queries (the fit's iterations run eagerly; results are checkpointed)."""
-    ck = (id(spark), sf, key, k)
+    ck = (spark.sparkContext.applicationId, sf, key, k)
     if ck not in _KM:
         _KM[ck] = _kmeans_fit(spark, sf, key, k)
     return _KM[ck]
@@ -134,7 +133,7 @@ def _kmeans_fit(spark, sf, key, k):
     zx = PC.standardize_by_window(x, KM_COLS)
     stats = zx.groupBy("ticker").agg(F.first("mean").alias("mean"), F.first("scale").alias("scale"))
     z = zx.drop("mean", "scale", "const")
-    labels, centers, summary = CL.kmeans(z, KM_COLS, k=k, seed=42, max_iter=60)
+    labels, centers, summary = CL.kmeans(z, KM_COLS, k=k, seed=42)
     return f, stats, labels, centers, summary
 
 
@@ -155,7 +154,7 @@ def q_kmeans_pca(spark, sf):
     meta, z = _pca_parts(spark, sf)
     s = PC.pca_scores(z, meta, PCA_COLS)
     s = s.select("ticker", "date", *[F.col("pc")[i].alias(f"pc{i + 1}") for i in range(5)])
-    _, _, summary = CL.kmeans(s, [f"pc{i + 1}" for i in range(5)], k=5, seed=42, max_iter=60)
+    _, _, summary = CL.kmeans(s, [f"pc{i + 1}" for i in range(5)], k=5, seed=42)
     return summary
 
 
@@ -258,7 +257,7 @@ def _targets(e):
 def q_emb_dist(spark, sf):
     e = _emb(spark, sf)
     t = _targets(e).select("label", F.col("v").alias("tv"))
-    j = e.join(bounded_broadcast(t), "label")
+    j = e.join(t, "label")
     return present(j.select("vec_id", "label", CL.distance(F.col("v"), F.col("tv")).alias("distance")))
 
 
@@ -289,7 +288,7 @@ def q_nearest_centroid(spark, sf):
     ordered = cent.agg(F.sort_array(F.collect_list(F.struct("label", "c"))).alias("s")).select(
         F.transform("s", lambda x: x["c"]).alias("centers"), F.transform("s", lambda x: x["label"]).alias("labels"))
     a = CL.assign_to_centers(e, ordered.select("centers"), "v", group=())
-    labels = F.element_at(scalar_array(ordered.select("labels"), F.col("labels")), 1)
+    a = a.join(ordered.select(F.posexplode("labels").alias("cluster", "assigned")), "cluster")
     d = F.element_at("distances", F.col("cluster") + 1)
-    return present(a.select("vec_id", "label", F.element_at(labels, F.col("cluster") + 1).cast("bigint").alias("assigned"),
+    return present(a.select("vec_id", "label", F.col("assigned").cast("bigint").alias("assigned"),
                             d.alias("distance")))

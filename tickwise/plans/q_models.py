@@ -19,14 +19,14 @@ def _feats(spark, sf):
 
 
 def _regressor(spark, sf):
-    k = ("reg", id(spark), sf)
+    k = ("reg", spark.sparkContext.applicationId, sf)
     if k not in _FITS:
         _FITS[k] = MD.train_regressor(_feats(spark, sf))
     return _FITS[k]
 
 
 def _classifier(spark, sf):
-    k = ("cls", id(spark), sf)
+    k = ("cls", spark.sparkContext.applicationId, sf)
     if k not in _FITS:
         _FITS[k] = MD.train_classifier(_feats(spark, sf))
     return _FITS[k]

@@ -134,11 +134,11 @@ def q_tail(spark, sf):
     JOIN (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rid FROM orders) k USING (rid)
     JOIN customer c ON c.c_custkey = o.o_custkey""")
 def q_rowpos(spark, sf):
-    # position = the file's own row index (the generated file is in o_orderkey order)
+    # position = the row's index inside its own file, so the file is part of the key
     o = read_table(spark, sf, "orders").where(F.col("_metadata.file_size") > 0)
-    left = o.select("o_orderkey", "o_custkey", F.col("_metadata.row_index").alias("row_id"), F.lit("all").alias("ticker"))
+    left = o.select("o_orderkey", "o_custkey", F.col("_metadata.row_index").alias("row_id"), F.col("_metadata.file_path").alias("ticker"))
     right = read_table(spark, sf, "orders").select(F.col("_metadata.row_index").alias("row_id"),
-                                                   F.lit("all").alias("ticker"))
+                                                   F.col("_metadata.file_path").alias("ticker"))
     j = J.join_on_position(left, right)
     c = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     return j.join(c, "o_custkey").select("o_orderkey", "o_custkey", "c_mktsegment")

@@ -8,6 +8,7 @@ from tickwise.llm.licenses import op10_licenses
 from tickwise.llm.mixing import op8_mixing
 from tickwise.llm.packing import op5_packing
 from tickwise.llm.pii import op6_pii
+from tickwise.llm.quality_rules import ORACLE as QUALITY_SQL
 from tickwise.llm.quality_rules import op3_quality_rules
 from tickwise.llm.secrets import op1_secrets
 from tickwise.llm.simhash import op7_simhash
@@ -21,4 +22,4 @@ QUERIES: dict[str, Callable] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL}

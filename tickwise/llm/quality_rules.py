@@ -131,3 +131,38 @@ def clean(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    """The same rows in DuckDB: windows as text, covered words as distinct places."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    bare = "l"
+    for mark in _SEPARATORS:
+        bare = f"replace({bare}, '{mark}', '')"
+    phrases = " OR ".join(f"contains(lower(l), {quote(p)})" for p in BOILERPLATE)
+    space = r"[\x20\x09-\x0D]+"
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT doc_id, text, regexp_extract_all(text, {quote(WORD)}) AS words FROM d),
+    g AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
+    t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS c FROM g),
+    r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM t WHERE c > 1) GROUP BY doc_id),
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d),
+    f AS (SELECT doc_id, l, length(l) - length(replace(l, ' ', '')) + 1 AS n FROM l WHERE regexp_matches(l, {quote(WORD)})),
+    j AS (SELECT doc_id, l, length(regexp_replace(l, '{space}', '', 'g')) AS chars,
+                 (n > 2 AND (length(regexp_replace(l, {quote(_NOT_MARKS)}, '', 'g')) > {MAX_MARKS} * n
+                             OR (length(l) - length({bare})) * 5 >= n
+                             OR NOT regexp_matches(l, {quote(_SENTENCE_END)})))
+                 OR (n <= {BOILERPLATE_WORDS} AND ({phrases})) AS fails FROM f),
+    s AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars FROM j GROUP BY doc_id),
+    a AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{space}', '', 'g')) AS BIGINT) AS word_chars,
+                 CAST(length(regexp_replace(text, {quote(_SYMBOLS)}, '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+                 CAST(coalesce(lost_chars, 0) AS BIGINT) AS lost_chars
+          FROM w LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id)
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+           NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND lost_chars <= {MAX_LOST} * word_chars AS kept
+    FROM a"""
+
+
+ORACLE = _oracle()

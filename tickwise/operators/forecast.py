@@ -6,10 +6,10 @@ differenced.  Per ticker the ordered differences form one array — a daily
 series has at most one value per calendar day (≈ 36 500 per century), so
 this row is bounded by the calendar.  The CSS
 residual recursion ``e_t = d_t − φ d_(t−1) − θ e_(t−1)`` (``e`` starts at 0
-after the first difference) is an ``aggregate`` over that array, evaluated
-for every point of a (φ, θ) grid: the grid is exploded next to the series
-row inside the same task and the best point per ticker is a partial
-``min`` aggregate, so the arrays are never shuffled.  Two finer grids around
+after the first difference) is an ``aggregate`` over that array.  For a given
+θ it is linear in φ, so a grid of (φ, θ) needs one pass per θ: θ is exploded
+next to the series row inside the same task, and the best point per ticker is
+a partial ``min`` aggregate, so the arrays are never shuffled.  Two finer grids around
 the best point refine it (steps 0.05 → 0.005 → 0.0005).
 """
 from __future__ import annotations
@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.operators.timeseries import forecast_dates, infer_frequency
+from tickwise.session import materialize
 
 
 def regrid(series: DataFrame, value: str = "Close", part: str = "ticker") -> DataFrame:
@@ -64,25 +65,32 @@ def css_state(d: Column, phi: Column, theta: Column) -> Column:
     return F.aggregate(F.slice(d, 2, F.size(d) - 1), init, step)
 
 
+def css_sums(d: Column, theta: Column) -> Column:
+    """Σa², Σab and Σb² of the two filters a_t = d_t − θ a_(t−1) and
+    b_t = d_(t−1) − θ b_(t−1): the residual is a − φ b, so for a given θ the
+    sum of squares of every φ follows from one pass."""
+    zero = F.lit(0.0)
+    init = F.struct(F.element_at(d, 1).alias("pd"), *[zero.alias(c) for c in ("a", "b", "aa", "ab", "bb")])
+
+    def step(acc, x):
+        a, b = x - theta * acc["a"], acc["pd"] - theta * acc["b"]
+        return F.struct(x.alias("pd"), a.alias("a"), b.alias("b"), (acc["aa"] + a * a).alias("aa"),
+                        (acc["ab"] + a * b).alias("ab"), (acc["bb"] + b * b).alias("bb"))
+    return F.aggregate(F.slice(d, 2, F.size(d) - 1), init, step)
+
+
 def _grid_search(series: DataFrame, part: str, center_phi: Column | None, center_theta: Column | None,
-                 half: int, denom: float, offset: int) -> DataFrame:
-    idx = F.sequence(F.lit(0), F.lit(2 * half))
-    if center_phi is None:
-        val = lambda i: (i - offset).cast("double") / F.lit(denom)
-        base_p = base_t = None
-    else:
-        base_p, base_t = center_phi, center_theta
-        val = None
-    g = series.select("*", F.explode(idx).alias("_i")).select("*", F.explode(idx).alias("_j"))
-    if val is not None:
-        phi, theta = val(F.col("_i")), val(F.col("_j"))
-    else:
-        phi = base_p + (F.col("_i") - half).cast("double") / F.lit(denom)
-        theta = base_t + (F.col("_j") - half).cast("double") / F.lit(denom)
-    g = g.select("*", phi.alias("_phi"), theta.alias("_theta"))
-    g = g.where((F.abs("_phi") < 1) & (F.abs("_theta") < 1))
-    g = g.select(part, "_phi", "_theta", css_state(F.col("d"), F.col("_phi"), F.col("_theta"))["s"].alias("_sse"))
-    best = g.groupBy(part).agg(F.min(F.struct("_sse", "_phi", "_theta")).alias("_b"))
+                 half: int, denom: float) -> DataFrame:
+    """The (φ, θ) of least Σe² on the grid of ``2·half + 1`` steps of
+    ``1/denom`` around the centre; only θ is exploded."""
+    steps = F.sequence(F.lit(0), F.lit(2 * half))
+    at = lambda center, i: (F.lit(0.0) if center is None else center) + (i - half).cast("double") / F.lit(denom)
+    g = series.select("*", F.explode(steps).alias("_j")).withColumn("_theta", at(center_theta, F.col("_j")))
+    g = g.where(F.abs("_theta") < 1).withColumn("_s", css_sums(F.col("d"), F.col("_theta")))
+    phis = F.filter(F.transform(steps, lambda i: at(center_phi, i)), lambda p: F.abs(p) < 1)
+    points = F.transform(phis, lambda p: F.struct((F.col("_s.aa") - 2.0 * p * F.col("_s.ab") + p * p * F.col("_s.bb")).alias("_sse"),
+                                                  p.alias("_phi"), F.col("_theta").alias("_theta")))
+    best = g.select(part, F.array_min(points).alias("_p")).groupBy(part).agg(F.min("_p").alias("_b"))
     return best.select(part, F.col("_b._phi").alias("phi"), F.col("_b._theta").alias("theta"))
 
 
@@ -90,12 +98,12 @@ def fit_arima(series: DataFrame, value: str = "Close", part: str = "ticker") ->
     """ML-23 + ML-25: CSS fit of ARIMA(1,1,1) without constant per ticker,
     with σ², log-likelihood, AIC/BIC (k = 3), residual RMSE/MAE, last
     observation and the recursion's end state for forecasting."""
-    d = diff_series(series, value, part)
-    b1 = _grid_search(d, part, None, None, 19, 20.0, 19)
+    d = materialize(diff_series(series, value, part))  # read by each refinement: one row per ticker
+    b1 = _grid_search(d, part, None, None, 19, 20.0)
     s2 = d.join(b1, part)
-    b2 = _grid_search(s2, part, F.col("phi"), F.col("theta"), 10, 200.0, 10)
+    b2 = _grid_search(s2, part, F.col("phi"), F.col("theta"), 10, 200.0)
     s3 = d.join(b2, part)
-    b3 = _grid_search(s3, part, F.col("phi"), F.col("theta"), 10, 2000.0, 10)
+    b3 = _grid_search(s3, part, F.col("phi"), F.col("theta"), 10, 2000.0)
     fit = d.join(b3, part)
     st = css_state(F.col("d"), F.col("phi"), F.col("theta"))
     fit = fit.select("*", st.alias("_st"), (F.size("d") - 1).alias("n_resid"))

@@ -174,29 +174,32 @@ def quantile(df: DataFrame, col: str, q: float = 0.8, group=("ticker",), exact:
     return df.groupBy(*_g(group)).agg(agg.alias(f"q{int(round(q * 100))}"))
 
 
-def pair_corr(a: str, b: str) -> Column:
-    """Pearson correlation over the rows where both values are present.
-    (Under ANSI mode the built-in ``corr`` raises on a zero-variance column;
-    this form yields NULL there instead.)"""
-    ca, cb = F.col(a).cast("double"), F.col(b).cast("double")
-    sa = F.stddev_pop(F.when(cb.isNotNull(), ca))
-    sb = F.stddev_pop(F.when(ca.isNotNull(), cb))
-    return F.try_divide(F.covar_pop(ca, cb), sa * sb)
-
-
 def correlation_long(df: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
     """AG-14: Pearson correlation of every column pair (pairwise complete),
-    NULL → 0, one aggregate job; long output (group, a, b, corr)."""
-    g = _g(group)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.groupBy(*g).agg(*[pair_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    items = []
-    for a, b in pairs:
-        v = F.coalesce(F.col(f"{a}__{b}"), F.lit(0.0))
-        items.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), v.alias("corr")))
-        if a != b:
-            items.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), v.alias("corr")))
-    return agg.select(*g, F.explode(F.array(*items)).alias("c")).select(*g, "c.a", "c.b", "c.corr")
+    NULL → 0, long output (group, a, b, corr).
+
+    A row becomes one short row per pair, counted by (group, pair) with map-side
+    partial moments: three buffers per key instead of three for every pair of
+    columns in one very wide aggregate.  (Under ANSI mode the built-in ``corr``
+    raises on a zero-variance column; the ratio yields NULL there instead.)
+    """
+    g, p = _g(group), len(cols)
+    values = df.select(*g, F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+    v = F.col("_v")
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.transform(
+        F.sequence(i, F.lit(p - 1)), lambda j: F.struct(i.alias("i"), j.alias("j"), F.get(v, i).alias("x"), F.get(v, j).alias("y")))))
+    # the outer form keeps the pairs from being computed a second time in an inferred filter
+    rows = values.withColumn("_n", F.size("_v")).select(*g, F.explode_outer(pairs).alias("_p")).select(*g, "_p.*")
+    x, y = F.col("x"), F.col("y")
+    both = x.isNotNull() & y.isNotNull()
+    agg = rows.groupBy(*g, "i", "j").agg(F.covar_pop(x, y).alias("c"), F.stddev_pop(F.when(both, x)).alias("sx"),
+                                         F.stddev_pop(F.when(both, y)).alias("sy"))
+    name = lambda i: F.get(F.array(*[F.lit(c) for c in cols]), i)
+    corr = F.coalesce(F.try_divide(F.col("c"), F.col("sx") * F.col("sy")), F.lit(0.0))
+    one = F.struct(name(F.col("i")).alias("a"), name(F.col("j")).alias("b"), corr.alias("corr"))
+    two = F.struct(name(F.col("j")).alias("a"), name(F.col("i")).alias("b"), corr.alias("corr"))
+    ends = F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, two))
+    return agg.select(*g, F.explode_outer(ends).alias("_c")).select(*g, "_c.a", "_c.b", "_c.corr")
 
 
 def value_summary(df: DataFrame, col: str, group=("ticker",)) -> DataFrame:

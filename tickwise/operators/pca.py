@@ -137,7 +137,7 @@ def fit_pca(features: DataFrame, cols: list[str], n_components: int = 5,
 
     def eig(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, r in pdf.iterrows():
+        for r in pdf.to_dict("records"):
             keep = [i for i in range(p) if not r["const"][i]]
             if not keep or r["n"] < 1:
                 continue
@@ -164,8 +164,12 @@ def fit_pca(features: DataFrame, cols: list[str], n_components: int = 5,
         return pd.DataFrame(out, columns=[*g, "n_rows", "n_components", "explained_variance_ratio",
                                           "components", "mean", "scale", "feature_order"])
 
-    meta = mom.groupBy(*g).applyInPandas(eig, schema)
-    return meta, z
+    def run(batches):
+        # a row per group already: batches of groups, no shuffle and no Python call per group
+        for pdf in batches:
+            yield eig(pdf)
+
+    return mom.mapInPandas(run, schema), z
 
 
 def dot(a: Column, b: Column) -> Column:

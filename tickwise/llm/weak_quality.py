@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import WORD, table, whole_text, words_of
+from tickwise.llm.common import table, whole_text, words_of
 
 #: Documents the linear scorer is fitted on, and the hash buckets of its features.
 SAMPLE, BUCKETS = 3000, 1024
@@ -34,8 +34,8 @@ def statistics(text: Column) -> dict[str, Column]:
     """What the labellers look at, each one pass over the text."""
     count = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     return {
-        "chars": F.length(text), "n_words": F.regexp_count(text, F.lit(WORD)), "symbols": count(r"[^#*$%&|<>{}\[\]~^=]+"),
-        "shouts": count(r"[^!?]+"), "upper": count(r"[^A-Z]+"), "letters": count(r"[^A-Za-z]+"), "ends": count(r"[^.]+"), "digits": count(r"[^0-9]+"),
+        "chars": F.length(text), "symbols": count(r"[^#*$%&|<>{}\[\]~^=]+"),
+        "shouts": count(r"[^!?]+"), "upper": count(r"[^A-Z]+"), "ends": count(r"[^.]+"), "digits": count(r"[^0-9]+"),
         "lines": F.split(text, "\n"), "words": words_of(text),
     }
 
@@ -46,7 +46,7 @@ def votes(s: Column) -> dict[str, Column]:
     A labeller knows one kind of junk, so its silence says little and only its
     calls are modelled.
     """
-    n = F.greatest(s["n_words"], F.lit(1))
+    n = F.greatest(F.size(s["words"]), F.lit(1))
     rate = lambda c: s[c] / n
     long = n >= 30  # of fewer words, most of these say nothing
     # the number of different words grows more slowly than the text, so it is judged against the square root
@@ -54,7 +54,7 @@ def votes(s: Column) -> dict[str, Column]:
     return {
         "symbols": rate("symbols") > 0.2,
         "shouts": rate("shouts") > 0.3,
-        "capitals": long & (s["upper"] > 0.4 * s["letters"]),
+        "capitals": long & (s["upper"] > 0.35 * s["chars"]),
         "variety": long & (distinct < 0.5 * F.least(n, 4 * F.sqrt(n.cast("double")))),
         "sentences": long & ((s["ends"] * 60 < n) | (s["ends"] * 3 > n * 2)),
         "digits": s["digits"] > 0.2 * s["chars"],
@@ -139,12 +139,17 @@ def with_buckets(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return step.withColumn("b", F.when(F.size("__s") == F.size("__w"), b)).drop("__w", "__s")
 
 
-def fit_scorer(rows: DataFrame, labels: Accuracies, sample: int = SAMPLE, buckets: int = BUCKETS) -> tuple[float, list[float]]:
+def fit_scorer(docs: DataFrame, labels: Accuracies, sample: int = SAMPLE, buckets: int = BUCKETS) -> tuple[float, list[float]]:
     """Bias and bucket weights of a logistic scorer of the share of words in each bucket, learnt from soft labels.
 
-    At most ``sample * buckets`` counts come to the driver.
+    ``docs`` has ``doc_id`` and ``text``.  About ``sample`` different rows, all
+    if there are fewer, are chosen by a hash of id and text, and only they are
+    voted on here; at most their number times ``buckets`` counts come to the driver.
     """
-    chosen = rows.filter(F.length("text") > 0).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample)
+    rows = docs.count()
+    edge = -(1 << 63) + ((1 << 64) * sample // max(rows, sample)) - 1
+    drawn = docs.filter((F.length("text") > 0) & (F.xxhash64("doc_id", "text") <= F.lit(edge)))
+    chosen = voted(drawn.distinct())
     counted = with_buckets(chosen, buckets).select(F.xxhash64("doc_id", "text").alias("row"), labels.column(F.col("votes")).alias("y"), F.explode_outer("b").alias("b")).filter("b is not null")
     got = counted.groupBy("row", "b").agg(F.count("*").alias("n"), F.first("y").alias("y")).collect()
     names = {r: i for i, r in enumerate(sorted({g["row"] for g in got}))}
@@ -163,21 +168,22 @@ def fit_scorer(rows: DataFrame, labels: Accuracies, sample: int = SAMPLE, bucket
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = KEEP, sample: int = SAMPLE, buckets: int = BUCKETS) -> DataFrame:
-    """``doc_id, weak, score, kept`` per input row: the posterior of the votes, the scorer's probability and the verdict.
+    """``doc_id, score, kept`` per input row: the scorer's probability of being good, and the verdict.
 
-    A text without words (null counts as empty) has no features: its posterior
-    is its score.  Null ids and repeated rows give a row each; other columns
-    are ignored; an empty table gives no rows.
+    A text without words (null counts as empty) has no features: its score is
+    the posterior of a document that no labeller calls bad.  Null ids and
+    repeated rows give a row each; other columns are ignored; an empty table
+    gives no rows.
     """
-    rows = voted(docs, id_col, text_col)
-    labels = estimate(rows)
-    bias, weights = fit_scorer(rows, labels, sample, buckets)
-    step = rows.select("doc_id", labels.column(F.col("votes")).alias("weak"), "text")
-    step = with_buckets(step, buckets)
+    docs = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    labels = estimate(voted(docs))
+    bias, weights = fit_scorer(docs, labels, sample, buckets)
+    silent = float(labels.good(np.zeros((1, len(LABELLERS))))[0])
+    step = with_buckets(docs, buckets)
     total = F.aggregate("b", F.lit(0.0), lambda acc, k: acc + F.get(F.lit(weights), k))
     raw = F.when(F.size("b") > 0, total / (F.size("b") + PAD) + F.lit(bias))
-    step = step.withColumn("score", F.coalesce(1 / (1 + F.exp(-raw)), F.col("weak")))
-    return step.select("doc_id", "weak", "score", (F.col("score") >= keep).alias("kept"))
+    step = step.withColumn("score", F.coalesce(1 / (1 + F.exp(-raw)), F.lit(silent)))
+    return step.select("doc_id", "score", (F.col("score") >= keep).alias("kept"))
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -109,3 +109,25 @@ def test_kmeans_reports_every_group(spark):
     assert got["a"].status == "ok" and got["a"].converged and sorted(got["a"].sizes) == [10, 10]
     assert got["b"].status == "skipped" and got["b"].n_rows == 1 and got["b"].inertia is None
     assert labels.count() == 20 and centers.count() == 1
+
+
+def test_check_run_ends_with_a_status_and_an_exit_code(spark, tmp_path):
+    def days(ticker, shift, rows=120):
+        return [(ticker, i, float(i * 37 % 101) + shift, float(i)) for i in range(rows)]
+
+    cols = "ticker string, day int, x double, y double"
+    path = str(tmp_path / "baseline")
+    first = spark.createDataFrame(days("007", 0) + days("B", 0), cols)
+    base, fresh = REG.init_or_read_baseline(first, path)
+    assert {r.ticker for r in fresh.collect()} == {"007", "B"}
+    rows = C.check_run(first, ["x", "y"], base, fresh, expected=first)
+    assert {r.overall_status for r in C.overall_status(rows).collect()} == {"ok"} and C.exit_code(C.overall_status(rows)) == 0
+    # later: one ticker the same, one moved in every column, one without rows, one new
+    later = spark.createDataFrame(days("007", 0) + [(t, d, x + 500, y + 500) for t, d, x, y in days("B", 0)] + days("N", 0), cols)
+    every = later.select("ticker").unionByName(spark.createDataFrame([("gone",)], "ticker string"))
+    base, fresh = REG.init_or_read_baseline(later, path)
+    assert [r.ticker for r in fresh.collect()] == ["N"]
+    rows = C.check_run(later, ["x", "y"], base, fresh, expected=every)
+    got = {r.ticker: r.overall_status for r in C.overall_status(rows).collect()}
+    assert got["007"] == "ok" and got["N"] == "ok" and got["B"] in ("severe", "warning") and got["gone"] == "severe"
+    assert C.exit_code(C.overall_status(rows)) == 2 and C.exit_code(C.overall_status(rows), gate=False) == 0

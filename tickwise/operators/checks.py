@@ -269,6 +269,25 @@ def overall_status(checks: DataFrame, group=("ticker",)) -> DataFrame:
                     .otherwise("ok").alias("overall_status"), F.col("n_checks").cast("bigint"))
 
 
+def exit_code(status: DataFrame, gate: bool = True) -> int:
+    """DQ-10: what a job that ran the checks exits with: 2 when the gate is
+    on and any group is severe, else 0."""
+    return 2 if gate and not status.where(F.col("overall_status") == "severe").isEmpty() else 0
+
+
+def check_run(features: DataFrame, numeric_cols: list[str], baseline: DataFrame, initialised: DataFrame,
+              expected: DataFrame | None = None, gates=(), group=("ticker",)) -> DataFrame:
+    """All checks of a run as rows: integrity (DQ-01), drift against the stored
+    baseline (DQ-03 … DQ-06), ``baseline_initialized`` for groups that had none
+    (SRC-16), and the rows of the model ``gates`` (DQ-07 … DQ-09)."""
+    g = _g(group)
+    integ = integrity_checks(features, numeric_cols, g, expected=expected)
+    old = features.join(initialised.select(*g), g, "left_anti").select(*features.columns)
+    drift = drift_checks(baseline.join(initialised.select(*g), g, "left_anti").select(*baseline.columns), old, group=g)
+    new = initialised.select(*g, check_row("baseline_initialized", F.lit("ok"), F.lit(None)).alias("c")).select(*g, "c.*")
+    return union_checks(integ, drift, new, *gates)
+
+
 def union_checks(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

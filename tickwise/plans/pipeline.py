@@ -102,7 +102,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
         write_partitioned(fc.withColumn("run_ts", F.lit(run_ts)), os.path.join(root, "forecasts"), ("run_ts",))
     if "checks" in steps:
         num = [c for c in FEATURE_COLUMNS if c != "date"]
-        integ = C.integrity_checks(feats, num)
-        rep = check_report(integ)
+        stored, fresh = REG.init_or_read_baseline(feats, os.path.join(root, "baseline"))
+        rep = check_report(C.check_run(feats, num, stored, fresh, expected=bars.select("ticker")))
         rep.write.mode("overwrite").json(os.path.join(root, "reports", run_ts))   # SRC-17
     return run_ts

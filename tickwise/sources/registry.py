@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwise.functions.scalars import human_size
+from tickwise.session import materialize
 from tickwise.sources.sinks import to_json_rows
 
 ARTIFACTS = "ticker string, name string, payload string, run_ts string, kind string"
@@ -89,6 +91,7 @@ def artifact_detail(reg: DataFrame) -> DataFrame:
         return F.json_array_length(F.get_json_object("payload", f"$.{k}"))
     return reg.select("ticker", "run_ts", "kind", "name",
                       F.coalesce(n_of("features"), n_of("feature_order"), n_of("centers")).alias("n_items"),
+                      F.get_json_object("payload", "$.generated_at").alias("generated_at"),
                       F.slice(keys, 1, 5).alias("first_keys"))
 
 
@@ -140,14 +143,18 @@ def new_tickers(current: DataFrame, baseline: DataFrame, part: str = "ticker") -
 
 def init_or_read_baseline(current: DataFrame, path: str, part: str = "ticker") -> tuple[DataFrame, DataFrame]:
     """SRC-16: append the rows of tickers without a baseline and report
-    them (``baseline_initialized``); return (baseline, initialised tickers)."""
+    them (``baseline_initialized``); return (baseline, initialised tickers).
+
+    The table is read with ``current``'s schema, so a ticker such as "007"
+    stays text, and a repeated call finds its tickers stored and adds nothing.
+    """
     spark = current.sparkSession
+    reader = spark.read.schema(current.schema)
     try:
-        base = spark.read.parquet(path)
-    except Exception:  # no baseline table yet
+        base = reader.parquet(path)
+    except AnalysisException:  # no baseline table yet
         base = None
     fresh = current.select(part).distinct() if base is None else new_tickers(current, base, part)
-    fresh = fresh.checkpoint()
-    to_add = current.join(fresh, part, "left_semi")
-    to_add.write.mode("append").partitionBy(part).parquet(path)
-    return spark.read.parquet(path), fresh
+    fresh = materialize(fresh)
+    current.join(fresh, part, "left_semi").select(*current.columns).repartition(part).write.mode("append").parquet(path)
+    return reader.parquet(path), fresh

@@ -45,7 +45,7 @@ def q_resolve_fallback(spark, sf):
     return present(resolve_ticker_rows(features(spark, sf), "ZZZ").select("ticker", "date", "Close"))
 
 
-@register("ticker_from_file_name", "SRC-01, SRC-04, SRC-06")
+@register("ticker_from_file_name", "SRC-01, SRC-04, SRC-06", "SELECT 'LINEITEM' AS ticker, count(*) AS n_rows FROM lineitem")
 def q_ticker_from_file(spark, sf):
     li = read_table(spark, sf, "lineitem").where(F.col("_metadata.file_size") > 0)
     return li.groupBy(ticker_from_path().alias("ticker")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -207,3 +207,19 @@ def q_drift_unsupported(spark, sf):
     unknown = C.drift_checks(base, cur, metric="psi")
     no_shared = C.drift_checks(base.select("ticker", "date"), cur.select("ticker", "date"))
     return C.union_checks(unknown, no_shared).drop("details")
+
+
+@register("check_run_status", "DQ-10, DQ-01, DQ-05, SRC-16", f"""{KS_SQL},
+    v AS (SELECT ticker, CASE WHEN sum(CASE WHEN p_value < 0.001 AND ks_d > 0.15 THEN 1 ELSE 0 END) / greatest(count(*), 1) >= 0.25 THEN 'severe'
+                              WHEN sum(CASE WHEN p_value < 0.001 AND ks_d > 0.15 THEN 1 ELSE 0 END) > 0 THEN 'warning' ELSE 'ok' END AS severity
+          FROM p GROUP BY ticker)
+    SELECT ticker, CASE WHEN ticker = 'R' THEN 'ok' ELSE severity END AS overall_status, CAST(4 AS BIGINT) AS n_checks FROM v
+    UNION ALL SELECT 'no-rows', 'severe', CAST(3 AS BIGINT)""")
+def q_check_run(spark, sf):
+    """A later half against the stored first half: R has no baseline yet, one expected ticker has no rows."""
+    base, cur = _halves(spark, sf)
+    base = base.where(F.col("ticker") != "R")
+    tickers = cur.select("ticker").distinct()
+    expected = tickers.unionByName(tickers.select(F.lit("no-rows").alias("ticker")))
+    fresh = tickers.join(base.select("ticker").distinct(), "ticker", "left_anti")
+    return C.overall_status(C.check_run(cur, NUMERIC, base, fresh, expected=expected))

@@ -196,7 +196,8 @@ def pack(rows: DataFrame, max_tokens: int = SEQUENCE_TOKENS, max_documents: int
         yield from table_.to_batches(max_chunksize=65536)
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    packed = dealt.select(*rows.columns, "g").repartition(groups, "g").mapInArrow(run, schema)
+    # the group's number is the partition's: one group a task, whatever their hashes
+    packed = dealt.select(*rows.columns, "g").repartitionById(groups, F.col("g")).mapInArrow(run, schema)
     # a full piece is a sequence by itself: numbered below zero, apart from the groups' numbers
     full = rows.filter(alone).select(*rows.columns, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return packed.unionByName(full)

@@ -28,6 +28,28 @@ def test_held_out_labels(spark):
 def test_awkward_documents(docs, nothing):
     got = W.classify(docs).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.kept == (r.score >= W.KEEP) for r in got)
-    assert len({r.score for r in got if r.doc_id in (3, 4, 5)}) == 1
+    assert [r.score == r.weak for r in got if r.doc_id in (3, 4, 5)] == [True] * 3
     assert W.classify(nothing).count() == 0
     assert sorted(map(str, W.classify(docs).collect())) == sorted(map(str, got))
+
+
+def test_capitals_are_judged_by_letters(spark):
+    shouted = "WAR 12 - NEWS 34 : now 56 / " * 12  # 7 of 10 letters are capitals, but only 3 of 10 characters
+    plain = "Quiet Rivers 12 - run : now 34 / " * 12
+    got = {r.doc_id: r.votes.capitals for r in W.voted(spark.createDataFrame([(1, shouted), (2, plain)], "doc_id bigint, text string")).collect()}
+    assert got == {1: True, 2: False}
+
+
+def test_repetition_reaches_the_scorer(spark):
+    from pyspark.sql import functions as F
+    from tests.llm.conftest import unlike
+
+    d = "/root/testdata/sf0.01"
+    line = "the quiet river runs past the old stone market every morning."
+    other = [x.lower() for x in unlike(9, 240).split("\n")]
+    rows = [(-1, "\n".join([line] * 20)), (-2, "\n".join(other[:20]))]
+    mine = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made = {r.doc_id: list(r.repeats) for r in W.with_buckets(mine).collect()}
+    assert min(made[-1]) > 0.5 and max(made[-2]) < 0.1
+    got = {r.doc_id: r for r in W.classify(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").unionByName(mine)).filter(F.col("doc_id") < 0).collect()}
+    assert not got[-1].kept and got[-1].score < got[-2].score

@@ -3,7 +3,8 @@
 Heuristic labellers, each for one kind of junk, call a document bad or say nothing.  Expectation-
 maximisation estimates how often each is right from the votes alone, without a
 labelled document; the posterior of a document's votes is its soft label.  A
-linear scorer over hashed word shapes learns the soft labels and judges every
+linear scorer over hashed word shapes, and over the shares of words, windows and
+lines that the text has said before, learns the soft labels and judges every
 document by its own words, whatever the labellers said.
 
 Scale: the vote patterns are counted with a partial aggregate, at most
@@ -26,6 +27,8 @@ SAMPLE, BUCKETS = 3000, 1024
 EM_ROUNDS, FIT_ROUNDS, STEP, PENALTY = 60, 1500, 10.0, 1e-5
 #: Words added to a text's number of words, so that a few words say little.
 PAD = 10
+#: Words of a window, and the scorer's numbers beside the buckets: shares of the text that it has said before.
+WINDOW, REPEATS = 3, ("words", "windows", "lines")
 #: Probability of being good from which a document is kept.
 KEEP = 0.5
 
@@ -35,7 +38,7 @@ def statistics(text: Column) -> dict[str, Column]:
     count = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     return {
         "chars": F.length(text), "symbols": count(r"[^#*$%&|<>{}\[\]~^=]+"),
-        "shouts": count(r"[^!?]+"), "upper": count(r"[^A-Z]+"), "ends": count(r"[^.]+"), "digits": count(r"[^0-9]+"),
+        "shouts": count(r"[^!?]+"), "upper": count(r"[^A-Z]+"), "letters": count(r"[^A-Za-z]+"), "ends": count(r"[^.]+"), "digits": count(r"[^0-9]+"),
         "lines": F.split(text, "\n"), "words": words_of(text),
     }
 
@@ -54,7 +57,7 @@ def votes(s: Column) -> dict[str, Column]:
     return {
         "symbols": rate("symbols") > 0.2,
         "shouts": rate("shouts") > 0.3,
-        "capitals": long & (s["upper"] > 0.35 * s["chars"]),
+        "capitals": long & (s["upper"] > 0.4 * s["letters"]),
         "variety": long & (distinct < 0.5 * F.least(n, 4 * F.sqrt(n.cast("double")))),
         "sentences": long & ((s["ends"] * 60 < n) | (s["ends"] * 3 > n * 2)),
         "digits": s["digits"] > 0.2 * s["chars"],
@@ -130,17 +133,30 @@ def estimate(rows: DataFrame, rounds: int = EM_ROUNDS) -> Accuracies:
 
 
 def with_buckets(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``df`` with ``b``, the bucket of each word: its shape, and whether it repeats the word before."""
+    """``df`` with ``b``, the bucket of each word: its shape, and whether it repeats the word before; and ``repeats``."""
     step = df.withColumns({"__w": words_of(F.col("text")), "__s": shapes(F.col("text"))})
     w = F.col("__w")
     again = lambda i: F.coalesce(F.get(w, i) == F.get(w, i - 1), F.lit(False))
     b = F.transform("__s", lambda s, i: F.pmod(F.xxhash64(s, again(i)), F.lit(buckets)).cast("int"))
     # both arrays are used twice, so that neither is inlined into the lambda
-    return step.withColumn("b", F.when(F.size("__s") == F.size("__w"), b)).drop("__w", "__s")
+    step = step.withColumn("b", F.when(F.size("__s") == F.size("__w"), b))
+    return step.withColumn("repeats", F.array(*repeats(w, F.col("text")))).drop("__w", "__s")
+
+
+def repeats(w: Column, text: Column) -> list[Column]:
+    """By ``REPEATS``, what a text has said before: 0 for nothing, near 1 for hardly anything else."""
+    n = F.size(w)
+    windows = F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, WINDOW)]))  # the last ones are shorter
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    seen = lambda a: F.get(F.transform(F.array(a), lambda x: F.size(x) - F.size(F.array_distinct(x))), 0)
+    held = F.get(F.transform(F.array(lines), lambda x: (F.size(x) - F.size(F.array_distinct(x))) / (F.size(x) + F.lit(1))), 0)
+    # the number of different words grows more slowly than the text, so it is judged against the square root
+    expected = F.least(n + PAD, 4 * F.sqrt((n + PAD).cast("double")))
+    return [F.greatest(F.lit(0.0), 1 - (F.size(F.array_distinct(w)) + PAD) / expected), seen(windows) / (n + PAD), held]
 
 
 def fit_scorer(docs: DataFrame, labels: Accuracies, sample: int = SAMPLE, buckets: int = BUCKETS) -> tuple[float, list[float]]:
-    """Bias and bucket weights of a logistic scorer of the share of words in each bucket, learnt from soft labels.
+    """Bias and weights of a logistic scorer of the share of words in each bucket and of ``REPEATS``, learnt from soft labels.
 
     ``docs`` has ``doc_id`` and ``text``.  About ``sample`` different rows, all
     if there are fewer, are chosen by a hash of id and text, and only they are
@@ -150,40 +166,44 @@ def fit_scorer(docs: DataFrame, labels: Accuracies, sample: int = SAMPLE, bucket
     edge = -(1 << 63) + ((1 << 64) * sample // max(rows, sample)) - 1
     drawn = docs.filter((F.length("text") > 0) & (F.xxhash64("doc_id", "text") <= F.lit(edge)))
     chosen = voted(drawn.distinct())
-    counted = with_buckets(chosen, buckets).select(F.xxhash64("doc_id", "text").alias("row"), labels.column(F.col("votes")).alias("y"), F.explode_outer("b").alias("b")).filter("b is not null")
-    got = counted.groupBy("row", "b").agg(F.count("*").alias("n"), F.first("y").alias("y")).collect()
+    counted = with_buckets(chosen, buckets).select(F.xxhash64("doc_id", "text").alias("row"), labels.column(F.col("votes")).alias("y"), "repeats", F.explode_outer("b").alias("b")).filter("b is not null")
+    got = counted.groupBy("row", "b").agg(F.count("*").alias("n"), F.first("y").alias("y"), F.first("repeats").alias("repeats")).collect()
     names = {r: i for i, r in enumerate(sorted({g["row"] for g in got}))}
     if not names:
-        return 0.0, [0.0] * buckets
-    x, y = np.zeros((len(names), buckets)), np.zeros(len(names))
+        return 0.0, [0.0] * (buckets + len(REPEATS))
+    x, y, more = np.zeros((len(names), buckets)), np.zeros(len(names)), np.zeros((len(names), len(REPEATS)))
     for g in got:
-        x[names[g["row"]], g["b"]], y[names[g["row"]]] = g["n"], g["y"]
-    x /= x.sum(axis=1, keepdims=True) + PAD
-    w, b = np.zeros(buckets), 0.0
+        i = names[g["row"]]
+        x[i, g["b"]], y[i], more[i] = g["n"], g["y"], g["repeats"]
+    x = np.hstack([x / (x.sum(axis=1, keepdims=True) + PAD), more])
+    w, b = np.zeros(x.shape[1]), 0.0
+    # a text full of repeats has a long vector: never a step beyond which the fit would swing
+    held = np.hstack([x, np.ones((len(y), 1))])
+    step = min(STEP, 4 / float(np.linalg.eigvalsh(held.T @ held / len(y))[-1]))
     for _ in range(FIT_ROUNDS):
         e = y - 1 / (1 + np.exp(-(x @ w + b)))
-        w += STEP * (x.T @ e / len(y) - PENALTY * w)
-        b += STEP * e.mean()
+        w += step * (x.T @ e / len(y) - PENALTY * w)
+        b += step * e.mean()
     return float(b), w.tolist()
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = KEEP, sample: int = SAMPLE, buckets: int = BUCKETS) -> DataFrame:
-    """``doc_id, score, kept`` per input row: the scorer's probability of being good, and the verdict.
+    """``doc_id, weak, score, kept`` per input row: the posterior of the votes, the scorer's probability and the verdict.
 
-    A text without words (null counts as empty) has no features: its score is
-    the posterior of a document that no labeller calls bad.  Null ids and
-    repeated rows give a row each; other columns are ignored; an empty table
-    gives no rows.
+    A text without words (null counts as empty) has no features: its posterior
+    is its score.  Null ids and repeated rows give a row each; other columns
+    are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    labels = estimate(voted(docs))
+    rows = voted(docs)
+    labels = estimate(rows)
     bias, weights = fit_scorer(docs, labels, sample, buckets)
-    silent = float(labels.good(np.zeros((1, len(LABELLERS))))[0])
-    step = with_buckets(docs, buckets)
-    total = F.aggregate("b", F.lit(0.0), lambda acc, k: acc + F.get(F.lit(weights), k))
-    raw = F.when(F.size("b") > 0, total / (F.size("b") + PAD) + F.lit(bias))
-    step = step.withColumn("score", F.coalesce(1 / (1 + F.exp(-raw)), F.lit(silent)))
-    return step.select("doc_id", "score", (F.col("score") >= keep).alias("kept"))
+    step = with_buckets(rows.select("doc_id", "text", labels.column(F.col("votes")).alias("weak")), buckets)
+    total = F.aggregate("b", F.lit(0.0), lambda acc, k: acc + F.get(F.lit(weights[:buckets]), k))
+    said = sum((F.get("repeats", k) * weights[buckets + k] for k in range(len(REPEATS))), F.lit(bias))
+    raw = F.when(F.size("b") > 0, total / (F.size("b") + PAD) + said)
+    step = step.withColumn("score", F.coalesce(1 / (1 + F.exp(-raw)), F.col("weak")))
+    return step.select("doc_id", "weak", "score", (F.col("score") >= keep).alias("kept"))
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:

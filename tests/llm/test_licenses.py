@@ -38,3 +38,21 @@ def test_method_finds_changed_and_moved_templates(spark):
     assert got[1].score == 1.0 and 0.8 <= got[2].score < 1.0
     assert got[1].places.startswith("mit:80:") and got[3].labels == got[4].labels == got[6].labels == "" and got[3].score == 0.0
     assert got[5].labels == "gpl-3"
+
+
+def test_each_notice_has_its_own_label_only(spark):
+    from tests.llm.conftest import unlike
+
+    rows = [(i, f"{unlike(i, 30)} {text} {unlike(i + 100, 30)}") for i, (_, text) in enumerate(L.TEMPLATES)]
+    rows += [(100, "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.")]
+    got = {r.doc_id: r.labels for r in L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got.pop(100) == "" and got == {i: label for i, (label, _) in enumerate(L.TEMPLATES)}
+
+
+def test_chained_copies_are_taken_apart(spark):
+    line = "Copyright. All rights reserved."
+    rows = [(n, "\n".join([line] * n)) for n in (1, 2, 3, 7, 500)] + [(1000, "\n".join([line] * 4 + ["This work is licensed under a Creative Commons Attribution 4.0 International License."] + [line] * 3))]
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[n].labels == "all-rights-reserved" and got[n].score == 1.0 for n in (1, 2, 3, 7, 500))
+    assert got[3].places == ",".join(f"all-rights-reserved:{4 * i}:{4 * i + 4}" for i in range(3)) and len(got[500].places.split(",")) == 500
+    assert got[1000].labels == "all-rights-reserved,cc-by"

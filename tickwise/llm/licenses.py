@@ -5,7 +5,9 @@ the license templates.  A text that holds a template, even with words put in
 or left out, has many matches on one or a few neighbouring diagonals (place in
 the text minus place in the template); votes are counted by diagonal,
 neighbouring diagonals are merged, and the span that is left must cover enough
-of the template without stretching over much else.
+of the template without stretching over much else, and hold a window that no
+other license has.  A chain of copies, too long for one, is taken apart again.
+Of spans that overlap, only the best-covering template's is kept.
 
 Scale: the window table of the templates is a few hundred rows, the only thing
 broadcast.  Text windows are exploded and joined without a shuffle; only the
@@ -40,6 +42,9 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-3", "This work is licensed under the GNU General Public License v3.0."),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-2", "This work is licensed under the GNU General Public License v2.0."),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
@@ -50,6 +55,9 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
     ("all-rights-reserved", "Copyright. All rights reserved."),
 )
 
@@ -75,26 +83,55 @@ def _exploded(df: DataFrame, k: int) -> DataFrame:
 
 
 def template_windows(spark: SparkSession, templates=TEMPLATES, k: int = K) -> DataFrame:
-    """``(t, label, n, t_at, g, word)``: the windows of every template, n of them each."""
+    """``(t, label, n, t_at, g, word, own)``: the windows of every template, n of them each.
+
+    ``own`` marks those that no template of another label has; if a template has no such window, all of its.
+    """
     rows = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(templates)])
     known = spark.range(1).select(F.inline(rows)).select("t", "label", words_of(F.col("text")).alias("words"))
     known = known.withColumn("n", F.size("words") - k + 1)
-    return _exploded(known, k).withColumnRenamed("at", "t_at")
+    known = _exploded(known, k).withColumnRenamed("at", "t_at")
+    alone = F.size(F.collect_set("label").over(Window.partitionBy("g", "word"))) == 1
+    return known.withColumn("own", alone).withColumn("own", F.col("own") | ~F.max("own").over(Window.partitionBy("t")))
 
 
 def places(rows: DataFrame, known: DataFrame, keys: list[str], k: int = K, neighbour: int = NEIGHBOUR, cover: float = COVER, stretch: float = STRETCH) -> DataFrame:
     """Verified spans ``keys, label, start, end, score``: rows carry ``keys`` and ``words``; places count words, end exclusive."""
     hits = _exploded(rows.select(*keys, "words"), k).join(F.broadcast(known), ["g", "word"])
     votes = hits.groupBy(*keys, "t", "label", "n", (F.col("at") - F.col("t_at")).alias("diagonal")).agg(
-        F.collect_set("t_at").alias("matched"), F.min("at").alias("start"), F.max("at").alias("end"))  # a set holds a template's windows at most
+        F.collect_set("t_at").alias("matched"), F.min("at").alias("start"), (F.max("at") + k).alias("end"), F.max("own").alias("own"))  # a set holds a template's windows at most
     by = Window.partitionBy(*keys, "t").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > neighbour, F.lit(True)).cast("int")
     numbered = votes.withColumn("new", new).withColumn("place", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = numbered.groupBy(*keys, "t", "label", "n", "place").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("matched")))).alias("covered"), F.min("start").alias("start"), (F.max("end") + k).alias("end"))
-    score = F.col("covered") / F.col("n")
-    fits = (score >= cover) & (F.col("end") - F.col("start") <= stretch * (F.col("n") + k - 1) + neighbour)
-    return merged.filter(fits).select(*keys, "label", "start", "end", score.alias("score"))
+    merged = numbered.groupBy(*keys, "t", "label", "n", "place").agg(F.sort_array(F.collect_list(F.struct("diagonal", "start", "end", "matched", "own"))).alias("on"))
+
+    def spot(on: Column) -> Column:
+        return F.struct(
+            F.size(F.array_distinct(F.flatten(F.transform(on, lambda d: d["matched"])))).alias("covered"), F.array_min(F.transform(on, lambda d: d["start"])).alias("start"),
+            F.array_max(F.transform(on, lambda d: d["end"])).alias("end"), F.exists(on, lambda d: d["own"]).alias("own"))
+
+    # a diagonal is never longer than the template, so a run of diagonals within the slack is never too long
+    words = F.col("n") + (k - 1)
+    slack = F.greatest(F.floor((stretch - 1) * words + neighbour), F.lit(0)).cast("int")
+    run = lambda d, i: F.filter(F.slice("on", i + 1, slack + 1), lambda o: o["diagonal"] - d["diagonal"] <= slack)
+    parts = F.concat(F.transform("on", lambda d: spot(F.array(d))), F.transform("on", lambda d, i: spot(run(d, i))))
+    whole = merged.withColumn("whole", spot(F.col("on")))
+    fits = F.col("whole.end") - F.col("whole.start") <= stretch * words + neighbour
+    found = whole.select(*keys, "t", "label", "n", F.inline(F.when(fits, F.array("whole")).otherwise(parts)))
+    return best_of_overlapping(found.withColumn("score", F.col("covered") / F.col("n")).filter((F.col("score") >= cover) & F.col("own")), keys)
+
+
+def best_of_overlapping(found: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, label, start, end, score``: the spans, best cover first, that meet no better one."""
+    by = Window.partitionBy(*keys).orderBy("start", "end", "t")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = found.withColumn("new", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
+    numbered = numbered.withColumn("knot", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))  # spans of one knot meet no other's
+    order = F.struct((-F.col("score")).alias("by_score"), (-F.col("covered")).alias("by_cover"), (F.col("end") - F.col("start")).alias("length"), "start", "t", "end", "label", "score")
+    knots = numbered.groupBy(*keys, "knot").agg(F.sort_array(F.collect_set(order)).alias("all"))
+    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    kept = F.aggregate("all", F.slice("all", 1, 0), lambda acc, c: F.when(F.exists(acc, lambda o: meets(o, c)), acc).otherwise(F.concat(acc, F.array(c))))
+    return knots.select(*keys, F.explode(kept).alias("c")).select(*keys, "c.label", "c.start", "c.end", "c.score")
 
 
 def base_places(words: Column, text: Column) -> Column:

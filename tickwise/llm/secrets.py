@@ -30,8 +30,14 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_CHARS = 12
 
 #: Names that announce a credential; the first letters decide whether a text is searched at all.
+#: A name may stand behind any prefix (DB_PASSWORD, dbPassword), the ones that end ordinary words only behind a word edge.
+_NAME = r"""(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_\x20-]?key|authorization|credentials?|private[_-]?key|access[_-]?key|client[_-]?secret|encryption[_-]?key|(?:(?<![a-z])|(?<=(?-i:[a-z]))(?=(?-i:[A-Z])))(?:pass|o?auth|bearer))"""
+#: What may follow a name: more parts of an identifier, not the rest of another word (author, secretary).
+_MORE = r"""(?:(?:[_0-9-]|(?-i:(?<=[a-z])[A-Z]))[a-z0-9_-]{0,64}|key|hash|value|id|s)?"""
+#: Words that say how a value is to be used; the credential comes after them.
+_SCHEME = r"""(?:(?:bearer|basic|digest|token|apikey|negotiate)\x20+)?"""
 _CONTEXT = re.compile(
-    r"""(?ai:\b(?:password|passwd|passphrase|passcode|pass|pwd|secret|token|api[_\x20-]?key|auth|authorization|bearer|credentials?|private[_-]?key|access[_-]?key|client[_-]?secret|encryption[_-]?key))["']?(?:\x20*(?:[:=]|=>|:=)\x20*|\x20+is\x20+)(?:(?P<q>["'])(?P<quoted>[^"'\n]{6,})(?P=q)|(?P<bare>[^\s"']{6,}))"""
+    rf"""(?ai:{_NAME}{_MORE})["']?(?:\x20*(?:[:=]|=>|:=)\x20*|\x20+is\x20+)(?:(?P<q>["'])(?ai:{_SCHEME})(?P<quoted>[^"'\n]{{6,}})(?P=q)|(?ai:{_SCHEME})(?P<bare>[^\s"']{{6,}}))"""
 )
 TRACES = ("pass", "pwd", "secret", "token", "api", "auth", "bearer", "credential", "key")
 
@@ -144,7 +150,7 @@ def base_spans(text: str, low: str | None = None) -> list[tuple[int, int, int]]:
 
 
 def all_spans(text: str, words: dict[str, float], min_log_guesses: float = MIN_LOG_GUESSES) -> tuple[list, list]:
-    """Base spans, and those with the dear values in credential contexts that no base span meets."""
+    """Base spans, and those with the dear values in credential contexts, unless one base span covers the whole value."""
     low = text.lower()
     base = base_spans(text, low)
     more = []
@@ -155,7 +161,7 @@ def all_spans(text: str, words: dict[str, float], min_log_guesses: float = MIN_L
             while b > a and text[b - 1] in ".,;:!?)]}>" and group == "bare":
                 b -= 1  # punctuation of the sentence
             value = text[a:b]
-            if len(value) < 6 or any(s < b and a < e for s, _, e in base):
+            if len(value) < 6 or any(s <= a and b <= e for s, _, e in base):
                 continue
             if log_guesses(value, words) >= min_log_guesses:
                 more.append((a, 3, b))

@@ -105,3 +105,17 @@ def test_redact_merges_overlaps_and_keeps_columns(spark, docs, nothing):
     assert row.text == "x <phone> y <email> z" and row.n_chars == len(row.text)
     out = P.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count() and P.redact(nothing).count() == 0
+
+
+def test_ibans_of_any_length_and_accounts_before_a_full_stop(spark):
+    ibans = ["DE89370400440532013000", "GB82WEST12345698765432", "FR1420041010050500013M02606", "NO9386011117947", "MU17BOMM0101101030300200000MUR", "SC18SSCB11010000000000001497USD"]
+    ibans += [" ".join(x[i:i + 4] for i in range(0, len(x), 4)) for x in ibans]
+    texts = [f"iban {x}{end}" for x in ibans for end in ("", ".", " AND SO on", ", then")] + ["account 12345678.", "account 12345678", "account 12345678. Next"]
+    model = P.Boosted([])
+    model.threshold = -1e9  # takes every candidate
+    got = {r.doc_id: r.text for r in P.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model=model).collect()}
+    want = [f"iban <iban>{end}" for _ in ibans for end in ("", ".", " AND SO on", ", then")] + ["account <account>.", "account <account>", "account <account>. Next"]
+    assert [got[i] for i in range(len(texts))] == want
+    none = spark.createDataFrame([(1, "version 12345678.5 of AB12 3456 7890")], "doc_id bigint, text string")
+    found = P.candidates(none.select("text")).selectExpr("filter(__found, c -> c.kind > 4) f").collect()[0].f
+    assert [c for c in found if P.KINDS[c.kind] in ("iban", "account")] == []

@@ -40,8 +40,9 @@ GENERATORS = {
     "masked_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z]{2,24}",
     "local_phone": r"(?<![0-9.+()-])(?<![0-9+)][\x20])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9]|[.-][0-9])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
-    "account": r"(?<![0-9A-Za-z.+-])[0-9]{8,20}(?![0-9A-Za-z.-])",
+    # 15 to 34 characters, the last group of any length; behind a space it holds a digit, but in the two countries that end in a currency
+    "iban": r"(?<![A-Za-z0-9])(?:(?:MU|SC)[0-9]{2}(?:\x20?[A-Z0-9]{4}){6}\x20?[A-Z]{2,3}|[A-Z]{2}[0-9]{2}(?:(?:\x20?[A-Z0-9]{4}){3,7}(?:(?:\x20(?=[A-Z]{0,3}[0-9]))?[A-Z0-9]{1,4})?|(?:\x20?[A-Z0-9]{4}){2}\x20?[A-Z0-9]{3}))(?![A-Za-z0-9])",
+    "account": r"(?<![0-9A-Za-z.+-])[0-9]{8,20}(?![0-9A-Za-z-]|\.[0-9])",
 }
 #: What a text must hold for a generator to run: most texts skip most of them.
 GATES = {"email": "@", "phone": "+", "masked_email": r"[\[(](?:at|AT)[\])]"}

@@ -48,3 +48,20 @@ def test_clean_keeps_the_columns_and_counts_characters(docs, nothing):
     assert out.columns == docs.columns
     assert all(r.n_chars == len(r.text) for r in out.collect())
     assert Q.judge(nothing).count() == 0 and Q.clean(nothing).count() == 0
+
+
+def test_words_of_a_line_are_runs_of_anything_but_blanks(spark):
+    from pyspark.sql import functions as F
+
+    fails = {"Home\tNews\tSport\t|\t|": True, "#\t$\t%\t&": True, "one\ttwo\tthree": True, "    Intro": False, "Intro    ": False, "a    b": False, "#  word   word  #": True,
+             "A clean line of words.": False, "    Indented words that end.": False}
+    fails |= {"यह एक साफ वाक्य है।": False, "यह एक साफ वाक्य है": True, "یہ ایک صاف جملہ ہے۔": False, "هل هذه جملة واضحة؟": False, "これは 文 です ！": False, "这 是 句子 吗？」": False}
+    rows = spark.createDataFrame(list(enumerate(fails)), "i int, x string").select("i", Q.line_fails(F.col("x")).alias("f")).collect()
+    assert {r.i: r.f for r in rows} == dict(enumerate(fails.values()))
+
+
+def test_clean_documents_of_other_scripts_are_kept(spark):
+    hindi = "\n".join(f"यह{i} वाक्य साफ{i} और पूरा{i} है।" for i in range(12))
+    urdu = "\n".join(f"یہ{i} جملہ صاف{i} اور مکمل{i} ہے۔" for i in range(12))
+    got = {r.doc_id: (r.kept, r.lost_chars) for r in Q.judge(spark.createDataFrame([(1, hindi), (2, urdu)], "doc_id bigint, text string")).collect()}
+    assert got == {1: (True, 0), 2: (True, 0)}

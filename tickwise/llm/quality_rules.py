@@ -37,11 +37,13 @@ _NOT_MARKS = r"[^!?#*$%&|<>{}\[\]~^=]+"
 #: Replaced one by one: Java's regular expressions are slow on classes with characters beyond Latin-1.
 _SEPARATORS = ("|", ">", "»", "•")
 _SENTENCE_END = r"[.!?…。:;][\"'”’»)\]]*([\x20\x09-\x0D]|$)"
+#: The operator's sentence ends: those of the SQL twin, and those of other scripts (Indic, Arabic, Urdu, full-width, Armenian, Ethiopic, Khmer, Burmese, Tibetan).
+_LINE_END = r"[.!?…。:;।॥؟؛۔！？．｡：；։።፧។။།][\"'”’»)\]」』）】》]*([\x20\x09-\x0D]|$)"
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line breaks the punctuation, navigation or boilerplate rule; its words are its spaces and one."""
-    n_words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    """Whether a line breaks the punctuation, navigation or boilerplate rule; its words are those of ``WORD``."""
+    n_words = F.regexp_count(line, F.lit(WORD))
     held = F.transform(F.array(F.struct(line.alias("x"), n_words.alias("n"))), _rules)
     return F.get(held, 0)
 
@@ -55,7 +57,7 @@ def _rules(line: Column) -> Column:
     navigation = (F.length(x) - F.length(bare)) * 5 >= n
     low = F.lower(x)
     boilerplate = (n <= BOILERPLATE_WORDS) & reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE])
-    return (n > 2) & (marks | navigation | ~x.rlike(_SENTENCE_END)) | boilerplate
+    return (n > 2) & (marks | navigation | ~x.rlike(_LINE_END)) | boilerplate
 
 
 def repeated_words(grams: Column) -> Column:

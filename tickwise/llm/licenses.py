@@ -58,6 +58,15 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License."),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 2.5 Generic License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 2.5 Generic License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 2.5 Generic License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 2.0 Generic License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 2.0 Generic License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 2.0 Generic License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 1.0 Generic License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 1.0 Generic License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 1.0 Generic License."),
     ("all-rights-reserved", "Copyright. All rights reserved."),
 )
 

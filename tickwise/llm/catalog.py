@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from tickwise.llm.chunk_bpe import op13_chunk_bpe
 from tickwise.llm.fingerprints import op9_fingerprints
 from tickwise.llm.licenses import op10_licenses
 from tickwise.llm.mixing import op8_mixing
@@ -18,7 +19,7 @@ from tickwise.llm.weak_quality import op4_quality_classifier
 QUERIES: dict[str, Callable] = {
     f.__name__: f for f in (
         op1_secrets, op2_url_filter, op3_quality_rules, op4_quality_classifier, op5_packing,
-        op6_pii, op7_simhash, op8_mixing, op9_fingerprints, op10_licenses,
+        op6_pii, op7_simhash, op8_mixing, op9_fingerprints, op10_licenses, op13_chunk_bpe,
     )
 }
 

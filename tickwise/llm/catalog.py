@@ -5,6 +5,8 @@ from collections.abc import Callable
 
 from tickwise.llm.chunk_bpe import op13_chunk_bpe
 from tickwise.llm.fingerprints import op9_fingerprints
+from tickwise.llm.importance import ORACLE as IMPORTANCE_SQL
+from tickwise.llm.importance import op12_importance
 from tickwise.llm.licenses import op10_licenses
 from tickwise.llm.mixing import op8_mixing
 from tickwise.llm.packing import op5_packing
@@ -19,8 +21,8 @@ from tickwise.llm.weak_quality import op4_quality_classifier
 QUERIES: dict[str, Callable] = {
     f.__name__: f for f in (
         op1_secrets, op2_url_filter, op3_quality_rules, op4_quality_classifier, op5_packing,
-        op6_pii, op7_simhash, op8_mixing, op9_fingerprints, op10_licenses, op13_chunk_bpe,
+        op6_pii, op7_simhash, op8_mixing, op9_fingerprints, op10_licenses, op12_importance, op13_chunk_bpe,
     )
 }
 
-ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL}
+ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op12_importance": IMPORTANCE_SQL}

@@ -1,20 +1,25 @@
 """Queries for PCA, clustering and neighbours (ML-09 … ML-18, ML-26/27)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window, functions as F
 
 from tickwise.functions.exprs import present
 from tickwise.operators import cluster as CL
 from tickwise.operators import neighbors as NB
 from tickwise.operators import pca as PC
+from tickwise.operators import pivot_index as PX
 from tickwise.operators.timeseries import FEATURE_COLUMNS
 from tickwise.plans.catalog import register
 from tickwise.plans.q_timeseries import features
 from tickwise.plans.sqlparts import R, features_sql
+from tickwise.session import materialize, scratch_path
 from tickwise.sources.tables import read_table
 
 PCA_COLS = [c for c in FEATURE_COLUMNS if c != "date"]          # 27, as the flow uses
 FEAT3 = f"({features_sql()})"
+_DIST = "sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
 
 
 def _z_sql(log_volume: bool = True) -> str:
@@ -104,6 +109,59 @@ def q_pca_knn(spark, sf):
     return nb.join(nxt, ["ticker", "date"], "left")
 
 
+_DATE = "1995-06-15"
+_K = 5
+
+
+def _recommend_sql(targets: str, keep_self: bool) -> str:
+    """Neighbours among all standardised rows: with every component kept, PCA space is a rotation of them."""
+    vec = "[" + ", ".join(f'"{c}"' for c in PCA_COLS) + "]"
+    return f"""
+    WITH z AS (SELECT ticker, date, {vec} AS v FROM {Z_SQL}),
+    t AS ({targets}),
+    d AS (SELECT t.ticker, t.target, z.date, {_DIST.format(a='z.v', b='t.tv')} AS distance FROM t JOIN z USING (ticker)
+          {'' if keep_self else 'WHERE z.date <> t.target'}),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY distance, date) AS rank FROM d) WHERE rank <= {_K}),
+    r AS (SELECT ticker, date, Close, (lead(Close) OVER w - Close) / Close AS next_return FROM {FEAT3} WINDOW w AS (PARTITION BY ticker ORDER BY date))
+    SELECT n.ticker, n.target, n.rank, n.date, {R('n.distance', 'distance', 4)}, {R('r.Close', 'Close')}, {R('r.next_return', 'next_return')},
+           {R('avg(r.next_return) OVER (PARTITION BY n.ticker)', 'mean_next_return')},
+           {R('quantile_cont(r.next_return, 0.5) OVER (PARTITION BY n.ticker)', 'median_next_return')},
+           {R('stddev_pop(r.next_return) OVER (PARTITION BY n.ticker)', 'std_next_return')}
+    FROM n LEFT JOIN r USING (ticker, date)"""
+
+
+def _recommended(df):
+    cols = ["ticker", "target", "rank", "date", "distance", "Close", "next_return", "mean_next_return", "median_next_return", "std_next_return"]
+    return present(df.select(*cols), per_column={"distance": 4})
+
+
+def _all_components(spark, sf):
+    f = features(spark, sf)
+    meta, z = PC.fit_pca(f, PCA_COLS, len(PCA_COLS))
+    meta = materialize(meta)
+    return f, meta, PC.pca_scores(z, meta, PCA_COLS)
+
+
+@register("recommend_by_date", "ML-26, TK-04, JN-04, AG-15", _recommend_sql(
+    f"""SELECT ticker, date AS target, v AS tv FROM z QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY (date = DATE '{_DATE}') DESC, date DESC) = 1""", False))
+def q_recommend_date(spark, sf):
+    """The days most like a given one; tickers without it ask for their newest."""
+    _, _, scores = _all_components(spark, sf)
+    return _recommended(NB.recommend(scores, NB.newest_targets(scores, "pc", date=_DATE), "pc", _next_returns(spark, sf), _K))
+
+
+@register("recommend_from_vector", "ML-27, ML-12, TK-04, AG-15", _recommend_sql(
+    "SELECT ticker, max(date) AS target, [" + ", ".join(f"avg(v[{i + 1}])" for i in range(len(PCA_COLS))) + "] AS tv "
+    "FROM (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 5) GROUP BY ticker", True))
+def q_recommend_vector(spark, sf):
+    """The days most like a raw vector, here the mean of the newest five rows; no row is left out."""
+    f, meta, scores = _all_components(spark, sf)
+    newest = F.row_number().over(Window.partitionBy("ticker").orderBy(F.col("date").desc()))
+    raw = PC.pca_inputs(f, PCA_COLS).withColumn("_r", newest).where("_r <= 5")
+    raw = raw.groupBy("ticker").agg(F.max("date").alias("date"), F.array(*[F.avg(c) for c in PCA_COLS]).alias("features"))
+    return _recommended(NB.recommend(scores, PC.project_vectors(raw, meta), "pc", _next_returns(spark, sf), _K, exclude_self=False))
+
+
 def _next_returns(spark, sf, key="l_returnflag"):
     f = features(spark, sf, key)
     w = Window.partitionBy("ticker").orderBy("date")
@@ -244,7 +302,6 @@ def _emb(spark, sf):
 
 
 _EMB = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
-_DIST = "sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
 
 
 def _targets(e):
@@ -261,13 +318,16 @@ def q_emb_dist(spark, sf):
     return present(j.select("vec_id", "label", CL.distance(F.col("v"), F.col("tv")).alias("distance")))
 
 
-@register("embedding_knn", "ML-27, TK-04", f"""
+_KNN_SQL = f"""
     WITH e AS {_EMB}, t AS (SELECT label, min(vec_id) AS target FROM e GROUP BY label),
     tv AS (SELECT t.label, t.target, e.v AS tv FROM t JOIN e ON e.vec_id = t.target),
     d AS (SELECT tv.target, e.vec_id, {_DIST.format(a='e.v', b='tv.tv')} AS distance
           FROM tv CROSS JOIN e WHERE e.vec_id <> tv.target)
     SELECT target, vec_id, {R('distance', 'distance')}, rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY target ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 10""")
+      SELECT *, row_number() OVER (PARTITION BY target ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 10"""
+
+
+@register("embedding_knn", "ML-27, TK-04", _KNN_SQL)
 def q_emb_knn(spark, sf):
     e = _emb(spark, sf)
     t = _targets(e)
@@ -275,6 +335,16 @@ def q_emb_knn(spark, sf):
     return present(nb.select("target", "vec_id", "distance", F.col("rank").cast("bigint").alias("rank")))
 
 
+@register("embedding_knn_indexed", "ML-26, ML-27, TK-04, JN-05", _KNN_SQL)
+def q_emb_knn_indexed(spark, sf):
+    """The same neighbours by way of a stored index, of which most shards stay closed."""
+    e = _emb(spark, sf)
+    path = scratch_path(spark, f"pivot-index-{uuid.uuid4().hex}")
+    PX.build_index(e, path, "vec_id", "v")
+    nb, _ = PX.search(spark, path, _targets(e).select("vec_id", "v"), "vec_id", "v", 10)
+    return present(nb.select("target", F.col("key").alias("vec_id"), "distance", F.col("rank").cast("bigint").alias("rank")))
+
+
 @register("nearest_centroid", "ML-15, JN-05", f"""
     WITH e AS {_EMB},
     c AS (SELECT label, list(a ORDER BY i) AS cv FROM (

@@ -4,12 +4,13 @@ All metrics are built-in aggregates with partial (map-side) combine.  The
 rank-based ones (exact ROC AUC) use a two-level prefix sum so that no window
 ever holds a whole group: scores are first reduced to distinct values, then
 bucketed by value; prefix sums run inside (group, bucket) and over the
-bucket totals.
+bucket totals.  Correlations come from one moment matrix per group (``moments``).
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickwise.operators.moments import Moments, grouped_moments
 from tickwise.session import materialize
 
 # The inner edges of 10 uniform bins on [0, 1] exactly as a
@@ -184,32 +185,20 @@ def quantile(df: DataFrame, col: str, q: float = 0.8, group=("ticker",), exact:
     return df.groupBy(*_g(group)).agg(agg.alias(f"q{int(round(q * 100))}"))
 
 
-def correlation_long(df: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
+def correlation_long(df: DataFrame, cols: list[str], group=("ticker",), complete: bool = False) -> DataFrame:
     """AG-14: Pearson correlation of every column pair (pairwise complete),
-    NULL → 0, long output (group, a, b, corr).
+    0 where a pair has none, long output (group, a, b, corr).
 
-    A row becomes one short row per pair, counted by (group, pair) with map-side
-    partial moments: three buffers per key instead of three for every pair of
-    columns in one very wide aggregate.  (Under ANSI mode the built-in ``corr``
-    raises on a zero-variance column; the ratio yields NULL there instead.)
+    One mergeable moment matrix per group and task; a row is read once and
+    never multiplied by the pairs.
     """
-    g, p = _g(group), len(cols)
-    values = df.select(*g, F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
-    v = F.col("_v")
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.transform(
-        F.sequence(i, F.lit(p - 1)), lambda j: F.struct(i.alias("i"), j.alias("j"), F.get(v, i).alias("x"), F.get(v, j).alias("y")))))
-    # the outer form keeps the pairs from being computed a second time in an inferred filter
-    rows = values.withColumn("_n", F.size("_v")).select(*g, F.explode_outer(pairs).alias("_p")).select(*g, "_p.*")
-    x, y = F.col("x"), F.col("y")
-    both = x.isNotNull() & y.isNotNull()
-    agg = rows.groupBy(*g, "i", "j").agg(F.covar_pop(x, y).alias("c"), F.stddev_pop(F.when(both, x)).alias("sx"),
-                                         F.stddev_pop(F.when(both, y)).alias("sy"))
-    name = lambda i: F.get(F.array(*[F.lit(c) for c in cols]), i)
-    corr = F.coalesce(F.try_divide(F.col("c"), F.col("sx") * F.col("sy")), F.lit(0.0))
-    one = F.struct(name(F.col("i")).alias("a"), name(F.col("j")).alias("b"), corr.alias("corr"))
-    two = F.struct(name(F.col("j")).alias("a"), name(F.col("i")).alias("b"), corr.alias("corr"))
-    ends = F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, two))
-    return agg.select(*g, F.explode_outer(ends).alias("_c")).select(*g, "_c.a", "_c.b", "_c.corr")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
+
+    def finish(_: dict, m: Moments) -> list[tuple]:
+        c = m.correlation()
+        return [(cols[i], cols[j], float(c[i, j])) for i, j in pairs]
+
+    return grouped_moments(df, cols, _g(group), "a string, b string, corr double", finish, complete)
 
 
 def value_summary(df: DataFrame, col: str, group=("ticker",)) -> DataFrame:
@@ -262,21 +251,5 @@ def first_seen_values(df: DataFrame, col: str, order: list[str], n: int = 50) ->
 
 
 def correlation_complete_case(df: DataFrame, cols: list[str], part: str = "ticker") -> DataFrame:
-    """AG-14, complete-case variant: rows with any NULL dropped, then
-    ``corr_ab = Σ z_a z_b / n`` on per-ticker standardised columns (one
-    moment aggregate, standardisation by windows on the existing ticker
-    partitioning).  Constant columns give 0, as NULL → 0 in the pairwise form."""
-    from tickwise.operators.pca import standardize_by_window
-    x = df.select(part, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop(subset=cols)
-    z = standardize_by_window(x, cols, part, keep=())
-    p = len(cols)
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    a = z.groupBy(part).agg(F.count(F.lit(1)).alias("_n"), F.first("const").alias("_const"),
-                            *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_m{i}_{j}") for i, j in pairs])
-    items = []
-    for i, j in pairs:
-        v = F.when(F.col("_const")[i] | F.col("_const")[j], F.lit(0.0)).otherwise(F.col(f"_m{i}_{j}") / F.col("_n"))
-        items.append(F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), v.alias("corr")))
-        if i != j:
-            items.append(F.struct(F.lit(cols[j]).alias("a"), F.lit(cols[i]).alias("b"), v.alias("corr")))
-    return a.select(part, F.explode(F.array(*items)).alias("c")).select(part, "c.a", "c.b", "c.corr")
+    """AG-14, complete-case variant: rows with any NULL are dropped first."""
+    return correlation_long(df, cols, part, complete=True)

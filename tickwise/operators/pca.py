@@ -1,35 +1,34 @@
 """Per-ticker standardisation and PCA (ML-09 … ML-12, AG-21, TK-07).
 
-PCA by moments: a grouped aggregate gives, per ticker, the mean and
-population std of every column (pass 1) and the products of the
-standardised columns (pass 2, centred for accuracy).  Only that ≤ p×p
-matrix — one small row per ticker — reaches Python, where a symmetric eigen
-decomposition runs in a grouped pandas function.  Components come back as
-a table and are applied to rows with native array expressions.
+PCA by moments: one pass over the rows gives every ticker's mergeable moment
+matrix (``moments``), and the task that merges a ticker's partials decomposes it
+at once.  Components come back as a table and are applied to rows with native
+array expressions.
 """
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.functions.exprs import finite
+from tickwise.operators.moments import Moments, grouped_moments
 
 
 def _g(group):
     return [group] if isinstance(group, str) else list(group or [])
 
 
+def _plain_inputs(cols: list[str], log_cols=("Volume",)) -> list[Column]:
+    """PRJ-06: the columns as doubles, ``log1p`` of Volume (bad → 0)."""
+    v = {c: F.col(c).cast("double") for c in cols}
+    return [(F.log1p(F.coalesce(v[c], F.lit(0.0))) if c in log_cols else v[c]).alias(c) for c in cols]
+
+
 def pca_inputs(features: DataFrame, cols: list[str], part: str = "ticker",
                log_cols=("Volume",)) -> DataFrame:
     """PRJ-02 + PRJ-06 + PRJ-03: non-finite → NULL, ``log1p`` of Volume
     (bad → 0), then complete rows only."""
-    sel = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        if c in log_cols:
-            v = F.log1p(F.coalesce(v, F.lit(0.0)))
-        sel.append(finite(v).alias(c))
+    sel = [finite(v).alias(c) for c, v in zip(cols, _plain_inputs(cols, log_cols))]
     return features.select(part, "date", *sel).na.drop(subset=cols)
 
 
@@ -79,29 +78,31 @@ def standardize_by_window(x: DataFrame, cols: list[str], part: str = "ticker",
 
 
 def covariance(z: DataFrame, cols: list[str], group=("ticker",)) -> DataFrame:
-    """Population covariance of standardised columns (upper triangle, long
-    format): ``Σ z_a z_b / n`` per group, one aggregate."""
-    g = _g(group)
+    """Population covariance of complete rows (upper triangle, long format) from one moment matrix per group."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    a = z.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
-                          *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_c{i}_{j}") for i, j in pairs])
-    items = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"),
-                      (F.col(f"_c{i}_{j}") / F.col("n")).alias("cov")) for i, j in pairs]
-    return a.select(*g, F.explode(F.array(*items)).alias("x")).select(*g, "x.a", "x.b", "x.cov")
 
+    def finish(_: dict, m: Moments) -> list[tuple]:
+        return [(cols[i], cols[j], float(m.products[i, j] / m.rows)) for i, j in pairs]
 
-def _cov_matrix_row(z: DataFrame, cols: list[str], group) -> DataFrame:
-    g = _g(group)
-    p = len(cols)
-    a = z.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
-                          *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_c{i}_{j}")
-                            for i in range(p) for j in range(i, p)])
-    flat = []
-    for i in range(p):
-        for j in range(p):
-            a_, b_ = (i, j) if i <= j else (j, i)
-            flat.append(F.col(f"_c{a_}_{b_}") / F.col("n"))
-    return a.select(*g, "n", F.array(*flat).alias("cov"))
+    return grouped_moments(z, cols, _g(group), "a string, b string, cov double", finish)
+
+
+def eigen_components(m: Moments, n_components: int) -> tuple[list[float], list[list[float]], list[float], list[float], list[int]]:
+    """Explained shares, components, means, scales and the columns that vary, from a group's moments of complete rows."""
+    p = len(m.mean)
+    std = np.sqrt(np.diag(m.products) / m.rows)
+    keep = np.flatnonzero(std > 0)
+    scale = np.where(std > 0, std, 1.0)
+    if not len(keep):
+        return [], [], m.mean.tolist(), scale.tolist(), []
+    c = (m.products / m.rows / np.outer(scale, scale))[np.ix_(keep, keep)]
+    w, v = np.linalg.eigh(c)
+    w, v = np.clip(w[::-1], 0.0, None), v[:, ::-1]
+    k = min(n_components, len(keep))
+    v = v[:, :k] * np.where(v[np.abs(v).argmax(axis=0)[:k], np.arange(k)] < 0, -1.0, 1.0)
+    full = np.zeros((k, p))
+    full[:, keep] = v.T
+    return (w[:k] / w.sum()).tolist(), full.tolist(), m.mean.tolist(), scale.tolist(), keep.tolist()
 
 
 def fit_pca(features: DataFrame, cols: list[str], n_components: int = 5,
@@ -113,63 +114,21 @@ def fit_pca(features: DataFrame, cols: list[str], n_components: int = 5,
     Constant columns of a group are left out of its decomposition (their
     loadings are 0 and they are absent from ``feature_order``).  Signs are
     fixed so that the largest absolute loading of each component is positive.
+    Groups without a column that varies have no row.
     """
     g = _g(group)
     x = pca_inputs(features, cols, g[0])
-    zx = standardize_by_window(x, cols, g[0])
-    p = len(cols)
-    mom = zx.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"), F.first("mean").alias("mean"), F.first("scale").alias("scale"),
-        F.first("const").alias("const"),
-        *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_c{i}_{j}") for i in range(p) for j in range(i, p)])
-    flat = []
-    for i in range(p):
-        for j in range(p):
-            a_, b_ = (i, j) if i <= j else (j, i)
-            flat.append(F.col(f"_c{a_}_{b_}") / F.col("n"))
-    mom = mom.select(*g, "n", F.array(*flat).alias("cov"), "mean", "scale", "const")
-    z = zx.drop("mean", "scale", "const")
     names = list(cols)
-    schema = (", ".join(f"{c} string" for c in g) +
-              ", n_rows long, n_components int, explained_variance_ratio array<double>, "
-              "components array<array<double>>, mean array<double>, scale array<double>, "
-              "feature_order array<string>")
-
-    def eig(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for r in pdf.to_dict("records"):
-            keep = [i for i in range(p) if not r["const"][i]]
-            if not keep or r["n"] < 1:
-                continue
-            c = np.asarray(r["cov"], dtype=float).reshape(p, p)[np.ix_(keep, keep)]
-            w, v = np.linalg.eigh(c)
-            order = np.argsort(w)[::-1]
-            w, v = np.clip(w[order], 0.0, None), v[:, order]
-            k = min(n_components, len(keep))
-            total = w.sum()
-            comps = []
-            for j in range(k):
-                vec = v[:, j]
-                if vec[np.argmax(np.abs(vec))] < 0:
-                    vec = -vec
-                full = np.zeros(p)
-                full[keep] = vec
-                comps.append(full.tolist())
-            ratio = (w[:k] / total).tolist() if total > 0 else [0.0] * k
-            rec = {c_: r[c_] for c_ in g}
-            rec.update(n_rows=int(r["n"]), n_components=k, explained_variance_ratio=ratio,
-                       components=comps, mean=list(r["mean"]), scale=list(r["scale"]),
-                       feature_order=[names[i] for i in keep])
-            out.append(rec)
-        return pd.DataFrame(out, columns=[*g, "n_rows", "n_components", "explained_variance_ratio",
-                                          "components", "mean", "scale", "feature_order"])
-
-    def run(batches):
-        # a row per group already: batches of groups, no shuffle and no Python call per group
-        for pdf in batches:
-            yield eig(pdf)
-
-    return mom.mapInPandas(run, schema), z
+
+    def finish(_: dict, m: Moments) -> list[tuple]:
+        ratio, comps, mean, scale, keep = eigen_components(m, n_components)
+        return [(m.rows, len(comps), ratio, comps, mean, scale, [names[i] for i in keep])] if keep else []
+
+    schema = ("n_rows bigint, n_components int, explained_variance_ratio array<double>, components array<array<double>>, "
+              "mean array<double>, scale array<double>, feature_order array<string>")
+    # the moments leave out incomplete rows themselves: no second, wide filter over all columns
+    meta = grouped_moments(features.select(*g, *_plain_inputs(cols)), cols, g, schema, finish, complete=True)
+    return meta, standardize_by_window(x, cols, g[0]).drop("mean", "scale", "const")
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -1,8 +1,12 @@
 """Session construction and cluster-safe scratch locations."""
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +97,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python, whatever folder they start in; once per context."""
+    sc = spark.sparkContext
+    if any(f.endswith("/tickwise.zip") for f in sc.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    own = tempfile.mkdtemp(prefix="tickwise-")  # the driver serves the file from here as long as it lives
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    with zipfile.ZipFile(f"{own}/tickwise.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(f"{own}/tickwise.zip")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark).rstrip("/"), name)

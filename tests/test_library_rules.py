@@ -8,6 +8,7 @@ from tickwise.operators import checks as C
 from tickwise.operators import cluster as CL
 from tickwise.operators import joins as J
 from tickwise.operators import metrics as M
+from tickwise.operators import boosting as BO
 from tickwise.operators import models as MD
 from tickwise.operators import neighbors as NB
 from tickwise.operators import projections as P
@@ -67,9 +68,10 @@ def test_fill_is_linear_and_right(spark):
 
 def test_patience_waits_ten_rounds():
     falling = [1.0 - i / 100 for i in range(30)]
-    assert MD.rounds_to_keep(falling) == (30, False)
-    assert MD.rounds_to_keep(falling[:5] + [2.0] * 9) == (5, False)
-    assert MD.rounds_to_keep(falling[:5] + [2.0] * 10 + [0.0]) == (5, True)
+    assert BO.stopped_at(falling, 10) == (30, False)
+    assert BO.stopped_at(falling[:5] + [2.0] * 9, 10) == (5, False)
+    assert BO.stopped_at(falling[:5] + [2.0] * 10, 10) == (5, True)
+    assert BO.stopped_at([], 10) == (0, False)
 
 
 def test_expected_groups_have_a_row(spark):

@@ -2,18 +2,19 @@
 
 Scale choice: one *pooled* model over all tickers (Spark ML trains it
 distributed); metrics are reported per ticker.  Splits are per ticker.
-GBT is not XGBoost (first-order boosting, no L2 term, per-node column
-sampling), so quality is comparable in band, not in digits.
+The regressor is Spark's GBT (first-order boosting, no L2 term, per-node column
+sampling), the classifier boosts Spark ML trees stage by stage with Newton
+targets and columns drawn per tree (``boosting``); quality is comparable in
+band, not in digits.
 """
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickwise.operators import metrics as M
+from tickwise.operators.boosting import StagewiseClassifier, boost
 from tickwise.operators.projections import complete_cases, finite_only, impute, latest_row, numeric_columns
 from tickwise.operators.timeseries import add_business_days, by_date, chronological_split
 from tickwise.session import materialize
@@ -21,9 +22,7 @@ from tickwise.session import materialize
 # The reference's hyper-parameters, and its patience: rounds without a better validation loss.
 REGRESSOR_PARAMS = dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8,
                         featureSubsetStrategy="0.8", seed=42)
-CLASSIFIER_PARAMS = dict(maxIter=200, maxDepth=5, stepSize=0.1, subsamplingRate=0.8,
-                         featureSubsetStrategy="0.8", seed=42)
-PATIENCE = 10
+CLASSIFIER_PARAMS = dict(rounds=200, depth=5, step=0.1, subsample=0.8, columns=0.8, patience=10, seed=42)
 
 
 def regression_frame(features: DataFrame, part: str = "ticker") -> tuple[DataFrame, list[str]]:
@@ -85,49 +84,20 @@ def stratified_split(df: DataFrame, label: str = "label", frac: float = 0.2, see
     return d.withColumn(flag, F.when(fallback, contiguous).otherwise(strat)).drop("_ncls", "_min", "_n", "_k")
 
 
-def rounds_to_keep(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """The round with the lowest loss up to the first stretch of ``patience``
-    rounds without a better one, and whether that stretch was reached."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_with_patience(train: DataFrame, held: DataFrame, params: dict, patience: int = PATIENCE):
-    """Boost in growing numbers of rounds until the held-out loss rests for
-    ``patience`` rounds (or ``maxIter`` is reached), then keep the best number.
-    The same seed and rows give the same first trees each time."""
-    most = params["maxIter"]
-    train, held = materialize(train), materialize(held)
-    rounds = min(most, 4 * patience)
-    while True:
-        model = GBTClassifier(labelCol="label", featuresCol="features", **{**params, "maxIter": rounds}).fit(train)
-        keep, rested = rounds_to_keep(model.evaluateEachIteration(held), patience)
-        if rested or rounds == most:
-            break
-        rounds = min(most, 2 * rounds)
-    if keep == rounds:
-        return model
-    return GBTClassifier(labelCol="label", featuresCol="features", **{**params, "maxIter": keep}).fit(train)
-
-
 def train_classifier(features: DataFrame, params: dict | None = None, part: str = "ticker",
                      min_rows: int = 30):
-    """ML-04: pooled GBT classifier stopped after ``PATIENCE`` rounds without a better validation loss; per
+    """ML-04: pooled stage-wise classifier stopped once the validation loss rests; per
     ticker train/validation log loss and AUC, Brier score and calibration.
-    Tickers with fewer than ``min_rows`` labelled rows are skipped."""
+    Tickers with fewer than ``min_rows`` labelled rows aren't trained on: their
+    metrics row has the status ``skipped`` and only their number of rows."""
     d, feats = label_direction(features, part)
-    ok = d.groupBy(part).count().where(F.col("count") >= min_rows).select(part)
-    d = stratified_split(d.join(ok, part), "label", 0.2, 42, part)
+    sizes = d.groupBy(part).agg(F.count(F.lit(1)).alias("n_rows"))
+    small = F.col("n_rows") < min_rows
+    d = stratified_split(d.join(sizes.where(~small).select(part), part), "label", 0.2, 42, part)
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    d = va.transform(d)
-    use = d.select(F.col("label").cast("double").alias("label"), "features", "is_val")
-    model = fit_with_patience(use.where(~F.col("is_val")), use.where("is_val"), params or CLASSIFIER_PARAMS)
-    scored = model.transform(d).withColumn("p", vector_to_array("probability")[1])
+    d = materialize(va.transform(d))
+    model = boost(d, len(feats), **(params or CLASSIFIER_PARAMS), key=(part, "date"))
+    scored = model.score(d)
     def side(flag):
         s = scored.where(F.col("is_val") == flag)
         m = M.classification_metrics(s, "label", "p", [part])
@@ -138,32 +108,34 @@ def train_classifier(features: DataFrame, params: dict | None = None, part: str
                          F.col("n").alias("n_train"))
                .join(va_.select(part, F.col("logloss").alias("logloss_val"), F.col("auc").alias("auc_val"),
                                 F.col("brier").alias("brier"), F.col("n").alias("n_val")), part, "left"))
+    skipped = sizes.where(small).select(part, "n_rows", F.lit("skipped").alias("status"))
+    metrics = metrics.join(sizes, part).withColumn("status", F.lit("ok")).unionByName(skipped, allowMissingColumns=True)
     calib = M.calibration_curve(scored.where("is_val"), "label", "p", [part])
-    return model, feats, metrics, calib, scored.drop("features", "rawPrediction", "probability")
+    return model, feats, metrics, calib, scored.drop("features")
 
 
 def score_regression(model, df: DataFrame, feats: list[str]) -> DataFrame:
-    """ML-05: predictions for every complete row."""
-    va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip")
+    """ML-05: a prediction for every row; a missing value takes the right branch of its splits."""
+    va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     return model.transform(va.transform(df)).drop("features")
 
 
-def score_classification(model, df: DataFrame, feats: list[str], threshold: float = 0.5) -> DataFrame:
+def score_classification(model: StagewiseClassifier, df: DataFrame, feats: list[str], threshold: float = 0.5) -> DataFrame:
     """ML-06: probability of up and label = p ≥ threshold."""
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    s = model.transform(va.transform(df))
-    p = vector_to_array("probability")[1]
-    return (s.withColumn("proba_up", p).withColumn("pred_label", (p >= threshold).cast("int"))
-            .drop("features", "rawPrediction", "probability", "prediction"))
+    s = model.score(va.transform(df), "proba_up")
+    return s.withColumn("pred_label", (F.col("proba_up") >= threshold).cast("int")).drop("features")
 
 
 def predict_next(model, features: DataFrame, feats: list[str], part: str = "ticker") -> DataFrame:
-    """ML-07: next-day return from each ticker's latest row; tickers whose
-    latest row misses a feature are skipped."""
-    last = complete_cases(latest_row(features, part), feats)
-    out = score_regression(model, last, feats)
-    return out.select(part, F.col("date").alias("source_date"), F.col("prediction").alias("predicted_return"),
-                      F.array(*[F.col(f) for f in feats]).alias("values"))
+    """ML-07: next-day return from each ticker's latest row; a ticker whose
+    latest row misses a feature has the status ``skipped`` and no prediction."""
+    out = score_regression(model, latest_row(features, part), feats)
+    whole = F.lit(True)
+    for f in feats:
+        whole = whole & F.col(f).isNotNull()
+    return out.select(part, F.col("date").alias("source_date"), F.when(whole, F.col("prediction")).alias("predicted_return"),
+                      F.array(*[F.col(f) for f in feats]).alias("values"), F.when(whole, "ok").otherwise("skipped").alias("status"))
 
 
 def forecast_next_days(model, features: DataFrame, feats: list[str], days: int = 7,

@@ -51,10 +51,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
             write_partitioned(nd, os.path.join(root, "next_day"), ("run_ts",))
     if "classifier" in steps:
         model, names, metrics, calib, _ = MD.train_classifier(feats, cls_params)
-        model.write().overwrite().save(os.path.join(root, "models", run_ts, "classifier"))
+        model.save(os.path.join(root, "models", run_ts, "classifier"))
         cal = calib.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("bin", "prob_true", "prob_pred")))
                                           .alias("calibration"))
-        meta = metrics.join(cal, "ticker", "left").select(
+        meta = metrics.where("status = 'ok'").join(cal, "ticker", "left").select(
             "ticker", F.lit("classification").alias("task"), F.array(*[F.lit(n) for n in names]).alias("features"),
             F.struct("logloss_train", "auc_train", "logloss_val", "auc_val").alias("metrics"),
             F.struct("brier", "calibration").alias("calibration"),

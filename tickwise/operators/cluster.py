@@ -1,26 +1,29 @@
 """Grouped KMeans and cluster reports (ML-13 … ML-18, AG-18, AG-23, TK-05/06).
 
-KMeans runs for every ticker at once as DataFrame iterations:
-
-* seeding is k-means++: each next centre is drawn with probability ∝ D²
-  using an exponential race, ``argmin(-ln u / D²)`` with ``u`` a seeded hash
-  of the row — exact D²-weighted sampling, deterministic for a seed, and a
-  plain ``min_by`` per ticker;
-* a Lloyd step joins the rows to one row of ``k`` centres per ticker
-  (AQE broadcasts it when its bytes are few), picks the nearest centre with array
-  expressions, and averages coordinates per (ticker, cluster) with
-  map-side partial aggregation — one ticker's rows are spread over all
-  tasks;
-* the tiny centre table is checkpointed every iteration (lineage cut in
-  the shared checkpoint folder); the loop stops when every ticker's centres
-  move less than ``tol``.
+Seeding is k-means++: each next centre is drawn with probability ∝ D² using an
+exponential race, ``argmin(-ln u / D²)`` with ``u`` a seeded hash of the row:
+exact D²-weighted sampling, deterministic for a seed.
+
+* A group of up to ``GROUP_ROWS`` rows is clustered inside one task, all groups
+  by one shuffle (``lloyd``): its steps keep distance bounds per row in memory,
+  so settled rows aren't compared with the centres again, and no step is a job.
+* A larger group is spread over all tasks: a Lloyd step joins its rows to one
+  row of ``k`` centres, picks the nearest with array expressions and averages
+  per (ticker, cluster) with map-side partial aggregation; the tiny centre table
+  is checkpointed every step, and groups whose centres rest leave the loop.
+
+Both follow the same rules (seeds, ties to the lowest centre, an empty cluster
+keeps its centre) and differ by rounding alone.
 """
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwise.operators.joins import query_blocks
-from tickwise.session import checkpoint_dir
+from tickwise.operators.lloyd import lloyd, seed_centers
+from tickwise.session import checkpoint_dir, ship
 
 
 def _g(group):
@@ -48,8 +51,30 @@ def nearest(x: Column, centers: Column) -> tuple[Column, Column]:
     return (F.array_position(d2s, F.array_min(d2s)) - 1).cast("int"), F.array_min(d2s)
 
 
+#: Largest group that is clustered inside a task.
+GROUP_ROWS = 200_000
+
+
+def _kmeans_in_tasks(rows: DataFrame, g: list[str], key: list[str], k: int, max_iter: int, tol: float) -> DataFrame:
+    """``(group, key, cluster_label, d2, centers, n_iter, converged)``: the last three on one row of each group."""
+    kept = rows.select(*g, *key).schema
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields],
+                        "cluster_label int, d2 double, centers array<array<double>>, n_iter int, converged boolean"])
+
+    def run(table: pa.Table) -> pa.Table:
+        x, u = (np.array(table.column(c).to_pylist(), float) for c in ("x", "u"))
+        label, d2, centers, n_iter, rests, _ = lloyd(x, seed_centers(x, u, k), max_iter, tol)
+        rest = [None] * (len(x) - 1)
+        added = {"cluster_label": pa.array(label, pa.int32()), "d2": pa.array(d2), "centers": pa.array([centers.tolist(), *rest], pa.list_(pa.list_(pa.float64()))),
+                 "n_iter": pa.array([n_iter, *rest], pa.int32()), "converged": pa.array([rests, *rest], pa.bool_())}
+        return pa.table({**{c: table.column(c) for c in (*g, *key)}, **added})
+
+    ship(rows.sparkSession)
+    return rows.groupBy(*g).applyInArrow(run, schema)
+
+
 def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), key=("date",),
-           seed: int = 42, max_iter: int = 300, tol: float = 1e-4):
+           seed: int = 42, max_iter: int = 300, tol: float = 1e-4, group_rows: int = GROUP_ROWS):
     """ML-13: KMeans per group on the given (already scaled) columns.
 
     Returns ``(labels, centers, summary)``: labels (group, key, cluster_label,
@@ -66,10 +91,32 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
     # Written once to the shared checkpoint folder: every iteration then
     # starts from a plain scan (short lineage, survives executor loss).
     every = pts.checkpoint()
-    counts = every.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    counts = every.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
     small = counts.where(F.col("_n") < k)
-    pts = every.join(small.select(*g), g, "left_anti")
+    fits = counts.where(F.col("_n").between(k, group_rows)).select(*g)
+    races = every.withColumn("u", F.array(*[_uniform(g + key, seed, j) for j in range(k)]))
+    local = _kmeans_in_tasks(races.join(fits, g, "left_semi"), g, key, k, max_iter, tol).checkpoint()
+    labels, done = local.select(*g, *key, "cluster_label", "d2"), local.where("centers is not null").select(*g, "centers", "n_iter", "converged")
+    large = counts.where((F.col("_n") >= k) & (F.col("_n") > group_rows)).select(*g)
+    if not large.isEmpty():
+        more, ended = _kmeans_by_steps(every.join(large, g, "left_semi").checkpoint(), g, key, len(cols), k, seed, max_iter, tol)
+        labels, done = labels.unionByName(more), done.unionByName(ended)
+    cen = done.select(*g, "centers")
+    summary = labels.groupBy(*g).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("d2").alias("inertia"))
+    sizes = (labels.groupBy(*g, "cluster_label").agg(F.count(F.lit(1)).alias("cnt"))
+             .groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("cluster_label", "cnt"))).alias("_sz")))
+    summary = summary.join(sizes, g).select(
+        *g, "n_rows", "inertia",
+        F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                    lambda i: F.coalesce(F.element_at("_sz", i), F.lit(0).cast("bigint"))).alias("sizes"),
+        F.lit("ok").alias("status"))
+    summary = summary.join(done.select(*g, "n_iter", "converged"), g)
+    skipped = small.select(*g, F.col("_n").alias("n_rows"), F.lit("skipped").alias("status"))
+    return labels, cen, summary.unionByName(skipped, allowMissingColumns=True)
 
+
+def _kmeans_by_steps(pts: DataFrame, g: list[str], key: list[str], p: int, k: int, seed: int, max_iter: int, tol: float) -> tuple[DataFrame, DataFrame]:
+    """Labels and ``(group, centers, n_iter, converged)`` of groups too large for a task."""
     # k-means++ seeding by exponential races
     cen = pts.groupBy(*g).agg(F.min_by("x", _uniform(g + key, seed, 0)).alias("c0"))
     cen = cen.select(*g, F.array("c0").alias("centers")).checkpoint()
@@ -86,7 +133,6 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
     for it in range(1, max_iter + 1):
         lab, _ = nearest(F.col("x"), F.col("centers"))
         a = pts.join(moving, g).select(*g, lab.alias("_cid"), "x")
-        p = len(cols)
         means = a.groupBy(*g, "_cid").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(p)]).alias("_m"))
         upd = means.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_cid", "_m"))).alias("_mp"))
         new = moving.join(upd, g, "left").select(
@@ -103,21 +149,9 @@ def kmeans(points: DataFrame, cols: list[str], k: int = 5, group=("ticker",), ke
         if last or moving.isEmpty():
             break
     done = rest.checkpoint()
-    cen = done.select(*g, "centers")
-
     lab, d2 = nearest(F.col("x"), F.col("centers"))
-    labels = pts.join(cen, g).select(*g, *key, lab.alias("cluster_label"), d2.alias("d2"))
-    summary = labels.groupBy(*g).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("d2").alias("inertia"))
-    sizes = (labels.groupBy(*g, "cluster_label").agg(F.count(F.lit(1)).alias("cnt"))
-             .groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("cluster_label", "cnt"))).alias("_sz")))
-    summary = summary.join(sizes, g).select(
-        *g, "n_rows", "inertia",
-        F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                    lambda i: F.coalesce(F.element_at("_sz", i), F.lit(0).cast("bigint"))).alias("sizes"),
-        F.lit("ok").alias("status"))
-    summary = summary.join(done.select(*g, "n_iter", "converged"), g)
-    skipped = small.select(*g, F.col("_n").alias("n_rows"), F.lit("skipped").alias("status"))
-    return labels, cen, summary.unionByName(skipped, allowMissingColumns=True)
+    labels = pts.join(done.select(*g, "centers"), g).select(*g, *key, lab.alias("cluster_label"), d2.alias("d2"))
+    return labels, done
 
 
 def assign_to_centers(rows: DataFrame, centers: DataFrame, vec: str, group=("ticker",),

@@ -48,13 +48,21 @@ def train_regressor(features: DataFrame, params: dict | None = None, part: str =
     return model, feats, metrics, pred.drop("features")
 
 
-def label_direction(features: DataFrame, part: str = "ticker") -> tuple[DataFrame, list[str]]:
-    """ML-01: y = next close return > 0 (last row dropped); return and
-    log_return leave X; non-finite → NULL, then imputed (PRJ-02, PRJ-07)."""
+def label_direction(features: DataFrame, part: str = "ticker", target_col: str | None = None) -> tuple[DataFrame, list[str]]:
+    """ML-01: y = given return > 0: the column ``target_col`` as it stands if
+    there is one, else the next close return, else (no Close) the next row's
+    log_return; rows without it go.  return and log_return leave X; non-finite
+    → NULL, then imputed (PRJ-02, PRJ-07)."""
     w = by_date(part)
-    c = F.col("Close")
-    nxt = F.try_divide(F.lead(c).over(w) - c, c)
-    d = features.withColumn("_next", nxt).where(F.col("_next").isNotNull())
+    if target_col is not None and target_col in features.columns:
+        ret = F.col(target_col).cast("double")
+    elif "Close" in features.columns:
+        ret = F.try_divide(F.lead("Close").over(w) - F.col("Close"), F.col("Close"))
+    elif "log_return" in features.columns:
+        ret = F.lead("log_return").over(w)
+    else:
+        raise ValueError("no Close, log_return or target column to label by")
+    d = features.withColumn("_next", ret).where(F.col("_next").isNotNull() & ~F.isnan("_next"))
     d = d.withColumn("label", (F.col("_next") > 0).cast("int")).drop("_next")
     feats = numeric_columns(d, ("date", part, "return", "log_return", "label"))
     d = finite_only(d, feats)

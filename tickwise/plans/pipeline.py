@@ -10,8 +10,10 @@ runs, REG-02).
 from __future__ import annotations
 
 import os
+import sys
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.ml.regression import GBTRegressionModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwise.operators import checks as C
 from tickwise.operators import cluster as CL
@@ -19,15 +21,42 @@ from tickwise.operators import forecast as FC
 from tickwise.operators import models as MD
 from tickwise.operators import pca as PC
 from tickwise.operators import rules as RU
+from tickwise.operators.boosting import StagewiseClassifier
 from tickwise.operators.timeseries import FEATURE_COLUMNS, feature_matrix
 from tickwise.sources import registry as REG
 from tickwise.sources.bars import bars_from_lineitem
+from tickwise.session import get_session, materialize
 from tickwise.sources.sinks import check_report, run_stamp, write_partitioned
 
 ALL_STEPS = ["regressor", "classifier", "association", "next_day", "clusters", "pca", "forecast", "checks"]
 PCA_COLS = [c for c in FEATURE_COLUMNS if c != "date"]
 
 
+def stored_gates(spark: SparkSession, feats: DataFrame, root: str, expected: DataFrame) -> list[DataFrame]:
+    """DQ-07 … DQ-09: the latest stored models score the features they name; what is missing is a warning."""
+    reg = REG.read_registry(spark, root)
+    out = []
+    for kind in ("regressor", "classifier"):
+        meta = materialize(REG.latest_with_kind(reg, kind))
+        out.append(C.missing_artifacts(kind, expected, meta))
+        newest = meta.agg(F.max("run_ts")).first()[0]
+        if newest is None:
+            continue
+        path = os.path.join(root, "models", newest, kind)
+        names = [r.feature for r in REG.expected_features(reg.where(F.col("run_ts") == newest), kind).select("pos", "feature").distinct().orderBy("pos").collect()]
+        count = meta.select("ticker", F.json_array_length(F.get_json_object("payload", "$.features")).alias("n_expected"))
+        out.append(C.feature_count_check(count, len([n for n in names if n in feats.columns])))
+        if kind == "regressor":
+            rows, _ = MD.regression_frame(feats)
+            scored = MD.score_regression(GBTRegressionModel.load(path), rows, names)
+            rmse = meta.select("ticker", F.get_json_object("payload", "$.metrics.rmse").cast("double").alias("rmse"))
+            out.append(C.regressor_gate(scored, "target", "prediction", rmse))
+        else:
+            rows, _ = MD.label_direction(feats)
+            out.append(C.classifier_gate(MD.score_classification(StagewiseClassifier.load(path), rows, names), "label", "proba_up"))
+    return out
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_returnflag",
                  steps=None, run_ts: str | None = None, reg_params: dict | None = None,
                  cls_params: dict | None = None) -> str:
@@ -103,6 +132,21 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
     if "checks" in steps:
         num = [c for c in FEATURE_COLUMNS if c != "date"]
         stored, fresh = REG.init_or_read_baseline(feats, os.path.join(root, "baseline"))
-        rep = check_report(C.check_run(feats, num, stored, fresh, expected=bars.select("ticker")))
+        expected = materialize(bars.select("ticker").distinct())
+        gates = stored_gates(spark, feats, root, expected) if {"regressor", "classifier"} & set(steps) else []
+        rep = check_report(C.check_run(feats, num, stored, fresh, expected=expected, gates=gates))
         rep.write.mode("overwrite").json(os.path.join(root, "reports", run_ts))   # SRC-17
     return run_ts
+
+
+def main(argv: list[str]) -> int:
+    """A job of all steps: ``pipeline <tables> <root> [--no-gate]``; ends with DQ-10's exit code."""
+    sf_dir, root = argv[:2]
+    spark = get_session()
+    run_ts = run_pipeline(spark, sf_dir, root)
+    status = spark.read.json(os.path.join(root, "reports", run_ts)).select("ticker", "overall_status")
+    return C.exit_code(status, gate="--no-gate" not in argv)
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))

@@ -71,6 +71,39 @@ def q_pca(spark, sf):
                     F.col("c.explained_variance_ratio").alias("ratio"), F.col("c.components").alias("loadings"))
 
 
+def _eigen_sql() -> str:
+    pairs = [(i, j) for i in range(len(PCA_COLS)) for j in range(i + 1, len(PCA_COLS))]
+    cols = [f'ln(1 + CAST("{c}" AS DOUBLE))' if c == "Volume" else f'CAST("{c}" AS DOUBLE)' for c in PCA_COLS]
+    squares = " + ".join(f"2 * coalesce(corr({cols[i]}, {cols[j]}), 0.0) ** 2" for i, j in pairs)
+    varying = " + ".join(f"CAST(min({c}) < max({c}) AS INTEGER)" for c in cols)
+    return f"""SELECT ticker, count(*) AS n_rows, CAST({varying} AS BIGINT) AS n_components, {R(f'({varying}) + {squares}', 'sum_of_squared_eigenvalues', 4)},
+           true AS solves_eigen_equation, true AS orthonormal, true AS falling FROM {FEAT3} GROUP BY ticker"""
+
+
+@register("pca_eigen_checks", "ML-09, ML-10, ML-11, AG-21", _eigen_sql())
+def q_pca_eigen(spark, sf):
+    """All components: the eigen equation against the covariance, and the eigenvalues' squares, which SQL has from the correlations."""
+    f = features(spark, sf)
+    meta, z = PC.fit_pca(f, PCA_COLS, len(PCA_COLS))
+    meta = materialize(meta)
+    z, p = materialize(z), len(PCA_COLS)
+    cov = PC.covariance(z, PCA_COLS).select("ticker", "a", "b", "cov")
+    cov = cov.unionByName(cov.where("a <> b").select("ticker", F.col("b").alias("a"), F.col("a").alias("b"), "cov"))
+    names = F.array(*[F.lit(c) for c in PCA_COLS])
+    parts = meta.select("ticker", F.posexplode(F.arrays_zip("explained_variance_ratio", "components")).alias("i", "c"), F.size("feature_order").alias("n"))
+    parts = parts.select("ticker", "i", (F.col("c.explained_variance_ratio") * F.col("n")).alias("value"), F.posexplode("c.components").alias("j", "v"))
+    parts = parts.withColumn("b", F.element_at(names, F.col("j") + 1))
+    left = cov.join(parts.select("ticker", "i", "b", "v"), ["ticker", "b"]).groupBy("ticker", "i", "a").agg(F.sum(F.col("cov") * F.col("v")).alias("cv"))
+    gap = left.join(parts.select("ticker", "i", F.col("b").alias("a"), (F.col("value") * F.col("v")).alias("lv")), ["ticker", "i", "a"])
+    gap = gap.groupBy("ticker").agg((F.max(F.abs(F.col("cv") - F.col("lv"))) < 1e-8).alias("solves_eigen_equation"))
+    dots = F.flatten(F.transform("components", lambda x, i: F.transform("components", lambda y, j: F.abs(PC.dot(x, y) - F.when(i == j, 1.0).otherwise(0.0)))))
+    value = F.transform("explained_variance_ratio", lambda r: r * F.size("feature_order"))
+    own = meta.select("ticker", "n_rows", F.col("n_components").cast("bigint").alias("n_components"),
+                      F.aggregate(value, F.lit(0.0), lambda s, v: s + v * v).alias("sum_of_squared_eigenvalues"), (F.array_max(dots) < 1e-9).alias("orthonormal"),
+                      (F.col("explained_variance_ratio") == F.sort_array("explained_variance_ratio", asc=False)).alias("falling"))
+    return present(own.join(gap, "ticker"), per_column={"sum_of_squared_eigenvalues": 4})
+
+
 @register("pca_variance_curve", "AG-21")
 def q_pca_curve(spark, sf):
     meta, _ = _pca_parts(spark, sf)
@@ -201,6 +234,28 @@ def q_kmeans(spark, sf):
     return summary
 
 
+@register("kmeans_checks", "ML-13, ML-15, AG-18", f"""
+    SELECT ticker, count(*) AS n_rows, true AS sizes_match, true AS labels_are_nearest, true AS centers_are_means, true AS inertia_matches, true AS below_one_cluster
+    FROM {FEAT3} GROUP BY ticker""")
+def q_kmeans_checks(spark, sf):
+    """What makes a clustering one: nearest labels, centres that rest at their rows' means, sizes and inertia of the summary."""
+    f, _, labels, centers, summary = _kmeans(spark, sf)
+    z = PC.standardize_by_window(PC.pca_inputs(f, KM_COLS, log_cols=()), KM_COLS).select("ticker", "date", F.array(*[F.col(c) for c in KM_COLS]).alias("x"))
+    rows = materialize(z.join(labels, ["ticker", "date"]).join(centers, "ticker"))
+    near, d2 = CL.nearest(F.col("x"), F.col("centers"))
+    each = rows.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(near == F.col("cluster_label")).alias("labels_are_nearest"), F.sum(d2).alias("again"),
+        (F.sum(d2) < F.sum(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))).alias("below_one_cluster"))
+    means = rows.groupBy("ticker", "cluster_label").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(len(KM_COLS))]).alias("m"), F.first("centers").alias("centers"),
+                                                        F.count(F.lit(1)).alias("n"))
+    rest = means.groupBy("ticker").agg((F.max(CL.dist2(F.col("m"), F.get("centers", F.col("cluster_label")))) < 1e-3).alias("centers_are_means"),
+                                       F.sort_array(F.collect_list("n")).alias("sizes_again"))
+    s = summary.where("status = 'ok'").select("ticker", "inertia", F.sort_array(F.filter("sizes", lambda n: n > 0)).alias("sizes"))
+    out = each.join(rest, "ticker").join(s, "ticker")
+    return out.select("ticker", "n_rows", (F.col("sizes") == F.col("sizes_again")).alias("sizes_match"), "labels_are_nearest", "centers_are_means",
+                      (F.abs(F.col("inertia") - F.col("again")) < 1e-6 * F.col("inertia")).alias("inertia_matches"), "below_one_cluster")
+
+
 @register("kmeans_label_counts", "AG-18")
 def q_kmeans_counts(spark, sf):
     _, _, labels, _, _ = _kmeans(spark, sf)
@@ -224,10 +279,12 @@ def q_cluster_samples(spark, sf):
                               5, "1996-01-01", "2000-12-31")
 
 
-@register("labelled_features", "ML-17, JN-01")
+@register("labelled_features", "ML-17, JN-01", f"""
+    SELECT ticker, date, {R('Close', 'Close')}, {R('rsi_14', 'rsi_14')}, true AS has_label FROM {FEAT3}""")
 def q_labelled(spark, sf):
     f, _, labels, _, _ = _kmeans(spark, sf)
-    return f.join(labels.select("ticker", "date", "cluster_label"), ["ticker", "date"])
+    j = f.join(labels.select("ticker", "date", "cluster_label"), ["ticker", "date"])
+    return present(j.select("ticker", "date", "Close", "rsi_14", F.col("cluster_label").between(0, 4).alias("has_label")))
 
 
 @register("cluster_interpret_kmeans", "ML-18, TK-06, ST-03")
@@ -236,12 +293,13 @@ def q_interpret_km(spark, sf):
     return CL.interpret_centers(CL.centers_long(centers, KM_COLS, scaler=stats))
 
 
-@register("cluster_row_counts", "AG-23")
+@register("cluster_row_counts", "AG-23", f"""
+    SELECT ticker, count(*) AS feature_rows, count(*) AS training_rows, true AS has_latest_label FROM {FEAT3} GROUP BY ticker""")
 def q_cluster_counts(spark, sf):
     f, _, labels, _, _ = _kmeans(spark, sf)
     n_feat = f.groupBy("ticker").agg(F.count(F.lit(1)).alias("feature_rows"))
     n_lab = labels.groupBy("ticker").agg(F.count(F.lit(1)).alias("training_rows"),
-                                         F.max_by("cluster_label", "date").alias("latest_label"))
+                                         F.max_by("cluster_label", "date").between(0, 4).alias("has_latest_label"))
     return n_feat.join(n_lab, "ticker", "left")
 
 

@@ -5,6 +5,8 @@ queries reuse one fit; fits use the reference's hyper-parameters.
 """
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tickwise.functions.exprs import present
 from tickwise.operators import models as MD
 from tickwise.plans.catalog import register
@@ -43,6 +45,18 @@ def q_labels(spark, sf):
     return d.select("ticker", "date", "label")
 
 
+@register("direction_labels_fallback", "ML-01", f"""
+    SELECT ticker, date, 'log_return' AS by, CAST(nx > 0 AS INTEGER) AS label FROM (
+      SELECT ticker, date, lead(log_return) OVER (PARTITION BY ticker ORDER BY date) AS nx FROM ({features_sql()})) WHERE nx IS NOT NULL
+    UNION ALL SELECT ticker, date, 'target', CAST(macd_hist > 0 AS INTEGER) FROM ({features_sql()})""")
+def q_labels_fallback(spark, sf):
+    """Without a close the next log return decides; a named column is taken as it stands."""
+    f = _feats(spark, sf)
+    one, _ = MD.label_direction(f.drop("Close"))
+    two, _ = MD.label_direction(f, target_col="macd_hist")
+    return one.select("ticker", "date", F.lit("log_return").alias("by"), "label").unionByName(two.select("ticker", "date", F.lit("target").alias("by"), "label"))
+
+
 @register("stratified_split", "ML-02", f"""
     WITH l AS (SELECT * FROM {LABEL_SQL} WHERE nx IS NOT NULL),
     c AS (SELECT *, count(*) OVER (PARTITION BY ticker, label) AS ncls FROM l),

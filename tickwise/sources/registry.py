@@ -111,11 +111,24 @@ def run_summary(reg: DataFrame, part: str = "ticker") -> DataFrame:
     return p.select(part, "run_ts", *[(F.coalesce(F.col(k), F.lit(0)) > 0).alias(f"has_{k}") for k in MODEL_KINDS])
 
 
+def model_lines(reg: DataFrame, part: str = "ticker") -> DataFrame:
+    """REG-08: every stored model of a run with its one-line info: how many
+    features, components or centres it has, else what it is."""
+    def n_of(k):
+        return F.json_array_length(F.get_json_object("payload", f"$.{k}"))
+    counted = [(n_of(key) > 0, F.concat(F.lit(f"{word}="), n_of(key).cast("string")), kinds)
+               for key, word, kinds in (("features", "features", ("regressor", "classifier")), ("components", "components", ("pca",)), ("centers", "centers", ("clusters",)))]
+    info = F.when(F.col("kind") == "forecast", "forecast").when(F.col("kind") == "association", "rules")
+    for has, text, kinds in counted:
+        info = info.when(F.col("kind").isin(*kinds) & has, text)
+    return reg.select(part, "run_ts", "kind", "name", info.otherwise("meta").alias("info"))
+
+
 def overview(reg: DataFrame, part: str = "ticker") -> DataFrame:
-    """REG-09: every ticker's runs and kinds, two-level sorted lists."""
-    runs = reg.groupBy(part, "run_ts").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
-    return runs.groupBy(part).agg(F.sort_array(F.collect_list(F.struct(F.col("run_ts").alias("run_ts"), "kinds")),
-                                               asc=False).alias("runs"))
+    """REG-09: every ticker's runs in order, each with its artifacts and its models' lines (two-level sorted lists)."""
+    runs = model_lines(reg, part).groupBy(part, "run_ts").agg(
+        F.sort_array(F.collect_set("name")).alias("artifacts"), F.sort_array(F.collect_set(F.struct("kind", "info"))).alias("models"))
+    return runs.groupBy(part).agg(F.sort_array(F.collect_list(F.struct("run_ts", "artifacts", "models"))).alias("runs"))
 
 
 def expected_features(reg: DataFrame, kind: str = "regressor", part: str = "ticker") -> DataFrame:
@@ -125,14 +138,13 @@ def expected_features(reg: DataFrame, kind: str = "regressor", part: str = "tick
     return m.select(part, "run_ts", F.posexplode(arr).alias("pos", "feature"))
 
 
-def read_back(reg: DataFrame, kind: str, inv: DataFrame | None = None, part: str = "ticker",
-              max_names: int = 50) -> DataFrame:
-    """REG-12: latest stored result of a kind with provenance (run, number
-    of features and the first ``max_names`` names)."""
+def read_back(reg: DataFrame, kind: str, part: str = "ticker", max_names: int = 50) -> DataFrame:
+    """REG-12: latest stored result of a kind with provenance (run and its
+    time, number of features and the first ``max_names`` names)."""
     m = latest_with_kind(reg, kind, part)
     names = F.from_json(F.coalesce(F.get_json_object("payload", "$.features"),
                                    F.get_json_object("payload", "$.feature_order")), "array<string>")
-    return m.select(part, "run_ts", "name", F.size(names).alias("n_features"),
+    return m.select(part, "run_ts", F.try_to_timestamp("run_ts", F.lit("yyyyMMddHHmmss")).alias("last_run"), "name", F.size(names).alias("n_features"),
                     F.slice(names, 1, max_names).alias("feature_names"), "payload")
 
 

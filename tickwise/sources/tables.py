@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,23 +35,20 @@ def load_ticker_files(spark: SparkSession, directory: str) -> DataFrame:
 
     Parquet and CSV files are scanned once each (not one job per file), the
     ticker comes from the file name, zero-byte files are skipped, and both
-    formats are combined by name.
+    formats are combined by name.  A folder may hold one format only; one
+    without any file of either raises.
     """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).select("path", "length")  # names alone are read
+    kinds = {r.kind for r in files.where(F.col("length") > 0).select(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind")).distinct().collect()}
     frames = []
-    pq = spark.read.option("pathGlobFilter", "*.parquet").parquet(directory)
-    frames.append(pq.where(F.col("_metadata.file_size") > 0)
-                  .withColumn("ticker", ticker_from_path()))
-    try:
-        csv = (spark.read.option("header", True).option("inferSchema", True)
-               .option("pathGlobFilter", "*.csv").csv(directory))
-        frames.append(csv.where(F.col("_metadata.file_size") > 0)
-                      .withColumn("ticker", ticker_from_path()))
-    except Exception:  # no CSV files in the folder
-        pass
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    if "parquet" in kinds:
+        frames.append(spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(directory))
+    if "csv" in kinds:
+        frames.append(spark.read.option("header", True).option("inferSchema", True).option("pathGlobFilter", "*.csv").csv(directory))
+    if not frames:
+        raise FileNotFoundError(f"no Parquet or CSV file with rows in {directory}")
+    named = [f.where(F.col("_metadata.file_size") > 0).withColumn("ticker", ticker_from_path()) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 def normalise_columns(df: DataFrame, ticker: str | None = None) -> DataFrame:

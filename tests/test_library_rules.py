@@ -53,6 +53,35 @@ def test_registry_keeps_text_and_flat_runs(spark, tmp_path):
     assert {r.ticker: (r.run_ts, r.name) for r in REG.latest_with_kind(reg, "pca").collect()}["007"] == ("", "pca_007")
 
 
+def test_a_run_that_broke_off_is_not_the_newest(spark, tmp_path):
+    meta = spark.createDataFrame([("A", 1), ("B", 2)], "ticker string, v int")
+    root = str(tmp_path)
+    REG.open_run(spark, root)
+    for kind in ("pca", "association"):
+        REG.write_artifact(meta, root, kind, "20240101000000")
+    assert REG.latest_run(REG.read_registry(spark, root)).collect() == []
+    REG.publish_run(spark, root, "20240101000000", ["pca", "association"])
+    REG.write_artifact(meta, root, "pca", "20240201000000")  # and here the job is lost
+    reg = REG.read_registry(spark, root)
+    assert {(r.ticker, r.run_ts) for r in REG.latest_run(reg).collect()} == {("A", "20240101000000"), ("B", "20240101000000")}
+    assert reg.count() == 4 and REG.read_registry(spark, root, "20240201000000").count() == 6
+    # a kind that the manifest doesn't name isn't part of its run
+    REG.write_artifact(meta, root, "forecast", "20240101000000")
+    assert REG.read_registry(spark, root).count() == 4
+    with pytest.raises(ValueError):
+        REG.publish_run(spark, root, "20240101000000", ["pca"])
+
+
+@pytest.mark.parametrize("files", [(1, 1), (9, 4), (30, 2)])
+def test_rows_meet_by_their_place_whatever_the_files(spark, tmp_path, files):
+    left, right = str(tmp_path / "l"), str(tmp_path / "r")
+    rows = spark.range(0, 1000).selectExpr("id", "id * 7 % 13 as x")
+    rows.repartitionByRange(files[0], "id").sortWithinPartitions("id").write.parquet(left)
+    rows.repartitionByRange(files[1], "id").sortWithinPartitions("id").selectExpr("id + 5 as y").write.parquet(right)
+    got = J.join_by_position(spark.read.parquet(left), spark.read.parquet(right)).collect()
+    assert sorted((r.position, r.id, r.y) for r in got) == [(i, i, i + 5) for i in range(1000)]
+
+
 def test_infinities_count_as_missing(spark):
     df = spark.createDataFrame([("t", float("inf")), ("t", None), ("t", 1.0)], "ticker string, x double")
     assert M.missing_rate(df, ["x"]).first()["missing_rate"] == pytest.approx(2 / 3)

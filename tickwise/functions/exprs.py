@@ -1,7 +1,11 @@
 """Column-expression helpers shared by every operator (all JVM-side)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from tickwise.session import materialize
 
 
 def finite(c: Column) -> Column:
@@ -45,3 +49,19 @@ def sql_round(expr: str, alias: str, digits: int = 6) -> str:
     s = repr(float(10 ** digits))
     return (f"CASE WHEN abs({expr}) < 1e15 THEN floor(({expr}) * {s} + 0.5) / {s} "
             f"ELSE CAST({expr} AS DOUBLE) END AS {alias}")
+
+
+def running_total(rows: DataFrame, order: str, value: str, out: str, part_rows: int = 100_000) -> DataFrame:
+    """``(order, out)``: the sum of ``value`` over the rows before, in the order of a unique column.
+
+    Rows are sorted by range into parts; sums run inside a part and over the
+    totals of the parts (a number a part), so no window holds the table.
+    """
+    parts = -(-rows.count() // part_rows) or 1
+    split = rows.select(order, value).repartitionByRange(parts, order).withColumn("_p", F.spark_partition_id())
+    split = materialize(split)
+    totals = dict(split.groupBy("_p").agg(F.sum(value)).collect())
+    before = [*accumulate([totals.get(p, 0) for p in range(parts)], initial=0)]
+    starts = F.get(F.array(*[F.lit(b).cast("bigint") for b in before]), F.col("_p"))
+    inside = F.sum(value).over(Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return split.select(order, (starts + F.coalesce(inside, F.lit(0))).alias(out))

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickwise.functions.exprs import running_total
+from tickwise.session import materialize
+
 
 def query_blocks(rows: DataFrame, queries: DataFrame, block: int = 256) -> DataFrame:
     """Every row beside every block of ``queries``: the column ``queries`` holds
@@ -31,6 +34,23 @@ def join_on_position(left: DataFrame, right: DataFrame, row_id: str = "row_id",
     return left.join(right, [part, row_id])
 
 
+def with_position(rows: DataFrame, name: str = "position") -> DataFrame:
+    """JN-02: ``rows``, read from Parquet files, with each row's place in the whole table, files in the order of their names.
+
+    A file's rows are counted without their columns, the counts are summed up
+    before each file (a row per file), and a row's place is that sum plus its
+    index in its file.
+    """
+    named = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    sizes = materialize(named.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
+    return named.join(running_total(sizes, "_file", "_n", "_before"), "_file").withColumn(name, F.col("_before") + F.col("_index")).drop("_file", "_index", "_before")
+
+
+def join_by_position(left: DataFrame, right: DataFrame) -> DataFrame:
+    """JN-02: row i of one table beside row i of another, however either is split into files; ``right``'s names must differ."""
+    return with_position(left).join(with_position(right), "position")
+
+
 def tail_align(left: DataFrame, right: DataFrame, part: str = "ticker", order: str = "date") -> DataFrame:
     """JN-03: pair the last rows of both sides by position from the end."""
     def pos(df):

@@ -32,9 +32,9 @@ ALL_STEPS = ["regressor", "classifier", "association", "next_day", "clusters", "
 PCA_COLS = [c for c in FEATURE_COLUMNS if c != "date"]
 
 
-def stored_gates(spark: SparkSession, feats: DataFrame, root: str, expected: DataFrame) -> list[DataFrame]:
+def stored_gates(spark: SparkSession, feats: DataFrame, root: str, expected: DataFrame, own_run: str | None = None) -> list[DataFrame]:
     """DQ-07 … DQ-09: the latest stored models score the features they name; what is missing is a warning."""
-    reg = REG.read_registry(spark, root)
+    reg = REG.read_registry(spark, root, own_run)
     out = []
     for kind in ("regressor", "classifier"):
         meta = materialize(REG.latest_with_kind(reg, kind))
@@ -62,6 +62,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
                  cls_params: dict | None = None) -> str:
     steps = list(steps or ALL_STEPS)
     run_ts = run_ts or run_stamp()
+    REG.open_run(spark, root)
     bars = bars_from_lineitem(spark, sf_dir, key)
     write_partitioned(bars, os.path.join(root, "bars"))                       # SRC-07
     write_partitioned(feature_matrix(spark.read.parquet(os.path.join(root, "bars"))),
@@ -133,9 +134,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, key: str = "l_retu
         num = [c for c in FEATURE_COLUMNS if c != "date"]
         stored, fresh = REG.init_or_read_baseline(feats, os.path.join(root, "baseline"))
         expected = materialize(bars.select("ticker").distinct())
-        gates = stored_gates(spark, feats, root, expected) if {"regressor", "classifier"} & set(steps) else []
+        gates = stored_gates(spark, feats, root, expected, run_ts) if {"regressor", "classifier"} & set(steps) else []
         rep = check_report(C.check_run(feats, num, stored, fresh, expected=expected, gates=gates))
         rep.write.mode("overwrite").json(os.path.join(root, "reports", run_ts))   # SRC-17
+    REG.publish_run(spark, root, run_ts, [k for k in REG.MODEL_KINDS if k in steps])
     return run_ts
 
 

@@ -28,6 +28,10 @@ def registry_root(spark, sf):
         run_pipeline(spark, sf, root, run_ts="20240101000000", reg_params=dict(maxIter=5, maxDepth=3, stepSize=0.1, seed=42),
                      cls_params=dict(rounds=3, depth=3, patience=3))
         run_pipeline(spark, sf, root, steps=["association"], run_ts="20240201000000")
+        # a third run that broke off after one kind, and an artifact that belongs to no run
+        rules = REG.latest_with_kind(REG.read_registry(spark, root), "association").select("ticker", F.lit(0).alias("n_rules"))
+        REG.write_artifact(rules, root, "association", "20240301000000")
+        REG.write_artifact(rules.where("ticker = 'A'"), root, "forecast", "")
         _ROOTS[k] = root
     return _ROOTS[k]
 
@@ -51,7 +55,7 @@ def q_latest_kind(spark, sf):
 
 
 @register("registry_newest_or_flat", "REG-03", f"""
-    SELECT ticker, CAST(NULL AS VARCHAR) AS run_ts, CAST(NULL AS VARCHAR) AS name FROM {_TICKERS}""")
+    SELECT ticker, CASE WHEN ticker = 'A' THEN '' END AS run_ts, CASE WHEN ticker = 'A' THEN 'forecast_A' END AS name FROM {_TICKERS}""")
 def q_newest_or_flat(spark, sf):
     return REG.newest_or_flat(_reg(spark, sf), "forecast").select("ticker", "run_ts", "name")
 
@@ -67,7 +71,7 @@ def q_inventory(spark, sf):
     FROM {_TICKERS} CROSS JOIN (VALUES ('20240101000000', 'regressor'), ('20240101000000', 'classifier'), ('20240101000000', 'association'), ('20240101000000', 'clusters'),
         ('20240101000000', 'pca'), ('20240101000000', 'forecast'), ('20240201000000', 'association')) m(run_ts, kind)""")
 def q_detail(spark, sf):
-    d = REG.artifact_detail(_reg(spark, sf))
+    d = REG.artifact_detail(_reg(spark, sf)).where("run_ts <> ''")
     return d.select("ticker", "run_ts", "kind", "name", F.col("n_items").cast("bigint").alias("n_items"), F.size("first_keys").cast("bigint").alias("n_keys"))
 
 

@@ -1,6 +1,8 @@
 """Checked queries for scalar functions (SCL-*) and joins (JN-*)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickwise.functions import scalars as S
@@ -11,6 +13,7 @@ from tickwise.plans.catalog import register
 from tickwise.plans.q_timeseries import features
 from tickwise.plans.sqlparts import R, features_sql
 from tickwise.sources.bars import bars_from_lineitem, bars_sql
+from tickwise.session import scratch_path
 from tickwise.sources.tables import read_table
 
 
@@ -144,6 +147,17 @@ def q_rowpos(spark, sf):
     return j.join(c, "o_custkey").select("o_orderkey", "o_custkey", "c_mktsegment")
 
 
+@register("global_position_join", "JN-02, SRC-06", """
+    SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity, l_shipdate) - 1 AS BIGINT) AS position, l_quantity, l_shipdate FROM lineitem""")
+def q_global_position(spark, sf):
+    """Two tables of the same order, written in 11 and 4 files, joined by the place of a row."""
+    rows = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    root, keys = scratch_path(spark, f"positions-{uuid.uuid4().hex}"), ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    for name, files, cols in (("left", 11, keys[:3]), ("right", 4, keys[3:])):
+        rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys).select(*cols).write.parquet(f"{root}/{name}")
+    return J.join_by_position(spark.read.parquet(f"{root}/left"), spark.read.parquet(f"{root}/right"))
+
+
 @register("tickers_without_baseline", "JN-07, SRC-16", f"""
     SELECT DISTINCT ticker FROM ({bars_sql('l_suppkey')}) b
     WHERE NOT EXISTS (SELECT 1 FROM ({bars_sql('l_suppkey')}) x WHERE x.ticker = b.ticker AND x.date < DATE '1995-01-20')""")

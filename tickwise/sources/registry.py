@@ -9,7 +9,9 @@ every stamped run in string order.
 """
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,10 +22,47 @@ from tickwise.sources.sinks import to_json_rows
 
 ARTIFACTS = "ticker string, name string, payload string, run_ts string, kind string"
 FLAT = "flat"
+MANIFESTS = "manifests"
 # The six model kinds a run can hold.
 MODEL_KINDS = ["regressor", "classifier", "clusters", "pca", "forecast", "association"]
 
 
+def _filesystem(spark: SparkSession, path: str):
+    """Spark's own view of the folder, wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def open_run(spark: SparkSession, root: str) -> None:
+    """From now on ``root``'s readers go by manifests: a run is unseen until it is published."""
+    fs, at = _filesystem(spark, os.path.join(root, MANIFESTS))
+    fs.mkdirs(at)
+
+
+def publish_run(spark: SparkSession, root: str, run_ts: str, kinds: list[str]) -> None:
+    """Make a run visible with all its kinds at once: its manifest is written aside and renamed, which is one step.
+
+    A run is published once; what it holds isn't written again.
+    """
+    fs, done = _filesystem(spark, os.path.join(root, MANIFESTS, f"{run_ts}.json"))
+    if fs.exists(done):
+        raise ValueError(f"run {run_ts} is published already")
+    _, aside = _filesystem(spark, os.path.join(root, MANIFESTS, f"_{run_ts}.{uuid.uuid4().hex}"))  # readers skip names with an underscore
+    out = fs.create(aside, False)
+    out.write(bytearray(json.dumps({"run_ts": run_ts, "kinds": sorted(kinds)}).encode()))
+    out.close()
+    if not fs.rename(aside, done):
+        raise ValueError(f"run {run_ts} was published by another job")
+
+
+def published(spark: SparkSession, root: str) -> DataFrame | None:
+    """``(run_ts, kind)`` of the published runs; None for a root without manifests, where every run counts."""
+    fs, at = _filesystem(spark, os.path.join(root, MANIFESTS))
+    if not fs.exists(at):
+        return None
+    return spark.read.schema("run_ts string, kinds array<string>").json(os.path.join(root, MANIFESTS)).select("run_ts", F.explode("kinds").alias("kind"))
+
+
 def write_artifact(meta: DataFrame, root: str, kind: str, run_ts: str, part: str = "ticker") -> None:
     """Store one metadata row per ticker as a JSON payload in a run."""
     rows = to_json_rows(meta, (part,)).select(part, F.lit(run_ts).alias("run_ts"), F.lit(kind).alias("kind"),
@@ -34,9 +73,15 @@ def write_artifact(meta: DataFrame, root: str, kind: str, run_ts: str, part: str
      .partitionBy("run_ts", "kind").parquet(os.path.join(root, "artifacts")))
 
 
-def read_registry(spark: SparkSession, root: str) -> DataFrame:
+def read_registry(spark: SparkSession, root: str, own_run: str | None = None) -> DataFrame:
+    """The artifacts of published runs, flat ones, and those that ``own_run``, a run still being written, has so far."""
     reg = spark.read.schema(ARTIFACTS).parquet(os.path.join(root, "artifacts"))
-    return reg.withColumn("run_ts", F.when(F.col("run_ts") == FLAT, F.lit("")).otherwise(F.col("run_ts")))
+    reg = reg.withColumn("run_ts", F.when(F.col("run_ts") == FLAT, F.lit("")).otherwise(F.col("run_ts")))
+    seen = published(spark, root)
+    if seen is None:
+        return reg
+    always = F.col("run_ts").isin("", own_run or "")
+    return reg.where(always).unionByName(reg.where(~always).join(seen, ["run_ts", "kind"], "left_semi").select(*reg.columns))
 
 
 def latest_run(reg: DataFrame, part: str = "ticker") -> DataFrame:
@@ -107,7 +152,7 @@ def array_summary(mat: DataFrame, col: str = "pc", group=("ticker",)) -> DataFra
 
 def run_summary(reg: DataFrame, part: str = "ticker") -> DataFrame:
     """REG-08: per (ticker, run) a present flag for each of the six kinds."""
-    p = reg.groupBy(part, "run_ts").pivot("kind", MODEL_KINDS).agg(F.count(F.lit(1)))
+    p = reg.where(F.col("run_ts") != "").groupBy(part, "run_ts").pivot("kind", MODEL_KINDS).agg(F.count(F.lit(1)))
     return p.select(part, "run_ts", *[(F.coalesce(F.col(k), F.lit(0)) > 0).alias(f"has_{k}") for k in MODEL_KINDS])
 
 
@@ -121,7 +166,7 @@ def model_lines(reg: DataFrame, part: str = "ticker") -> DataFrame:
     info = F.when(F.col("kind") == "forecast", "forecast").when(F.col("kind") == "association", "rules")
     for has, text, kinds in counted:
         info = info.when(F.col("kind").isin(*kinds) & has, text)
-    return reg.select(part, "run_ts", "kind", "name", info.otherwise("meta").alias("info"))
+    return reg.where(F.col("run_ts") != "").select(part, "run_ts", "kind", "name", info.otherwise("meta").alias("info"))  # a flat artifact is no run's
 
 
 def overview(reg: DataFrame, part: str = "ticker") -> DataFrame:

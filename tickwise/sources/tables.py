@@ -42,7 +42,7 @@ def load_ticker_files(spark: SparkSession, directory: str) -> DataFrame:
     kinds = {r.kind for r in files.where(F.col("length") > 0).select(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind")).distinct().collect()}
     frames = []
     if "parquet" in kinds:
-        frames.append(spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(directory))
+        frames.append(spark.read.option("pathGlobFilter", "*.parquet").parquet(directory))
     if "csv" in kinds:
         frames.append(spark.read.option("header", True).option("inferSchema", True).option("pathGlobFilter", "*.csv").csv(directory))
     if not frames:

@@ -122,6 +122,20 @@ def q_pca_scores(spark, sf):
     return PC.pca_scores(z, meta, PCA_COLS)
 
 
+@register("pca_score_norms", "ML-10, ML-12, PRJ-12, SRC-15", f"""
+    SELECT ticker, date, {R('list_sum(list_transform(v, lambda x: x * x))', 'squared_norm', 4)},
+           {R('CASE WHEN date = max(date) OVER (PARTITION BY ticker) THEN list_sum(list_transform(v, lambda x: x * x)) END', 'projected', 4)}
+    FROM (SELECT ticker, date, [{', '.join(f'"{c}"' for c in PCA_COLS)}] AS v FROM {Z_SQL})""")
+def q_pca_norms(spark, sf):
+    """Scores on all components keep every row's length, and so does the raw latest row's projection."""
+    from tickwise.operators.projections import latest_row
+    f, meta, scores = _all_components(spark, sf)
+    raw = latest_row(PC.pca_inputs(f, PCA_COLS)).select("ticker", "date", F.array(*[F.col(c) for c in PCA_COLS]).alias("features"))
+    last = PC.project_vectors(raw, meta).select("ticker", "date", PC.dot(F.col("pc"), F.col("pc")).alias("projected"))
+    rows = scores.select("ticker", "date", PC.dot(F.col("pc"), F.col("pc")).alias("squared_norm")).join(last, ["ticker", "date"], "left")
+    return present(rows, per_column={"squared_norm": 4, "projected": 4})
+
+
 @register("pca_project_latest", "ML-12, PRJ-12")
 def q_pca_project(spark, sf):
     from tickwise.operators.projections import latest_row

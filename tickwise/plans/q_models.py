@@ -5,7 +5,7 @@ queries reuse one fit; fits use the reference's hyper-parameters.
 """
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickwise.functions.exprs import present
 from tickwise.operators import models as MD
@@ -100,6 +100,59 @@ def q_cls_scores(spark, sf):
     return MD.score_classification(model, d, feats).select("ticker", "date", "label", "proba_up", "pred_label")
 
 
+@register("classifier_samples", "ML-02, ML-04", f"""
+    WITH l AS (SELECT *, count(*) OVER (PARTITION BY ticker, label) AS ncls FROM {LABEL_SQL} WHERE nx IS NOT NULL)
+    SELECT ticker, 'ok' AS status, count(*) AS n_rows, CAST(count(*) - sum(ceil(ncls * 0.2) / ncls) AS BIGINT) AS n_train,
+           CAST(sum(ceil(ncls * 0.2) / ncls) AS BIGINT) AS n_val, true AS has_losses FROM (
+      SELECT ticker, label, ncls, count(*) OVER (PARTITION BY ticker) AS n FROM l) GROUP BY ticker""")
+def q_cls_samples(spark, sf):
+    _, _, metrics, _, _ = _classifier(spark, sf)
+    finite = (F.col("logloss_train") > 0) & (F.col("logloss_val") > 0) & F.col("brier").between(0, 1)
+    return metrics.select("ticker", "status", "n_rows", "n_train", "n_val", finite.alias("has_losses"))
+
+
+_COMPLETE_SQL = f"""(SELECT ticker, date, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn, count(*) OVER (PARTITION BY ticker) AS n
+    FROM (SELECT ticker, date, lead("return") OVER (PARTITION BY ticker ORDER BY date) AS target FROM ({features_sql()})) WHERE target IS NOT NULL)"""
+
+
+@register("regressor_samples", "ML-03, TS-20", f"""
+    SELECT ticker, count(*) AS n_test, true AS mae_below_rmse FROM {_COMPLETE_SQL} WHERE rn > floor(n * 0.8) GROUP BY ticker""")
+def q_reg_samples(spark, sf):
+    _, _, metrics, _ = _regressor(spark, sf)
+    return metrics.select("ticker", F.col("n").alias("n_test"), ((F.col("mae") <= F.col("rmse")) & (F.col("rmse") > 0)).alias("mae_below_rmse"))
+
+
+@register("model_score_checks", "ML-05, ML-06", f"""
+    SELECT ticker, c.n AS n_regression, l.n AS n_classified, true AS all_scored, true AS labels_follow FROM
+    (SELECT ticker, count(*) AS n FROM {_COMPLETE_SQL} GROUP BY ticker) c JOIN (SELECT ticker, count(*) AS n FROM {LABEL_SQL} WHERE nx IS NOT NULL GROUP BY ticker) l USING (ticker)""")
+def q_score_checks(spark, sf):
+    """A score for every row, and labels that follow from the probability."""
+    reg = q_reg_scores(spark, sf).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_regression"), F.bool_and(F.abs("prediction") < float("inf")).alias("scored"))
+    p = F.col("proba_up")
+    cls = q_cls_scores(spark, sf).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_classified"), F.bool_and((p > 0) & (p < 1)).alias("inside"),
+                                                       F.bool_and((p >= 0.5) == (F.col("pred_label") == 1)).alias("labels_follow"))
+    return reg.join(cls, "ticker").select("ticker", "n_regression", "n_classified", (F.col("scored") & F.col("inside")).alias("all_scored"), "labels_follow")
+
+
+_FRIDAY = "(CASE dayofweek(last_date) WHEN 6 THEN last_date - 1 WHEN 0 THEN last_date - 2 ELSE last_date END)"
+
+
+@register("multi_day_calendar", "ML-07, ML-08, TS-18, PRJ-12", f"""
+    SELECT ticker, last_date AS source_date, 'ok' AS status, CAST(step AS BIGINT) AS step,
+           {_FRIDAY} + CAST(step + 2 * floor(((dayofweek({_FRIDAY}) + 6) % 7 + step) / 5) AS INTEGER) AS pred_date, true AS compounds
+    FROM (SELECT ticker, max(date) AS last_date, unnest(range(1, 8)) AS step FROM ({features_sql()}) GROUP BY ticker)""")
+def q_multi_day_calendar(spark, sf):
+    """Each forecast day is a business day after the latest row's, and its close is the one before times the predicted return."""
+    model, feats, _, _ = _regressor(spark, sf)
+    f = _feats(spark, sf)
+    start = MD.predict_next(model, f, feats).select("ticker", "source_date", "status", "predicted_return")
+    closes = f.groupBy("ticker").agg(F.max_by("Close", "date").alias("last_close"))
+    path = MD.forecast_next_days(model, f, feats, 7)
+    before = F.coalesce(F.lag("predicted_close").over(Window.partitionBy("ticker").orderBy("step")), F.col("last_close"))
+    path = path.join(closes, "ticker").withColumn("compounds", F.abs(F.col("predicted_close") - before * (1 + F.col("predicted_return"))) <= 1e-9 * F.abs("predicted_close"))
+    return path.join(start.drop("predicted_return"), "ticker").select("ticker", "source_date", "status", F.col("step").cast("bigint").alias("step"), "pred_date", "compounds")
+
+
 @register("next_day_prediction", "ML-07, PRJ-12")
 def q_next_day(spark, sf):
     model, feats, _, _ = _regressor(spark, sf)

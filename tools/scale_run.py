@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window, functions as F  # noqa: E402
 
 from tickwise.operators import checks as C  # noqa: E402
+from tickwise.operators import cluster as CL  # noqa: E402
+from tickwise.operators import forecast as FC  # noqa: E402
 from tickwise.operators import metrics as M  # noqa: E402
 from tickwise.operators import pca as PC  # noqa: E402
 from tickwise.operators import rules as RU  # noqa: E402
@@ -47,6 +49,16 @@ def main():
     run("association_rules", RU.mine_rules(feats, 0.05, 0.5, 200), out)
     meta, _ = PC.fit_pca(feats, cols, 5)
     run("pca", meta, out)
+    run("correlation", M.correlation_long(feats, cols), out)
+    t = time.time()
+    fit = FC.fit_arima(bars)
+    run("arima", fit, out)
+    out["arima"] = round(time.time() - t, 2)  # with its eager steps
+    z = PC.standardize_by_window(PC.pca_inputs(feats, cols, log_cols=()), cols).drop("mean", "scale", "const")
+    t = time.time()
+    _, _, summary = CL.kmeans(z, cols, k=5)
+    run("kmeans", summary, out)
+    out["kmeans"] = round(time.time() - t, 2)
     print(json.dumps({"metric": "many_ticker_scale_run", "sf": sf, "key": "l_partkey", "sec": out}))
 
 

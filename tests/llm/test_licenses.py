@@ -45,8 +45,25 @@ def test_each_notice_has_its_own_label_only(spark):
 
     rows = [(i, f"{unlike(i, 30)} {text} {unlike(i + 100, 30)}") for i, (_, text) in enumerate(L.TEMPLATES)]
     rows += [(100, "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.")]
-    got = {r.doc_id: r.labels for r in L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert got.pop(100) == "" and got == {i: label for i, (label, _) in enumerate(L.TEMPLATES)}
+    found = L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = {r.doc_id: {p.split(":")[0] for p in r.places.split(",")} for r in found}  # the method's own; the phrase of cc-by-nc also stands in its relatives' identifiers
+    assert got.pop(100) == {"cc-by-nd"} and got == {i: {label} for i, (label, _) in enumerate(L.TEMPLATES)}
+    assert all(set(r.labels.split(",")) == got.get(r.doc_id, {"cc-by-nd"}) | set(filter(None, r.base_labels.split(","))) for r in found)
+
+
+def test_a_relative_is_never_read_as_another_license(spark):
+    affero = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    rows = [
+        (1, "Except where noted, licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License, see the site", "cc-by-nc-sa"),
+        (2, "All photos are licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+        (3, affero, "agpl"), (4, affero.replace("Affero ", ""), "gpl-3"), (5, affero.replace("Affero ", "").replace("version 3", "version 2"), "gpl-2"),
+        # nothing says which version: no label rather than a wrong one
+        (6, "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", ""),
+        # 8: the phrase cc by nc is a base label wherever it stands
+        (7, "# SPDX-License-Identifier: MIT\nimport os", "mit"), (8, "// SPDX-License-Identifier: CC-BY-NC-SA-4.0", "cc-by-nc,cc-by-nc-sa"), (9, "Distributed under the Boost Software License, Version 1.0.", "boost"),
+    ]
+    got = {r.doc_id: r.labels for r in L.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()}
+    assert got == {i: label for i, _, label in rows}
 
 
 def test_chained_copies_are_taken_apart(spark):

@@ -5,17 +5,19 @@ the license templates.  A text that holds a template, even with words put in
 or left out, has many matches on one or a few neighbouring diagonals (place in
 the text minus place in the template); votes are counted by diagonal,
 neighbouring diagonals are merged, and the span that is left must cover enough
-of the template without stretching over much else, and hold a window that no
-other license has.  A chain of copies, too long for one, is taken apart again.
+of the template without stretching over much else, and no other license may
+have all the windows it matched: a notice of a near relative is the relative's.  A chain of copies, too long for one, is taken apart again.
 Of spans that overlap, only the best-covering template's is kept.
 
-Scale: the window table of the templates is a few hundred rows, the only thing
-broadcast.  Text windows are exploded and joined without a shuffle; only the
-matches are shuffled, partially aggregated, and by document, so a license that
+Scale: the window table of the templates is under two thousand rows, the only
+thing broadcast.  Text windows are exploded and joined without a shuffle; only the matches are shuffled, partially aggregated, and by document, so a license that
 a third of all documents hold is spread like the documents are.
 """
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,34 +43,49 @@ TEMPLATES = (
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-3", "This work is licensed under the GNU General Public License v3.0."),
-    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
-    ("gpl-2", "This work is licensed under the GNU General Public License v2.0."),
-    ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 2.5 Generic License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 2.5 Generic License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 2.5 Generic License."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 2.0 Generic License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 2.0 Generic License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 2.0 Generic License."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 1.0 Generic License."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 1.0 Generic License."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 1.0 Generic License."),
     ("all-rights-reserved", "Copyright. All rights reserved."),
 )
+#: The GNU licenses as their notices name them, the versions, and what the notice calls the work.
+GNU = (
+    ("gpl-2", "General Public License", "2", "program"), ("gpl-3", "General Public License", "3", "program"), ("agpl", "Affero General Public License", "3", "program"),
+    ("lgpl", "Lesser General Public License", "2.1", "library"), ("lgpl", "Lesser General Public License", "3", "library"),
+)
+#: The Creative Commons licenses with the names of their parts, and the versions with their ports.
+CC_PARTS = {"by": "Attribution", "nc": "NonCommercial", "nd": "NoDerivatives", "sa": "ShareAlike"}
+CC = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
+CC_VERSIONS = ("4.0 International", "3.0 Unported", "2.5 Generic", "2.0 Generic", "1.0 Generic")
+#: Identifiers that stand in a file's license line.
+SPDX = (
+    ("mit", "MIT"), ("apache-2", "Apache-2.0"), ("bsd", "BSD-2-Clause"), ("bsd", "BSD-3-Clause"), ("isc", "ISC"), ("gpl-2", "GPL-2.0"), ("gpl-3", "GPL-3.0"), ("lgpl", "LGPL-2.1"), ("lgpl", "LGPL-3.0"),
+    ("agpl", "AGPL-3.0"), ("mpl-2", "MPL-2.0"), ("epl", "EPL-1.0"), ("epl", "EPL-2.0"), ("boost", "BSL-1.0"), ("zlib", "Zlib"), ("unlicense", "Unlicense"), ("cc0", "CC0-1.0"),
+)
+
+
+def _families() -> list[tuple[str, str]]:
+    """The notices of license families, whose members differ in a name, a part or a version."""
+    out = []
+    for label, name, version, work in GNU:
+        out += [(label, f"This work is licensed under the GNU {name}, version {version}."), (label, f"This work is licensed under the GNU {name} v{version if '.' in version else version + '.0'}.")]
+        out.append((label, f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."))
+    for parts in CC:
+        for version in CC_VERSIONS:
+            name = "-".join(CC_PARTS[p] for p in parts.split("-"))
+            names = {name, name if version[0] == "4" else name.replace("NoDerivatives", "NoDerivs")}
+            if version[0] == "1":
+                names.add(name.replace("NonCommercial-NoDerivatives", "NoDerivs-NonCommercial"))
+            out += [(f"cc-{parts}", f"This work is licensed under a Creative Commons {n} {version} License.") for n in sorted(names)]
+    out += [(label, f"SPDX-License-Identifier: {name}") for label, name in SPDX]
+    return out + [(f"cc-{parts}", f"SPDX-License-Identifier: CC-{parts.upper()}-4.0") for parts in CC]
+
+
+TEMPLATES = tuple(dict.fromkeys(_families())) + TEMPLATES
 
 
 def words_of(text: Column) -> Column:
@@ -76,48 +93,61 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
-def _windows(words: Column, hashes: Column, k: int) -> Column:
-    """``(at, g, word)`` for each window of k words: its place, its hash and its first word."""
+def _windows(words: Column, known: Column, k: int) -> Column:
+    """``(at, g, word)`` for each window of k words that are all ``known``: its place, its hash and its first word."""
     def window(i: Column) -> Column:
-        return F.struct(i.alias("at"), F.xxhash64(*[F.get(hashes, i + j) for j in range(k)]).alias("g"), F.get(words, i).alias("word"))
+        return F.struct(i.alias("at"), F.xxhash64(*[F.get(words, i + j) for j in range(k)]).alias("g"), F.get(words, i).alias("word"))
 
-    return F.when(F.size(hashes) >= k, F.transform(F.sequence(F.lit(0), F.size(hashes) - k), window))
+    def whole(i: Column) -> Column:
+        return functools.reduce(Column.__and__, [F.get(known, i + j) for j in range(k)])
 
+    return F.when(F.size(known) >= k, F.transform(F.filter(F.sequence(F.lit(0), F.size(known) - k), whole), window))
 
-def _exploded(df: DataFrame, k: int) -> DataFrame:
-    """``df`` (with ``words``) with a row per window instead of the words."""
-    step = df.withColumn("__h", F.transform("words", lambda w: F.xxhash64(w))).withColumn("__w", _windows(F.col("words"), F.col("__h"), k))
+
+def _exploded(df: DataFrame, k: int, vocabulary: list[str] | None = None) -> DataFrame:
+    """``df`` (with ``words``) with a row per window instead of the words; of a vocabulary, windows that hold no other word."""
+    known = F.transform("words", lambda w: F.lit(True) if vocabulary is None else w.isin(vocabulary))
+    step = df.withColumn("__h", known).withColumn("__w", _windows(F.col("words"), F.col("__h"), k))
     # the outer form: a plain generator lets Spark infer a filter on the array and compute it twice
     return step.drop("words", "__h").select("*", F.inline_outer("__w")).drop("__w")
 
 
 def template_windows(spark: SparkSession, templates=TEMPLATES, k: int = K) -> DataFrame:
-    """``(t, label, n, t_at, g, word, own)``: the windows of every template, n of them each.
-
-    ``own`` marks those that no template of another label has; if a template has no such window, all of its.
-    """
+    """``(t, label, n, t_at, g, word, holders)``: the windows of every template, n of them each, with all labels that have them."""
     rows = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(templates)])
     known = spark.range(1).select(F.inline(rows)).select("t", "label", words_of(F.col("text")).alias("words"))
     known = known.withColumn("n", F.size("words") - k + 1)
     known = _exploded(known, k).withColumnRenamed("at", "t_at")
-    alone = F.size(F.collect_set("label").over(Window.partitionBy("g", "word"))) == 1
-    return known.withColumn("own", alone).withColumn("own", F.col("own") | ~F.max("own").over(Window.partitionBy("t")))
+    return known.withColumn("holders", F.sort_array(F.collect_set("label").over(Window.partitionBy("g", "word"))))
+
 
+def template_words(templates=TEMPLATES) -> list[str]:
+    """All words of the templates, which are ASCII."""
+    return sorted({w for _, text in templates for w in re.findall(WORD, text.lower())})
 
-def places(rows: DataFrame, known: DataFrame, keys: list[str], k: int = K, neighbour: int = NEIGHBOUR, cover: float = COVER, stretch: float = STRETCH) -> DataFrame:
-    """Verified spans ``keys, label, start, end, score``: rows carry ``keys`` and ``words``; places count words, end exclusive."""
+
+def places(rows: DataFrame, keys: list[str], templates=TEMPLATES, k: int = K, neighbour: int = NEIGHBOUR, cover: float = COVER, stretch: float = STRETCH) -> DataFrame:
+    """Verified spans ``keys, label, start, end, score``: rows carry ``keys`` and ``words``; places count words, end exclusive.
+
+    Null words have no spans; equal keys share them; an empty table gives none;
+    columns beside the keys and words are ignored.
+    """
+    known = template_windows(rows.sparkSession, templates, k)
     hits = _exploded(rows.select(*keys, "words"), k).join(F.broadcast(known), ["g", "word"])
     votes = hits.groupBy(*keys, "t", "label", "n", (F.col("at") - F.col("t_at")).alias("diagonal")).agg(
-        F.collect_set("t_at").alias("matched"), F.min("at").alias("start"), (F.max("at") + k).alias("end"), F.max("own").alias("own"))  # a set holds a template's windows at most
+        F.collect_set("t_at").alias("matched"), F.min("at").alias("start"), (F.max("at") + k).alias("end"), F.collect_set("holders").alias("holders"))  # a set holds a template's windows at most
     by = Window.partitionBy(*keys, "t").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > neighbour, F.lit(True)).cast("int")
     numbered = votes.withColumn("new", new).withColumn("place", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = numbered.groupBy(*keys, "t", "label", "n", "place").agg(F.sort_array(F.collect_list(F.struct("diagonal", "start", "end", "matched", "own"))).alias("on"))
+    merged = numbered.groupBy(*keys, "t", "label", "n", "place").agg(F.sort_array(F.collect_list(F.struct("diagonal", "start", "end", "matched", "holders"))).alias("on"))
 
     def spot(on: Column) -> Column:
+        # a place whose every window another license has too says nothing for this one
+        holders = F.flatten(F.transform(on, lambda d: d["holders"]))
+        shared = F.aggregate(holders, F.get(holders, 0), F.array_intersect)
         return F.struct(
             F.size(F.array_distinct(F.flatten(F.transform(on, lambda d: d["matched"])))).alias("covered"), F.array_min(F.transform(on, lambda d: d["start"])).alias("start"),
-            F.array_max(F.transform(on, lambda d: d["end"])).alias("end"), F.exists(on, lambda d: d["own"]).alias("own"))
+            F.array_max(F.transform(on, lambda d: d["end"])).alias("end"), (F.size(shared) == 1).alias("own"))
 
     # a diagonal is never longer than the template, so a run of diagonals within the slack is never too long
     words = F.col("n") + (k - 1)
@@ -164,7 +194,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     docs = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     # a row is known by id and text: a repeated id with another text stays apart, an exact repeat shares the spans
     rows = docs.withColumns({"key": F.xxhash64("text"), "words": words_of(text)})
-    spans = places(rows, template_windows(docs.sparkSession, templates), ["doc_id", "key"], **limits)
+    spans = places(rows, ["doc_id", "key"], templates, **limits)
     by_doc = spans.groupBy("doc_id", "key").agg(
         F.collect_set("label").alias("more"), F.max("score").alias("best"), F.sort_array(F.collect_set(F.struct("start", "end", "label"))).alias("places"))
     base = rows.withColumn("base", base_places(F.col("words"), text)).select("doc_id", "key", F.size("words").cast("long").alias("n_words"), "base")

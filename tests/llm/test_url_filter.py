@@ -57,3 +57,52 @@ def test_model_counts_each_host_and_path_once(spark):
 
 def test_empty(spark):
     assert U.judge(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
+
+
+def test_inflections_of_a_blocked_topic_are_blocked(spark):
+    bad = ["http://free-bets.io/", "http://casinos.io/x", "http://bestgamblers.io/", "http://onlinelotteries.io/", "http://gambler.io/"]
+    good = ["http://garden.io/", "http://betterhomes.io/", "http://townlibrary.io/book", "http://racetracks.io/", "http://farmers.io/milk", "http://freelibrary.io/"] + [f"http://{w}.io/{w}" for w in ("river", "stone", "paper", "winter")]
+    got = {r.page_id: r.verdict for r in U.judge(spark.createDataFrame(list(enumerate(bad + good)), "page_id bigint, url string")).collect()}
+    assert [got[i] for i in range(len(bad))] == ["block"] * len(bad) and [got[len(bad) + i] for i in range(len(good))] == ["allow"] * len(good)
+    assert {U.stem(w) for w in ("bet", "bets", "betting")} == {"bet"} and {U.stem(w) for w in ("gambling", "gambler", "gamblers")} == {"gambl"}
+
+
+def test_words_beside_a_blocked_topic_reach_urls_without_a_label(spark):
+    rows = [f"http://{x}.casino.io/croupier" for x in ("one", "two", "three", "four")] + ["http://croupier.io/croupier"] * 2 + [f"http://{w}.io/milk" for w in ("river", "stone", "paper", "garden", "window")]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    got = {r.page_id: r for r in U.judge(df).collect()}
+    plain = {r.page_id: r for r in U.judge(df, rounds=0).collect()}
+    assert got[4].score > plain[4].score and all(got[i].verdict == "allow" for i in range(6, len(rows)))
+
+
+def test_model_matches_counting_by_hand(spark):
+    """Brute force of the counts, the rounds and the scores."""
+    import math
+
+    urls = ["http://casino.io/poker/a", "http://casino.io/poker/a", "http://garden.io/news", "http://river.io/a/poker", "http://quietstone.io/", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = U.judge(df).collect()
+    stems = {r.page_id: [w[:2] + U.stem(w[2:]) for w in r.words] for r in rows}
+    bucket = {w: spark.createDataFrame([(w,)], "w string").selectExpr(f"cast(pmod(xxhash64(w), {U.BUCKETS}) as int) b").first().b for ws in stems.values() for w in ws}
+    distinct = {(r.host, tuple(stems[r.page_id])) for r in rows}
+    strong, ordinary = {U.stem(x) for x in U.SEEDS if x not in U.WEAK_SEEDS}, {U.stem(x) for x in U.ORDINARY}
+    known = {d: 1.0 if {w[2:] for w in d[1]} & strong else 0.0 if {w[2:] for w in d[1]} & ordinary else None for d in distinct}
+    score = None
+    for _ in range(U.ROUNDS + 1):
+        bad = {d: known[d] if known[d] is not None else 0.0 if score is None else round(1 / (1 + math.exp(-score(d[1]))), 9) for d in distinct}
+        b, g = {}, {}
+        for d in distinct:
+            for w in d[1]:
+                b[bucket[w]] = b.get(bucket[w], 0) + bad[d]
+                g[bucket[w]] = g.get(bucket[w], 0) + 1 - bad[d]
+        nb, ng, prior = sum(b.values()), sum(g.values()), math.log((sum(bad.values()) + 1) / (len(bad) - sum(bad.values()) + 1))
+        share = {k: U.SMOOTHING * (b[k] + g[k] + 1) / (nb + ng + U.BUCKETS) for k in b}
+        weight = {k: math.log((b[k] + share[k]) / (nb + U.SMOOTHING)) - math.log((g[k] + share[k]) / (ng + U.SMOOTHING)) for k in b}
+        score = lambda ws, weight=weight, prior=prior: prior + sum(weight[bucket[w]] for w in ws)
+    for r in rows:
+        assert r.score == pytest.approx(score(stems[r.page_id]), abs=1e-6)
+
+
+def test_long_names_are_split_whole():
+    name = "garden" * 60  # a word lies across every multiple of 256
+    assert U.segment(name, "", U.vocabulary_path()) == ["h:garden"] * 60

@@ -2,14 +2,18 @@
 
 Concatenated names in a host are split into words by a unigram Viterbi search;
 host words and path words together are scored by a multinomial naive Bayes
-model.  It is trained on all pages: a url whose words include a seed word of a
-blocked topic is a blocked example, any other an allowed one, and every
-distinct (host, path words) counts once, so a host with very many pages weighs
-no more than its words.
-
-Scale: words go to a fixed number of hash buckets, so the model is an array of
+model over word stems.  A url whose words name a blocked topic, in any
+inflection, is a blocked example; one that names an ordinary topic only is an
+allowed one.  All others are unlabelled: they start as allowed, and in a few
+rounds of expectation-maximisation count for each class by their posterior, so
+that a blocked topic's other words aren't held to be good.  Every distinct
+(host, path words) counts once, so a host with very many pages weighs no more
+than its words.
+
+Scale: stems go to a fixed number of hash buckets, so the model is an array of
 bounded size however many words the corpus has; its counts are one partial
-aggregate.  Scoring happens inside the row.
+aggregate a round over the distinct rows.  The words are cut once, into the
+shared folder; scoring happens inside the row.
 """
 from __future__ import annotations
 
@@ -21,25 +25,32 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import ship, table
+from tickwise.llm.common import cut, ship, table
 from tickwise.llm.secrets import ranked_words, vocabulary_path
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the url's path starts with its path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Words of blocked topics, the seeds of the blocked class.
+#: Words of blocked topics, the seeds of the blocked class; any inflection of them counts.
 SEEDS = (
-    "ads", "adserver", "adult", "bet", "betting", "bonus", "casino", "cheap", "cialis", "crack", "cracked", "dating", "escort", "farm", "gambling", "hacked", "hentai",
-    "jackpot", "keygen", "loan", "loans", "lottery", "malware", "nude", "payday", "phishing", "pills", "piracy", "poker", "porn", "replica", "sex",
-    "sexy", "slots", "spam", "torrent", "track", "tracker", "tracking", "viagra", "warez", "webcam", "xxx",
+    "ads", "adserver", "adult", "bet", "bingo", "bonus", "casino", "cheap", "cialis", "crack", "dating", "escort", "farm", "free", "gambling", "hacked", "hentai",
+    "jackpot", "keygen", "loan", "lottery", "malware", "nude", "odds", "payday", "phishing", "pills", "piracy", "poker", "porn", "replica", "roulette", "sex",
+    "sexy", "slots", "spam", "torrent", "track", "viagra", "wager", "warez", "webcam", "win", "xxx",
+)
+#: Seeds that alone are ordinary words count only beside another seed.
+WEAK_SEEDS = ("cheap", "farm", "free", "bonus", "bet", "track", "dating", "loan", "crack", "hacked", "odds", "slots", "webcam", "replica", "win")
+#: Words of ordinary topics, the seeds of the allowed class.
+ORDINARY = (
+    "archive", "book", "church", "city", "college", "cooking", "council", "garden", "government", "health", "history", "hospital", "journal", "kitchen", "law", "library", "museum",
+    "music", "news", "park", "recipe", "research", "school", "science", "sport", "theatre", "travel", "university", "weather", "wiki",
 )
-#: Two seeds that alone are ordinary words count only beside another seed.
-WEAK_SEEDS = ("cheap", "farm", "bonus", "bet", "track", "tracker", "tracking", "dating", "loan", "loans", "crack", "cracked", "slots", "webcam", "replica")
 #: Host parts without meaning.
 PLAIN = ("www", "m", "com", "net", "org", "co", "example", "html", "htm", "php")
 BUCKETS = 4096
 SMOOTHING = 10.0
 #: Log-odds from which a url is blocked.
 THRESHOLD = 0.0
+#: Rounds in which unlabelled urls count for the classes by their posterior.
+ROUNDS = 3
 LONGEST_WORD = 20
 UNKNOWN_PER_LETTER = 2.5
 
@@ -79,78 +90,119 @@ def viterbi(name: str, words: dict[str, float]) -> list[str]:
     return out[::-1]
 
 
+def stem(word: str) -> str:
+    """A word without its inflection: plurals, -er, -ing and -ed, doubled consonants, a last e or y."""
+    for end in ("ings", "ing", "ers", "er", "ed", "ies", "es", "s"):
+        least = 3 if end in ("ies", "es", "s") else 4
+        if word.endswith(end) and not word.endswith("ss") and len(word) - len(end) >= least:
+            word = word[:-len(end)] + ("y" if end == "ies" else "")
+            break
+    if len(word) > 3 and word[-1] == word[-2] and word[-1] not in "aeilosu":
+        word = word[:-1]
+    if len(word) > 3 and word[-1] == "e":
+        return word[:-1]
+    return word[:-1] + "i" if len(word) > 3 and word[-1] == "y" else word
+
+
+def inflected(seed: str) -> list[str]:
+    """A seed and the forms that compounds may hold."""
+    base = stem(seed)
+    return [seed, *[base + end for end in ("s", "es", "er", "ers", "ing", "ed") if stem(base + end) == base]]
+
+
 def costs(path: str) -> dict[str, float]:
     """Negative decimal logarithms of Zipf probabilities by rank, with the seeds, which compounds are made of, near the top."""
     ranks = ranked_words(path)
     scale = math.log10(sum(1 / (k + 2) for k in range(len(ranks))))
     found = {w: r + scale for w, r in ranks.items()}
-    return found | {w: min(found.get(w, 9.0), 3.0) for w in SEEDS}
+    forms = {w: 4.0 for seed in SEEDS for w in inflected(seed)} | dict.fromkeys(SEEDS, 3.0)
+    return found | {w: min(found.get(w, 9.0), c) for w, c in forms.items()}
 
 
 @functools.lru_cache(maxsize=4)
 def _segmenter(path: str):
     words = costs(path)
-    return functools.lru_cache(maxsize=100_000)(lambda name: tuple(viterbi(name, words)))
+    split = lambda name: tuple(viterbi(name, words))
+    held = functools.lru_cache(maxsize=100_000)(split)
+    return lambda name: held(name) if len(name) <= 64 else split(name)  # long names hardly recur
 
 
 def segment(host: str, path: str, vocabulary: str) -> list[str]:
     """Words of host and path, as ``h:word`` and ``p:word``; plain host parts and digits are left out."""
-    cut, out = _segmenter(vocabulary), []
+    cut_, out = _segmenter(vocabulary), []
     for side, names in (("h", host), ("p", path.lower())):
         for name in re.findall(r"[^\W\d_]+", names):
             if name not in PLAIN:
-                out += [f"{side}:{w}" for at in range(0, len(name), 256) for w in cut(name[at:at + 256])]
+                out += [f"{side}:{w}" for w in cut_(name)]
     return out
 
 
 def with_words(pages: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``pages`` (``host``, ``path``) with the array ``words``."""
+    """``pages`` (``host``, ``path``) with the arrays ``words`` and ``stems``."""
     vocabulary = vocabulary or vocabulary_path()
     ship(pages.sparkSession)
 
-    @F.pandas_udf("array<string>")
-    def words(host: pd.Series, path: pd.Series) -> pd.Series:
-        return pd.Series([segment(h, p, vocabulary) for h, p in zip(host, path)])
-
-    return pages.withColumn("words", words("host", "path"))
-
+    @F.pandas_udf("words array<string>, stems array<string>")
+    def words(host: pd.Series, path: pd.Series) -> pd.DataFrame:
+        found = [segment(h, p, vocabulary) for h, p in zip(host, path)]
+        return pd.DataFrame({"words": found, "stems": [[w[:2] + stem(w[2:]) for w in ws] for ws in found]})
 
-def seeded(words: Column) -> Column:
-    """Whether the words name a blocked topic: a strong seed, or two different weak ones."""
-    strong = F.array(*[F.lit(f"{s}:{w}") for w in SEEDS if w not in WEAK_SEEDS for s in "hp"])
-    weak = F.array(*[F.lit(f"{s}:{w}") for w in WEAK_SEEDS for s in "hp"])
-    return F.arrays_overlap(words, strong) | (F.size(F.array_intersect(words, weak)) >= 2)
+    return pages.withColumn("__cut", words("host", "path")).select(*pages.columns, "__cut.words", "__cut.stems")
 
 
-def train(pages: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> tuple[float, list[float]]:
-    """Prior and per-bucket log-odds of the blocked class, from the distinct (host, words) of all pages."""
-    rows = pages.select("host", "words").distinct().withColumn("bad", seeded(F.col("words")).cast("int"))
-    prior = rows.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
-    counts = (
-        rows.select("bad", F.explode("words").alias("w")).select("bad", F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int").alias("b"))
-        .groupBy("b").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect())  # a row per bucket at most
-    bad_all, good_all = (sum(r[k] for r in counts) for k in ("bad", "good"))
-    weights = [0.0] * buckets
-    for r in counts:
-        # smoothed towards the bucket's share of all words, so that a rare word of the larger class doesn't speak for the smaller
-        share = smoothing * (r["bad"] + r["good"] + 1) / (bad_all + good_all + buckets)
-        weights[r["b"]] = math.log((r["bad"] + share) / (bad_all + smoothing)) - math.log((r["good"] + share) / (good_all + smoothing))
-    n, bad = prior["n"], prior["bad"] or 0
-    return math.log((bad + 1) / (n - bad + 1)), weights
+def seeded(stems: Column) -> Column:
+    """1 if the stems name a blocked topic (a strong seed, or two different weak ones), 0 if an ordinary one only, else null."""
+    both = lambda seeds: F.array(*[F.lit(f"{s}:{w}") for w in sorted({stem(x) for x in seeds}) for s in "hp"])
+    bare = lambda found: F.array_distinct(F.transform(found, lambda w: F.substring(w, 3, 2**31 - 1)))
+    strong = both(x for x in SEEDS if x not in WEAK_SEEDS)
+    hints = F.size(bare(F.array_intersect(stems, both(WEAK_SEEDS))))
+    bad = F.arrays_overlap(stems, strong) | (hints >= 2)
+    return F.when(bad, 1.0).when((hints == 0) & F.arrays_overlap(stems, both(ORDINARY)), 0.0)
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, vocabulary: str | None = None, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+def log_odds(stems: Column, prior: float, weights: list[float]) -> Column:
+    """The model's log-odds of blocking."""
+    table_ = F.lit(weights)
+    return F.aggregate(stems, F.lit(float(prior)), lambda acc, w: acc + F.get(table_, F.pmod(F.xxhash64(w), F.lit(len(weights))).cast("int")))
+
+
+def train(pages: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, rounds: int = ROUNDS) -> tuple[float, list[float]]:
+    """Prior and per-bucket log-odds of the blocked class, from the distinct (host, stems) of all pages."""
+    rows = cut(pages.select("host", "stems").distinct().withColumn("known", seeded(F.col("stems"))))
+
+    def fitted(bad: Column) -> tuple[float, list[float]]:
+        part = rows.withColumn("bad", F.coalesce("known", bad))
+        # the row's own bucket is -1: one aggregate gives the classes and their words
+        where = F.concat(F.array(F.lit(-1)), F.transform("stems", lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")))
+        counts = (part.select("bad", F.explode(where).alias("b")).groupBy("b")
+                  .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect())  # a row per bucket and one at most
+        classes = next((r for r in counts if r["b"] < 0), {"bad": 0.0, "good": 0.0})
+        words = [r for r in counts if r["b"] >= 0]
+        bad_all, good_all = (sum(r[k] for r in words) for k in ("bad", "good"))
+        weights = [0.0] * buckets
+        for r in words:
+            # smoothed towards the bucket's share of all words, so that a rare word of the larger class doesn't speak for the smaller
+            share = smoothing * (r["bad"] + r["good"] + 1) / (bad_all + good_all + buckets)
+            weights[r["b"]] = math.log((r["bad"] + share) / (bad_all + smoothing)) - math.log((r["good"] + share) / (good_all + smoothing))
+        return math.log((classes["bad"] + 1) / (classes["good"] + 1)), weights
+
+    model = fitted(F.lit(0.0))
+    for _ in range(rounds):
+        model = fitted(F.round(1 / (1 + F.exp(-log_odds(F.col("stems"), *model))), 9))
+    return model
+
+
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, vocabulary: str | None = None, threshold: float = THRESHOLD, buckets: int = BUCKETS, rounds: int = ROUNDS) -> DataFrame:
     """The contract's rows, one per input row, with the ``words`` and the ``score`` (log-odds of blocking).
 
     A null url, or one without ``://``, has no host, path or words: no rule
     fits and the prior decides.  Null ids and repeated rows give a row each;
-    other columns are ignored.
+    other columns are ignored; names of any length are split whole; an empty
+    table gives no rows.
     """
     host, path = parts(F.col(url_col))
-    rows = with_words(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")), vocabulary)
-    prior, weights = train(rows, buckets)
-    table_ = F.lit(weights)
-    score = F.aggregate("words", F.lit(float(prior)), lambda acc, w: acc + F.get(table_, F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")))
+    rows = cut(with_words(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")), vocabulary))
+    score = log_odds(F.col("stems"), *train(rows, buckets, rounds=rounds))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("score") > threshold, "block").otherwise("allow")
     return rows.withColumn("score", score).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "words", "score")

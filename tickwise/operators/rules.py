@@ -1,8 +1,8 @@
 """Association rules per ticker (ML-19 … ML-22, TK-02/03, ST-02/04, AG-22).
 
-Baskets are ``array<string>`` columns.  Equal baskets are counted first, and
-frequent itemsets grow level by level from frequent ones, so no basket is too
-wide.  Itemsets are compared as arrays, never as joined text.
+Baskets are ``array<string>`` columns.  Equal baskets are counted first and
+turned into bitmaps per item; frequent itemsets grow level by level by
+intersecting the bitmaps of frequent ones, so no basket is too wide.  Itemsets are compared as arrays, never as joined text.
 Rules enumerate every antecedent / consequent split of each frequent itemset
 and join the two sides' supports back.
 """
@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tickwise.operators.timeseries import by_date, full_window
 from tickwise.session import materialize
 
+#: Distinct baskets that are numbered in one window.
+SALT_ROWS = 4096
+
 
 def _g(group):
     return [group] if isinstance(group, str) else list(group or [])
@@ -49,39 +52,58 @@ def build_baskets(df: DataFrame, part: str = "ticker", order: str = "date",
     return out.select(part, order, F.array_sort(F.array_compact(F.array(*flags))).alias("items"))
 
 
+def basket_words(counted: DataFrame, sizes: DataFrame, g: list[str]) -> DataFrame:
+    """Vertical bitmaps of distinct baskets ``(*g, _it, _c)``: a row per (group, item, plane, block) with a word of 64 baskets.
+
+    A basket that occurs c times has a place in plane p if bit p of c is set, so
+    a bit of plane p counts 2^p rows.  Places are numbered inside salts, of which
+    a group has more the more distinct baskets it has: no window holds a whole
+    hot group.
+    """
+    salt = F.pmod(F.xxhash64("_it"), F.ceil(F.col("_m") / SALT_ROWS))
+    planes = F.expr("filter(sequence(0, 62), p -> shiftright(_c, p) % 2 = 1)")
+    placed = counted.join(sizes, g).select(*g, "_it", salt.alias("_s"), F.explode(planes).alias("_p"))
+    at = F.row_number().over(Window.partitionBy(*g, "_s", "_p").orderBy("_it")) - 1
+    placed = placed.withColumn("_at", at).withColumn("_b", F.floor(F.col("_at") / 64))
+    bit = F.expr("shiftleft(1L, cast(_at % 64 as int))")
+    return (placed.select(*g, "_s", "_p", "_b", bit.alias("_bit"), F.explode("_it").alias("_x"))
+            .groupBy(*g, "_x", "_s", "_p", "_b").agg(F.bit_or("_bit").alias("_w")))
+
+
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.05, group=("ticker",),
                       items: str = "items") -> DataFrame:
     """ML-20: itemsets with support ≥ ``min_support``; support counts all
     rows of the group, empty baskets included.
 
-    Level by level, an itemset grows only by a greater item of its basket, and
-    only if it and the item are frequent, so a wide basket costs what its
-    frequent itemsets cost.
+    Vertical: baskets are read once, into one bitmap per item.  Two frequent
+    itemsets that differ in their last item make the next one by the bitwise
+    and of their words, block by block; its count is the sum of the set bits.
+    No level holds the baskets again.
     """
     g = _g(group)
+    block = ["_s", "_p", "_b"]
     counted = materialize(baskets.select(*g, F.array_sort(F.array_distinct(items)).alias("_it"))
                           .groupBy(*g, "_it").agg(F.count(F.lit(1)).alias("_c")))
-    n = counted.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    sizes = counted.groupBy(*g).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m"))
 
-    def frequent(rows: DataFrame) -> DataFrame:
-        cnt = rows.groupBy(*g, "itemset").agg(F.sum("_c").alias("count"))
+    def frequent(words: DataFrame) -> DataFrame:
+        cnt = words.groupBy(*g, "_pre", "_x").agg(F.sum(F.expr("shiftleft(cast(bit_count(_w) as bigint), _p)")).alias("count"))
         share = F.col("count") / F.col("_n")
-        return materialize(cnt.join(n, g).withColumn("support", share).where(F.col("support") >= min_support).drop("_n"))
-
-    single = counted.select(*g, "_it", "_c", F.explode("_it").alias("_x"))
-    level = found = frequent(single.select(*g, "_c", F.array("_x").alias("itemset")))
-    ones = level.select(*g, F.element_at("itemset", 1).alias("_x"))
-    rows = single.join(ones, [*g, "_x"]).select(*g, "_it", "_c", F.array("_x").alias("itemset"))
-    while True:
-        more = F.expr("filter(_it, y -> y > element_at(itemset, -1))")
-        grown = rows.select(*g, "_it", "_c", "itemset", F.explode(more).alias("_x")).join(ones, [*g, "_x"])
-        grown = materialize(grown.select(*g, "_it", "_c", F.array_append("itemset", F.col("_x")).alias("itemset")))
-        level = frequent(grown)
-        if level.isEmpty():
-            break
-        found = found.unionByName(level)
-        rows = grown.join(level.select(*g, "itemset"), [*g, "itemset"], "left_semi")
-    return found.select(*g, "itemset", F.array_join("itemset", ",").alias("key"), "count", "support")
+        return materialize(cnt.join(sizes, g).withColumn("support", share).where(F.col("support") >= min_support)
+                           .drop("_n", "_m"))
+
+    words = materialize(basket_words(counted, sizes, g).withColumn("_pre", F.array().cast("array<string>")))
+    level, found = frequent(words), None
+    while found is None or not level.isEmpty():
+        found = level if found is None else found.unionByName(level)
+        kept = words.join(level.select(*g, "_pre", "_x"), [*g, "_pre", "_x"], "left_semi")
+        other = kept.withColumnsRenamed({"_x": "_y", "_w": "_v"})
+        both = kept.join(other, [*g, "_pre", *block]).where((F.col("_x") < F.col("_y")) & (F.col("_w").bitwiseAND(F.col("_v")) != 0))
+        words = materialize(both.select(*g, F.array_append("_pre", F.col("_x")).alias("_pre"), F.col("_y").alias("_x"), *block,
+                                        F.col("_w").bitwiseAND(F.col("_v")).alias("_w")))
+        level = frequent(words)
+    itemset = F.array_append("_pre", F.col("_x"))
+    return found.select(*g, itemset.alias("itemset"), F.array_join(itemset, ",").alias("key"), "count", "support")
 
 
 def all_rules(freq: DataFrame, min_confidence: float = 0.5, group=("ticker",)) -> DataFrame:

@@ -66,6 +66,18 @@ def test_a_relative_is_never_read_as_another_license(spark):
     assert got == {i: label for i, _, label in rows}
 
 
+def test_windows_left_out_hold_a_word_of_no_template(spark):
+    from tests.llm.conftest import unlike
+
+    text = f"{unlike(1, 50)} Released under the MIT License by the author of this software {unlike(2, 50)} to the terms of the"
+    rows = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "under the")], "doc_id bigint, text string").withColumn("words", L.words_of(L.F.col("text"))).drop("text")
+    every = {tuple(r) for r in L._exploded(rows, L.K).collect()}
+    some = {tuple(r) for r in L._exploded(rows, L.K, L.template_words()).collect()}
+    known = {(r.g, r.word) for r in L.template_windows(spark).collect()}
+    joined = lambda found: {r for r in found if (r[2], r[3]) in known}
+    assert joined(every) == joined(some) and joined(some) and len(some) < len(every)
+
+
 def test_chained_copies_are_taken_apart(spark):
     line = "Copyright. All rights reserved."
     rows = [(n, "\n".join([line] * n)) for n in (1, 2, 3, 7, 500)] + [(1000, "\n".join([line] * 4 + ["This work is licensed under a Creative Commons Attribution 4.0 International License."] + [line] * 3))]

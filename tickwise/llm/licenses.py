@@ -10,7 +10,8 @@ have all the windows it matched: a notice of a near relative is the relative's.
 Of spans that overlap, only the best-covering template's is kept.
 
 Scale: the window table of the templates is under two thousand rows, the only
-thing broadcast.  Text windows are exploded and joined without a shuffle; only the matches are shuffled, partially aggregated, and by document, so a license that
+thing broadcast.  Windows with a word that no template has are left out inside
+the row; the rest are exploded and joined without a shuffle; only the matches are shuffled, partially aggregated, and by document, so a license that
 a third of all documents hold is spread like the documents are.
 """
 from __future__ import annotations
@@ -133,7 +134,7 @@ def places(rows: DataFrame, keys: list[str], templates=TEMPLATES, k: int = K, ne
     columns beside the keys and words are ignored.
     """
     known = template_windows(rows.sparkSession, templates, k)
-    hits = _exploded(rows.select(*keys, "words"), k).join(F.broadcast(known), ["g", "word"])
+    hits = _exploded(rows.select(*keys, "words"), k, template_words(templates)).join(F.broadcast(known), ["g", "word"])
     votes = hits.groupBy(*keys, "t", "label", "n", (F.col("at") - F.col("t_at")).alias("diagonal")).agg(
         F.collect_set("t_at").alias("matched"), F.min("at").alias("start"), (F.max("at") + k).alias("end"), F.collect_set("holders").alias("holders"))  # a set holds a template's windows at most
     by = Window.partitionBy(*keys, "t").orderBy("diagonal")

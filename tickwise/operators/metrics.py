@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickwise.operators.quantiles import exact_quantile
 from tickwise.operators.moments import Moments, grouped_moments
 from tickwise.session import materialize
 
@@ -179,10 +180,11 @@ def duplicate_rows(df: DataFrame, cols: list[str] | None = None, group=()) -> Da
 
 
 def quantile(df: DataFrame, col: str, q: float = 0.8, group=("ticker",), exact: bool = True) -> DataFrame:
-    """AG-13: linear-interpolation quantile (exact) or ``percentile_approx``."""
-    v = F.col(col).cast("double")
-    agg = F.percentile(v, q) if exact else F.percentile_approx(v, q, 10000)
-    return df.groupBy(*_g(group)).agg(agg.alias(f"q{int(round(q * 100))}"))
+    """AG-13: linear-interpolation quantile (exact, by rank selection where a group is large) or ``percentile_approx``."""
+    name = f"q{int(round(q * 100))}"
+    if exact:
+        return exact_quantile(df, col, q, _g(group), name)
+    return df.groupBy(*_g(group)).agg(F.percentile_approx(F.col(col).cast("double"), q, 10000).alias(name))
 
 
 def correlation_long(df: DataFrame, cols: list[str], group=("ticker",), complete: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tickwise.operators.quantiles import exact_quantile
 from tickwise.operators.timeseries import by_date, full_window
 from tickwise.session import materialize
 
@@ -34,12 +35,14 @@ def build_baskets(df: DataFrame, part: str = "ticker", order: str = "date",
     c = F.col("Close")
     ret = F.coalesce(F.try_divide(c, F.lag(c).over(w)) - F.lit(1.0), F.lit(0.0))
     sma = full_window(F.avg, c, w, 10, 5)
-    thr = F.percentile(F.col("Volume").cast("double"), 0.8).over(Window.partitionBy(part))
-    flags = [F.when(ret > 0, F.lit("RET_UP")), F.when(ret < 0, F.lit("RET_DOWN")),
-             F.when(c > sma, F.lit("PRICE_ABOVE_SMA10")),
-             F.when(F.col("Volume") >= thr, F.lit("VOL_HIGH"))]
     cats = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name.lower() not in skip and f.name != part]
+    df = materialize(df.select(*dict.fromkeys([part, order, "Close", "Volume", *cats])))
+    high = exact_quantile(df, "Volume", 0.8, [part], "_thr").withColumnRenamed(part, "_part")
+    df = df.join(high, F.col(part).eqNullSafe(F.col("_part")), "left").drop("_part")
+    flags = [F.when(ret > 0, F.lit("RET_UP")), F.when(ret < 0, F.lit("RET_DOWN")),
+             F.when(c > sma, F.lit("PRICE_ABOVE_SMA10")),
+             F.when(F.col("Volume") >= F.col("_thr"), F.lit("VOL_HIGH"))]
     out = df
     for cname in cats:
         # first-seen rank of each value within the ticker (AG-24 semantics)

@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tickwise.plans import q_models
+from tickwise.plans import pipeline, q_models
 
 TICKS = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp, l_returnflag string"
 
@@ -24,3 +24,19 @@ def test_feature_rows_of_the_models_are_built_once(spark, tables, monkeypatch):
     one, two = q_models._feats(spark, tables), q_models._feats(spark, tables)
     assert len(built) == 1 and one.inputFiles() == two.inputFiles() == []  # the ticks are not read again
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, whole(spark, tables).collect()))
+
+
+def test_a_run_builds_the_bars_once(spark, tables, tmp_path, monkeypatch):
+    read = []
+    whole = pipeline.bars_from_lineitem
+
+    def counted(*a):
+        out = whole(*a)
+        read.append(out)
+        return out
+    monkeypatch.setattr(pipeline, "bars_from_lineitem", counted)
+    used = []
+    deal = pipeline.feature_matrix
+    monkeypatch.setattr(pipeline, "feature_matrix", lambda b: used.append(b) or deal(b))
+    pipeline.run_pipeline(spark, tables, str(tmp_path / "r"), steps=["association"], run_ts="20240101000000")
+    assert len(read) == 1 and all("/bars/" in f for f in used[0].inputFiles())

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwise.plans import pipeline, q_models
+from tickwise.sources import bars as B
 
 TICKS = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp, l_returnflag string"
 
@@ -17,6 +18,18 @@ def tables(spark, tmp_path_factory):
     return sf
 
 
+def test_bars_of_many_tickers_are_dealt_by_their_ticks(spark, tables):
+    ticks = spark.read.parquet(f"{tables}/lineitem.parquet")
+    made = B.bars_from_lineitem(spark, tables, "l_suppkey")
+    dealt = B.dealt(made, ticks, "l_suppkey", part_ticks=80)
+    assert dealt.rdd.getNumPartitions() == 30
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, made.collect()))
+    assert dealt.select("ticker", F.spark_partition_id().alias("p")).distinct().count() == 40
+    # what the cores hold anyway, and fewer tickers than parts, stay
+    assert B.dealt(made, ticks, "l_suppkey", part_ticks=2400) is made
+    assert B.dealt(made, ticks, "l_returnflag", part_ticks=80) is made
+
+
 def test_feature_rows_of_the_models_are_built_once(spark, tables, monkeypatch):
     built = []
     whole = q_models.features

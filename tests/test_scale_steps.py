@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tickwise.plans import pipeline, q_models
+from tickwise.plans import pipeline, q_checks, q_models
 from tickwise.sources import bars as B
 
 TICKS = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp, l_returnflag string"
@@ -53,3 +53,12 @@ def test_a_run_builds_the_bars_once(spark, tables, tmp_path, monkeypatch):
     monkeypatch.setattr(pipeline, "feature_matrix", lambda b: used.append(b) or deal(b))
     pipeline.run_pipeline(spark, tables, str(tmp_path / "r"), steps=["association"], run_ts="20240101000000")
     assert len(read) == 1 and all("/bars/" in f for f in used[0].inputFiles())
+
+
+def test_gates_store_only_what_they_read(spark, tables, monkeypatch):
+    import tickwise.session as S
+    kept = []
+    whole = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df: kept.append(df.columns) or whole(df))
+    q_checks._gates(spark, tables)
+    assert kept == [["ticker", "date", "return", "target_return", "y", "p"]]

@@ -149,7 +149,7 @@ GATES_SQL = f"""
 
 def _gates(spark, sf):
     from tickwise.session import materialize
-    s = materialize(scored(spark, sf, "l_suppkey"))
+    s = materialize(scored(spark, sf, "l_suppkey").select("ticker", "date", "return", "target_return", "y", "p"))
     reg_rows = s.where(F.col("target_return").isNotNull() & F.col("return").isNotNull())
     w = Window.partitionBy("ticker").orderBy("date")
     tr = (reg_rows.withColumn("_rn", F.row_number().over(w))

@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tickwise.plans import pipeline, q_checks, q_models
+from tickwise.plans import pipeline, q_checks, q_models, q_scalars
 from tickwise.sources import bars as B
 
 TICKS = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp, l_returnflag string"
@@ -62,3 +62,13 @@ def test_gates_store_only_what_they_read(spark, tables, monkeypatch):
     monkeypatch.setattr(S, "materialize", lambda df: kept.append(df.columns) or whole(df))
     q_checks._gates(spark, tables)
     assert kept == [["ticker", "date", "return", "target_return", "y", "p"]]
+
+
+def test_position_files_grow_with_the_table(spark, tables, monkeypatch):
+    monkeypatch.setattr(q_scalars, "FILE_ROWS", 100)
+    files = []
+    whole = q_scalars.J.join_by_position
+    monkeypatch.setattr(q_scalars.J, "join_by_position", lambda a, b: files.append((len(a.inputFiles()), len(b.inputFiles()))) or whole(a, b))
+    out = q_scalars.q_global_position(spark, tables).orderBy("position").collect()
+    assert min(files[0]) > 15
+    assert [r.position for r in out] == list(range(2400)) and [r.l_orderkey for r in out] == list(range(2400))

@@ -17,6 +17,9 @@ from tickwise.session import scratch_path
 from tickwise.sources.tables import read_table
 
 
+#: Rows that a written file of the position join holds, about, once the table is large.
+FILE_ROWS = 2_000_000
+
 _FEATS = [c for c in FEATURE_COLUMNS if c != "date"]
 
 
@@ -150,10 +153,11 @@ def q_rowpos(spark, sf):
 @register("global_position_join", "JN-02, SRC-06", """
     SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity, l_shipdate) - 1 AS BIGINT) AS position, l_quantity, l_shipdate FROM lineitem""")
 def q_global_position(spark, sf):
-    """Two tables of the same order, written in 11 and 4 files, joined by the place of a row."""
+    """Two tables of the same order, written in 11 and 4 files (more of a table above 11 and 4 times ``FILE_ROWS``), joined by the place of a row."""
     rows = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
     root, keys = scratch_path(spark, f"positions-{uuid.uuid4().hex}"), ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
-    for name, files, cols in (("left", 11, keys[:3]), ("right", 4, keys[3:])):
+    whole = -(-rows.count() // FILE_ROWS)
+    for name, files, cols in (("left", max(11, whole), keys[:3]), ("right", max(4, whole), keys[3:])):
         rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys).select(*cols).write.parquet(f"{root}/{name}")
     return J.join_by_position(spark.read.parquet(f"{root}/left"), spark.read.parquet(f"{root}/right"))
 

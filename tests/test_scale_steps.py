@@ -4,6 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tickwise.operators import projections as P
 from tickwise.plans import pipeline, q_checks, q_models, q_scalars
 from tickwise.sources import bars as B
 
@@ -55,6 +56,18 @@ def test_a_run_builds_the_bars_once(spark, tables, tmp_path, monkeypatch):
     assert len(read) == 1 and all("/bars/" in f for f in used[0].inputFiles())
 
 
+def test_constant_columns_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("a", 1.0, None, 2), ("a", 1.0, None, 3), ("b", None, 5.0, 4), ("b", 1.0, 5.0, 4), (None, 7.0, 7.0, 7), ("n", float("nan"), 1.0, 1), ("n", float("nan"), 2.0, 1)],
+                               "ticker string, x double, y double, z int")
+    out = P.constant_columns(df, ["x", "y", "z"])
+    got = {(r.ticker, r.feature): r.is_constant for r in out.collect()}
+    want = {("a", "x"): True, ("a", "y"): True, ("a", "z"): False, ("b", "x"): False, ("b", "y"): True, ("b", "z"): True,
+            (None, "x"): True, (None, "y"): True, (None, "z"): True, ("n", "x"): True, ("n", "y"): False, ("n", "z"): True}
+    assert got == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # unpivoted above the aggregate
+
+
 def test_gates_store_only_what_they_read(spark, tables, monkeypatch):
     import tickwise.session as S
     kept = []

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwise.operators import projections as P
+from tickwise.operators import quantiles as Q
+from tickwise.operators.ema import powers
 from tickwise.plans import pipeline, q_checks, q_models, q_scalars
 from tickwise.sources import bars as B
 
@@ -85,3 +87,19 @@ def test_position_files_grow_with_the_table(spark, tables, monkeypatch):
     out = q_scalars.q_global_position(spark, tables).orderBy("position").collect()
     assert min(files[0]) > 15
     assert [r.position for r in out] == list(range(2400)) and [r.l_orderkey for r in out] == list(range(2400))
+
+
+def test_a_small_groups_quantile_takes_no_json_key(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(10)] + [(None, 4.0), (None, None), ("e", None)], "g string, v double")
+    out = Q.exact_quantile(df, "v", 0.8, ["g"], "t")
+    assert {r.g: r.t for r in out.collect()} == {"a": pytest.approx(7.2), None: 4.0, "e": None}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "json" not in plan
+    assert Q.exact_quantile(df.where("false"), "v", 0.8, [], "t").collect() == []
+
+
+def test_powers_are_sparks_own(spark):
+    k = spark.range(128).select(F.col("id").cast("int").alias("k"))
+    for q, shift, sign in ((1 / 3, 0, -1), (0.9, 129, 1)):
+        same = k.select((powers(spark, q, F.col("k"), 128, shift, sign) == F.pow(F.lit(q), sign * F.col("k") + F.lit(shift))).alias("s"))
+        assert same.where("s").count() == 128
